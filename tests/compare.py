@@ -68,7 +68,8 @@ def main(names: list[str], sf_dir: str) -> int:
             df = run(spark, sf_dir)
             found = difference(df, con, twins[name]) if name in twins else f"ROWS {df.count()}"
         except Exception as error:  # noqa: BLE001
-            found = f"ERROR {type(error).__name__} {str(error)[:600]}"
+            causes = [line[:300] for line in str(error).splitlines() if "Caused by" in line]
+            found = f"ERROR {type(error).__name__} {str(error)[:300]} {causes}"
         failed += found is not None and not found.startswith("ROWS")
         print(f"{name:28s} {time.time() - begin:6.2f}s {found or 'ok'}", flush=True)
     print("unused twins:", sorted(set(twins) - set(queries())), "failed:", failed)

@@ -22,8 +22,9 @@ def running_totals(
     bounds = points.agg(
         F.percentile_approx(order, F.array(*[F.lit(c) for c in cuts]), F.lit(10_000))
     ).scalar()
-    placed = points.withColumn(
-        "_bucket", F.size(F.filter(bounds, lambda b: b < F.col(order)))
+    placed = points.withColumn("_bounds", bounds).select(
+        *points.columns,
+        F.size(F.filter("_bounds", lambda b: b < F.col(order))).alias("_bucket"),
     )
     earlier_buckets = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from verisift.functions.audit import stamp_audit
+from verisift.models.metrics import auc
 from verisift.models.training import (
     FOLDS,
     SEED,
@@ -28,6 +29,14 @@ TARGET = "is_returned"
 DEFAULTS = {"numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 5}
 
 
+class Auc(Evaluator):
+    """Exact area under the ROC curve of the positive class probability."""
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.select("_label", vector_to_array("_probability")[1].alias("_score"))
+        return auc(scored, "_label", "_score").first()["auc_roc"]
+
+
 def train(
     df: DataFrame,
     feature_cols: Sequence[str],
@@ -61,11 +70,8 @@ def train(
         seed=SEED,
         **{**DEFAULTS, **(params or {})},
     )
-    judge = BinaryClassificationEvaluator(
-        labelCol="_label", rawPredictionCol="_raw", metricName="areaUnderROC"
-    )
     weighted = data.withColumn(WEIGHT, balance * F.col("_quality"))
-    model, mean, deviation = fit([assembler(feature_cols), forest], weighted, judge, folds=folds)
+    model, mean, deviation = fit([assembler(feature_cols), forest], weighted, Auc(), folds=folds)
     return Trained(
         model,
         tuple(feature_cols),

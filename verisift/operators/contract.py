@@ -27,7 +27,7 @@ def contract_complexity(contracts: DataFrame, *, as_of: object = None) -> DataFr
             F.avg("tier_count").alias("avg_tiers_per_contract"),
             F.count_if(F.col("multi_product_flag") == "Y").alias("multi_product_contract_count"),
             F.max("discount_pct").alias("max_discount_pct"),
-            F.avg("rebate_pct").alias("avg_rebate_pct"),
+            ratio(F.sum("rebate_pct"), F.count("rebate_pct")).alias("avg_rebate_pct"),
         )
     )
 

@@ -20,13 +20,14 @@ def _bin_counts(df: DataFrame, columns: Sequence[str], edges: Column, name: str)
             F.struct(
                 F.lit(c).alias("column"),
                 F.when(F.col(c).isNull(), F.lit(-1))
-                .otherwise(F.size(F.filter(edges[c], lambda e: e < F.col(c).cast("double"))))
+                .otherwise(F.size(F.filter(F.col("_edges")[c], lambda e: e < F.col(c).cast("double"))))
                 .alias("bin"),
             )
             for c in columns
         ]
     )
-    return df.select(F.inline(cells)).groupBy("column", "bin").agg(F.count(F.lit(1)).alias(name))
+    placed = df.select(*columns).withColumn("_edges", edges).select(F.inline(cells))
+    return placed.groupBy("column", "bin").agg(F.count(F.lit(1)).alias(name))
 
 
 def population_stability(

@@ -68,8 +68,8 @@ def submission_lag(chargebacks: DataFrame, tx: DataFrame) -> DataFrame:
         ratio(F.sum(F.col("_lag").cast("long") * F.col("_n")), F.sum(matched)).alias(
             "avg_submission_lag_days"
         ),
-        F.percentile("_lag", F.lit(0.5), "_n").alias("p50_submission_lag_days"),
-        F.percentile("_lag", F.lit(0.9), "_n").alias("p90_submission_lag_days"),
+        F.percentile("_lag", F.lit(0.5), F.col("_n")).alias("p50_submission_lag_days"),
+        F.percentile("_lag", F.lit(0.9), F.col("_n")).alias("p90_submission_lag_days"),
         F.max("_lag").alias("max_submission_lag_days"),
     )
 
@@ -80,7 +80,7 @@ def over_under_payment(accruals: DataFrame) -> DataFrame:
         accruals.where(F.col("actual_amount").isNotNull())
         .groupBy("customer_id")
         .agg(
-            F.avg("variance").alias("avg_accrual_variance"),
+            ratio(F.sum("variance"), F.count("variance")).alias("avg_accrual_variance"),
             F.count_if(F.col("variance") > 0).alias("over_accrual_count"),
             F.count_if(F.col("variance") < 0).alias("under_accrual_count"),
             F.count(F.lit(1)).alias("total_accrual_periods"),

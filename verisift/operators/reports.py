@@ -16,7 +16,7 @@ def accrual_health(accruals: DataFrame) -> DataFrame:
     missed = ratio(F.sum(F.abs("variance")), F.sum(F.abs("actual_amount")))
     return _with_actual(accruals).agg(
         (1.0 - missed).alias("accrual_accuracy"),
-        F.avg(F.col("variance").cast("double")).alias("mean_variance"),
+        ratio(F.sum("variance"), F.count("variance")).alias("mean_variance"),
         F.count_if(F.col("variance") > 0).alias("over_accrual_count"),
         F.count_if(F.col("variance") < 0).alias("under_accrual_count"),
     )

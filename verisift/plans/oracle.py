@@ -10,7 +10,7 @@ AS_OF = "DATE '1998-06-30'"
 
 
 def num(expr: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) + 0.0"
+    return f"round(CAST({expr} AS DOUBLE) * 1e6) / 1e6 + 0.0"
 
 
 def whole(expr: str) -> str:
@@ -424,13 +424,13 @@ def trailing(days: int) -> str:
            RANGE BETWEEN INTERVAL {days} DAYS PRECEDING AND CURRENT ROW)"""
 
 
-VELOCITY = f"""{TX}, trailing AS (
+VELOCITY = f"""{TX}, rolled AS (
   SELECT transaction_id, customer_id, transaction_date, gross_amount,
          {trailing(30)} AS v30, {trailing(60)} AS v60, {trailing(90)} AS v90
   FROM tx), velocity AS (
   SELECT customer_id, arg_max(v30, transaction_date) AS v30, arg_max(v60, transaction_date) AS v60,
          arg_max(v90, transaction_date) AS v90
-  FROM trailing GROUP BY customer_id)"""
+  FROM rolled GROUP BY customer_id)"""
 VELOCITY_COLUMNS = f"""{num('v30')} AS purchase_velocity_30d, {num('v60')} AS purchase_velocity_60d,
        {num('v90')} AS purchase_velocity_90d"""
 
@@ -439,7 +439,7 @@ Q["velocity_rows"] = f"""
 WITH {VELOCITY}
 SELECT customer_id, {text('transaction_date')} AS transaction_date,
        {num('gross_amount')} AS gross_amount, transaction_id, {VELOCITY_COLUMNS}
-FROM trailing"""
+FROM rolled"""
 
 REGULARITY = f"""gaps AS (
   SELECT customer_id, transaction_date - lag(transaction_date) OVER (
@@ -990,6 +990,22 @@ SELECT claim_status, {whole('count(*) FILTER (WHERE claim_amount > 4000)')} AS t
        {num('count(*) FILTER (WHERE claim_amount > 4000) / CAST(count(*) AS DOUBLE)')} AS leakage_rate
 FROM cb GROUP BY claim_status"""
 
+PSI = union(*[stability(c) for c in ("l_quantity", "l_discount")])
+Q["feature_fleet"] = f"""
+WITH {AC}, psi AS ({PSI}), f AS (
+  SELECT 'orders' AS feature, 0.0 AS nulls,
+         date_diff('day', max(o_orderdate), TIMESTAMP '2001-08-15') AS age, 0.0 AS psi FROM orders
+  UNION ALL
+  SELECT 'lines', 0.0, date_diff('day', max(l_shipdate), TIMESTAMP '2001-08-15'),
+         (SELECT max(psi) FROM psi) FROM lineitem
+  UNION ALL
+  SELECT 'accruals', 1 - count(variance) / CAST(count(*) AS DOUBLE), 0, 0.0 FROM ac)
+SELECT {whole('count(*)')} AS total_features,
+       {whole('count(*) FILTER (WHERE nulls <= 0.1 AND age <= 1 AND psi < 0.2)')} AS healthy,
+       {whole('count(*) FILTER (WHERE age > 1)')} AS stale,
+       {whole('count(*) FILTER (WHERE psi >= 0.2)')} AS drift_alerts
+FROM f"""
+
 Q["claim_match"] = f"""
 WITH {TX}, {CB}, s AS (
   SELECT transaction_id, min(transaction_date) AS d, sum(gross_amount) AS a FROM tx

@@ -45,8 +45,9 @@ def _plain(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (DecimalType, FractionalType)):
-            # Adding 0 turns a negative zero into zero.
-            value = F.round(value.cast("double"), 6) + F.lit(0.0)
+            # Six places by the same arithmetic as the SQL twins; adding 0 removes a
+            # negative zero.
+            value = F.round(value.cast("double") * 1e6) / 1e6 + F.lit(0.0)
         elif isinstance(field.dataType, IntegralType):
             value = value.cast("bigint")
         elif isinstance(field.dataType, (DateType, TimestampType)):
@@ -930,16 +931,22 @@ def leakage_summary(spark, sf):
 
 @query
 def feature_fleet(spark, sf):
-    terms = b.contracts(spark, sf)
-    health = monitor.feature_health(
-        terms, "contracts", timestamp_col="effective_date", as_of="1998-06-30 00:00:00"
-    ).unionByName(monitor.feature_health(b.accruals(spark, sf), "accruals"))
-    quantity = drift_psi(spark, sf).select(
-        F.lit("accruals").alias("feature"), F.lit("variance").alias("column"), "psi"
-    )
-    return reports.feature_fleet(health, quantity.agg(
-        F.first("feature").alias("feature"), F.first("column").alias("column"), F.max("psi").alias("psi")
-    ))
+    """Three tables as features: one fresh, one with gaps, one drifting or stale by its dates."""
+    orders, lines = b.table(spark, sf, "orders"), b.table(spark, sf, "lineitem")
+    as_of = "2001-08-15 00:00:00"
+    health = (
+        monitor.feature_health(orders, "orders", timestamp_col="o_orderdate", as_of=as_of)
+        .unionByName(
+            monitor.feature_health(lines, "lines", timestamp_col="l_shipdate", as_of=as_of)
+        )
+        .unionByName(monitor.feature_health(b.accruals(spark, sf), "accruals"))
+    )
+    shift = drift.population_stability(
+        lines.where(F.col("l_linestatus") == "F"),
+        lines.where(F.col("l_linestatus") == "O"),
+        ["l_quantity", "l_discount"],
+    )
+    return reports.feature_fleet(health, shift.withColumn("feature", F.lit("lines")))
 
 
 @query
