@@ -1,51 +1,57 @@
-"""Running totals over a global order without gathering it into one task."""
+"""Running totals over a global order without gathering it into one task.
+
+A metric over a running total is computed inside quantile buckets first; the bucket
+results, a fixed number of rows, are then combined in order.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
+
+# Cuts are found in two steps, first among every WIDTH-th cut, then among the next ones.
+WIDTH = 12
+BUCKETS = WIDTH * WIDTH
+
+
+def _bucket(cuts: str, value: str) -> Column:
+    """Number of cuts below the value."""
+
+    def below(part: Column) -> Column:
+        return F.size(F.filter(part, lambda cut: cut < F.col(value)))
 
-BUCKETS = 128
+    every = F.transform(
+        F.sequence(F.lit(WIDTH), F.lit(BUCKETS - WIDTH), F.lit(WIDTH)),
+        lambda i: F.element_at(cuts, i),
+    )
+    coarse = below(every)
+    return coarse * WIDTH + below(F.slice(cuts, coarse * WIDTH + 1, F.lit(WIDTH - 1)))
 
 
-def running_totals(
-    points: DataFrame, order: str, values: Sequence[str], *, buckets: int = BUCKETS
-) -> DataFrame:
-    """Add ``<value>_before``: the total over all rows with a smaller ``order``.
+def in_buckets(points: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
+    """Add ``bucket`` and ``<value>_in``: the bucket's total over rows with a smaller ``order``.
 
-    ``points`` holds one row per distinct ``order`` value. Quantile buckets split the
-    order evenly; totals of whole buckets (at most ``buckets`` rows) are chained in one
-    small window and added to the running total inside each bucket.
+    ``points`` holds one row per distinct ``order`` value. Buckets are numbered in the
+    order and cut at quantiles, so they hold about the same number of rows.
     """
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = points.agg(
-        F.percentile_approx(order, F.array(*[F.lit(c) for c in cuts]), F.lit(10_000))
-    ).scalar()
-    placed = points.withColumn("_bounds", bounds).select(
-        *points.columns,
-        F.size(F.filter("_bounds", lambda b: b < F.col(order))).alias("_bucket"),
+    shares = [F.lit(i / BUCKETS) for i in range(1, BUCKETS)]
+    cuts = points.agg(F.percentile_approx(order, F.array(*shares), F.lit(10_000))).scalar()
+    placed = points.withColumn("_cuts", cuts).select(
+        *points.columns, _bucket("_cuts", order).alias("bucket")
     )
-    earlier_buckets = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy("_bucket")
-        .agg(*[F.sum(v).alias(f"_{v}_sum") for v in values])
-        .select(
-            "_bucket",
-            *[
-                F.coalesce(F.sum(f"_{v}_sum").over(earlier_buckets), F.lit(0)).alias(f"_{v}_off")
-                for v in values
-            ],
-        )
+    smaller = W.partitionBy("bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    return placed.withColumns(
+        {f"{v}_in": F.coalesce(F.sum(v).over(smaller), F.lit(0)) for v in values}
     )
-    inside = W.partitionBy("_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        placed.withColumns(
-            {f"_{v}_in": F.coalesce(F.sum(v).over(inside), F.lit(0)) for v in values}
-        )
-        .join(F.broadcast(offsets), "_bucket")
-        .select(
-            *points.columns,
-            *[(F.col(f"_{v}_in") + F.col(f"_{v}_off")).alias(f"{v}_before") for v in values],
-        )
+
+
+def chain_buckets(totals: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Add ``<value>_before``: the total over earlier buckets; one row per bucket in ``totals``.
+
+    There are at most ``BUCKETS`` rows, so the unpartitioned window is small.
+    """
+    earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    return totals.withColumns(
+        {f"{v}_before": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for v in values}
     )

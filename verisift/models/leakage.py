@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from verisift.functions.audit import stamp_audit
@@ -73,23 +74,41 @@ def _grow(rows: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, l
     return nodes
 
 
-def _depth(values: np.ndarray, trees: Sequence[Mapping[str, np.ndarray]]) -> np.ndarray:
+def _packed(nodes: Mapping[str, Sequence]) -> dict[str, np.ndarray]:
+    """Node arrays for traversal: a leaf leads back to itself, so every row takes as many steps."""
+    feature = np.array(nodes["feature"], dtype=np.int64)
+    leaf = feature < 0
+    here = np.arange(len(feature))
+    left = np.where(leaf, here, np.array(nodes["left"], dtype=np.int64))
+    right = np.where(leaf, here, np.array(nodes["right"], dtype=np.int64))
+    return {
+        "feature": np.where(leaf, 0, feature),
+        "cut": np.array(nodes["cut"], dtype=float),
+        "children": np.column_stack([left, right]).ravel(),
+        "depth": np.array(nodes["depth"], dtype=float),
+    }
+
+
+def _depth(
+    values: np.ndarray, trees: Sequence[Mapping[str, np.ndarray]], steps: int
+) -> np.ndarray:
     """Mean path length of every row over the trees, all rows of a batch at once."""
     total = np.zeros(len(values))
-    rows = np.arange(len(values))
+    flat, start = values.ravel(), np.arange(len(values)) * values.shape[1]
     for tree in trees:
         at = np.zeros(len(values), dtype=np.int64)
-        while True:
-            feature = tree["feature"][at]
-            inner = feature >= 0
-            if not inner.any():
-                break
-            below = values[rows, np.maximum(feature, 0)] < tree["cut"][at]
-            at = np.where(inner, np.where(below, tree["left"][at], tree["right"][at]), at)
-        total += tree["depth"][at]
+        for _ in range(steps):
+            value = flat.take(start + tree["feature"].take(at))
+            at = tree["children"].take(2 * at + (value >= tree["cut"].take(at)))
+        total += tree["depth"].take(at)
     return total / max(len(trees), 1)
 
 
+def _steps(sample_size: int) -> int:
+    """Largest depth of a tree."""
+    return max(1, math.ceil(math.log2(max(sample_size, 2))))
+
+
 def _samples(df: DataFrame, cols: Sequence[str], rows: int, chosen: Mapping) -> tuple[DataFrame, int]:
     """Tree samples ``tree, _features``, drawn by hashes so that a retry draws the same.
 
@@ -125,7 +144,7 @@ def train(
     if rows == 0:
         raise ValueError("training needs rows")
     drawn, size = _samples(data, cols, rows, chosen)
-    limit = max(1, math.ceil(math.log2(max(size, 2))))
+    limit = _steps(size)
     seed = int(chosen["seed"])
 
     def grow(sample: pd.DataFrame) -> pd.DataFrame:
@@ -136,18 +155,9 @@ def train(
         return pd.DataFrame({"tree": [tree], **{k: [v] for k, v in nodes.items()}})
 
     grown = drawn.groupBy("tree").applyInPandas(grow, NODES).orderBy("tree").collect()
-    trees = tuple(
-        {
-            "feature": np.array(t["feature"], dtype=np.int64),
-            "cut": np.array(t["cut"], dtype=float),
-            "left": np.array(t["left"], dtype=np.int64),
-            "right": np.array(t["right"], dtype=np.int64),
-            "depth": np.array(t["depth"], dtype=float),
-        }
-        for t in grown
-    )
-    forest = IsolationForest(cols, trees, size)
-    raw = with_anomaly_score(forest, data)
+    trees = tuple(_packed(t.asDict()) for t in grown)
+    raw = with_anomaly_score(IsolationForest(cols, trees, size), data).select("anomaly_score")
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     found = raw.agg(
         F.percentile_approx(
             "anomaly_score", F.lit(float(chosen["contamination"])), F.lit(QUANTILE_ACCURACY)
@@ -156,29 +166,28 @@ def train(
         F.count(F.lit(1)).alias("rows"),
     ).first()
     offset = found["offset"]
-    fitted = IsolationForest(cols, trees, size, offset)
-    flagged = with_anomaly_score(fitted, data).agg(
-        F.avg((F.col("anomaly_score") < 0).cast("double")).alias("rate")
-    )
+    flagged = raw.agg(F.avg((F.col("anomaly_score") < offset).cast("double")).alias("rate"))
     metrics = {
         "anomaly_rate": float(flagged.first()["rate"]),
         "mean_anomaly_score": float(found["mean"] - offset),
         "training_samples": float(found["rows"]),
     }
+    raw.unpersist()
     return IsolationForest(cols, trees, size, offset, metrics)
 
 
 def with_anomaly_score(forest: IsolationForest, df: DataFrame) -> DataFrame:
     """Add ``anomaly_score``: minus the isolation score less the offset, low for anomalies."""
-    shared = df.sparkSession.sparkContext.broadcast((forest.trees, mean_path(forest.sample_size)))
+    fixed = (forest.trees, mean_path(forest.sample_size), _steps(forest.sample_size))
+    shared = df.sparkSession.sparkContext.broadcast(fixed)
     offset = forest.offset
 
     @F.pandas_udf("double")
     def decision(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        trees, usual = shared.value
+        trees, usual, steps = shared.value
         for columns in batches:
             values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            score = -np.exp2(-_depth(values, trees) / (usual or 1.0)) - offset
+            score = -np.exp2(-_depth(values, trees, steps) / (usual or 1.0)) - offset
             score[np.isnan(values).any(axis=1)] = np.nan
             yield pd.Series(score)
 

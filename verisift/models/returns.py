@@ -37,6 +37,17 @@ class Auc(Evaluator):
         return auc(scored, "_label", "_score").first()["auc_roc"]
 
 
+class LeanForest(RandomForestClassifier):
+    """A forest whose model does not carry its training summary.
+
+    The summary refers to the training frame and its session, which would then be
+    shipped with every prediction task.
+    """
+
+    def _fit(self, dataset: DataFrame):
+        return super()._fit(dataset).copy()
+
+
 def train(
     df: DataFrame,
     feature_cols: Sequence[str],
@@ -60,7 +71,7 @@ def train(
     balance = F.when(F.col("_label") == 1.0, sizes["rows"] / (2.0 * sizes["returned"])).otherwise(
         sizes["rows"] / (2.0 * kept)
     )
-    forest = RandomForestClassifier(
+    forest = LeanForest(
         featuresCol="_features",
         labelCol="_label",
         predictionCol="_prediction",

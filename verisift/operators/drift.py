@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from verisift.functions.exprs import ratio
-from verisift.functions.running import running_totals
+from verisift.functions.running import chain_buckets, in_buckets
 
 # Share used for an empty bin, so that its logarithm exists.
 EMPTY_SHARE = 1e-4
@@ -87,10 +87,24 @@ def kolmogorov_smirnov(baseline: DataFrame, current: DataFrame, column: str) ->
         .agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     )
     totals = points.agg(F.struct(F.sum("b").alias("b"), F.sum("c").alias("c"))).scalar()
-    distance = F.abs(
-        ratio(F.col("b_before") + F.col("b"), totals["b"])
-        - ratio(F.col("c_before") + F.col("c"), totals["c"])
+    gap = ratio(F.col("b_in") + F.col("b"), F.col("_all")["b"]) - ratio(
+        F.col("c_in") + F.col("c"), F.col("_all")["c"]
     )
-    return running_totals(points, "value", ["b", "c"]).agg(
-        F.lit(column).alias("column"), F.max(distance).alias("ks")
+    buckets = (
+        in_buckets(points, "value", ["b", "c"])
+        .withColumn("_all", totals)
+        .groupBy("bucket")
+        .agg(
+            F.min(gap).alias("low"),
+            F.max(gap).alias("high"),
+            F.sum("b").alias("b"),
+            F.sum("c").alias("c"),
+        )
+    )
+    # Earlier buckets shift all gaps of a bucket by the same amount.
+    shift = ratio(F.col("b_before"), F.sum("b").over(W.partitionBy())) - ratio(
+        F.col("c_before"), F.sum("c").over(W.partitionBy())
     )
+    shifted = chain_buckets(buckets, ["b", "c"]).withColumn("_shift", shift)
+    widest = F.greatest(F.abs(F.col("low") + F.col("_shift")), F.abs(F.col("high") + F.col("_shift")))
+    return shifted.agg(F.lit(column).alias("column"), F.max(widest).alias("ks"))

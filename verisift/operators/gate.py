@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from verisift.functions.scoring import SCORE_COLUMN, with_quality_score
 from verisift.operators.rules import push_results
+from verisift.session import ensure_checkpoint_dir
 from verisift.sources.layout import Layout
 
 # Minimum score per environment.
@@ -101,13 +102,19 @@ def run_gate(
     weights: Mapping[str, float] | None = None,
     date_column: str | None = None,
     count_score_column: bool = False,
+    checkpoint: bool = False,
 ) -> GateResult:
     """Score and split ``df``; with a ``layout`` also write both parts.
 
     The counts are observed while the passed rows are written, so the input is read
-    once, and a second time only when there is something to quarantine.
+    once, and a second time only when there is something to quarantine. Set
+    ``checkpoint`` when ``df`` is costly to compute (shuffles, not just a scan): it is
+    then stored once and both parts are written from there.
     """
     scored = with_quality_score(df, weights=weights, count_score_column=count_score_column)
+    if checkpoint:
+        ensure_checkpoint_dir(df.sparkSession)
+        scored = scored.checkpoint()
     if layout is None:
         passed, quarantined = split_by_score(scored, threshold)
         found = gate_summary(scored, threshold).first().asDict()

@@ -344,7 +344,13 @@ def dq_score_coded(spark, sf):
 
 def _gated(spark, sf) -> Layout:
     layout = _layout(spark, "gate")
-    gate.run_gate(_flagged_claims(spark, sf), "claims", layout=layout, threshold=GATE_THRESHOLD)
+    gate.run_gate(
+        _flagged_claims(spark, sf),
+        "claims",
+        layout=layout,
+        threshold=GATE_THRESHOLD,
+        checkpoint=True,
+    )
     return layout
 
 
