@@ -57,16 +57,19 @@ def population_stability(
         .groupBy("column", "bin")
         .agg(F.sum("_b").alias("_b"), F.sum("_c").alias("_c"))
     )
-    totals = both.groupBy("column").agg(F.sum("_b").alias("_nb"), F.sum("_c").alias("_nc"))
+    # At most bins + 1 rows per column reach the window.
+    whole = W.partitionBy("column")
     floor = F.lit(EMPTY_SHARE)
-    before = F.greatest(floor, ratio(F.col("_b"), F.col("_nb")))
-    after = F.greatest(floor, ratio(F.col("_c"), F.col("_nc")))
+    before = F.greatest(floor, ratio(F.col("_b"), F.sum("_b").over(whole)))
+    after = F.greatest(floor, ratio(F.col("_c"), F.sum("_c").over(whole)))
     return (
-        both.join(F.broadcast(totals), "column")
+        both.select("column", before.alias("_before"), after.alias("_after"))
         .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("bins"),
-            F.sum((after - before) * F.ln(after / before)).alias("psi"),
+            F.sum(
+                (F.col("_after") - F.col("_before")) * F.ln(F.col("_after") / F.col("_before"))
+            ).alias("psi"),
         )
     )
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import zip_longest
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from verisift.functions.exprs import ratio
 
@@ -63,58 +63,53 @@ def simulate(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
     ``sales`` holds ``customer_segment`` and ``gross_amount``; ``scenarios`` is a frame as
     made by ``scenario_frame``.
     """
-    tiers = scenarios.select("position", "customer_segment", F.inline("tiers"))
-    levels = tiers.groupBy("customer_segment").agg(
-        F.sort_array(F.collect_set("threshold")).alias("_cuts")
+    nothing = F.struct(
+        F.lit(None).cast("decimal(18,4)").alias("threshold"),
+        F.lit(0).cast("decimal(8,4)").alias("discount_pct"),
+        F.lit(0).cast("decimal(8,4)").alias("rebate_pct"),
+    )
+    # Tier 0 is every sale of the segment; it carries the gross revenue.
+    tiers = scenarios.select(
+        "position",
+        "scenario",
+        "customer_segment",
+        F.inline(F.concat(F.array(nothing), F.col("tiers"))),
     )
-    wanted = scenarios.select("customer_segment").distinct()
-    cuts = wanted.join(levels, "customer_segment", "left").withColumn(
-        "_cuts", F.coalesce("_cuts", F.array().cast("array<decimal(18,4)>"))
+    # One row per segment named in the scenarios, however many sales there are.
+    cuts = tiers.groupBy("customer_segment").agg(
+        F.sort_array(F.collect_set("threshold")).alias("_cuts")
     )
-    reached = F.size(F.filter("_cuts", lambda c: c <= F.col("gross_amount")))
-    # The cuts come from the caller's scenario list: one row per segment named in it.
+    reached = F.size(F.filter("_cuts", lambda cut: cut <= F.col("gross_amount")))
     totals = (
         sales.select("customer_segment", "gross_amount")
         .join(F.broadcast(cuts), "customer_segment")
         .groupBy("customer_segment", reached.alias("_level"))
         .agg(F.sum("gross_amount").alias("_gross"))
     )
-    reaching = F.explode(F.sequence(F.lit(1), F.col("_level")))
     at_least = (
-        totals.where(F.col("_level") > 0)
-        .select("customer_segment", "_gross", reaching.alias("_tier"))
+        totals.select(
+            "customer_segment", "_gross", F.explode(F.sequence(F.lit(0), "_level")).alias("_tier")
+        )
         .groupBy("customer_segment", "_tier")
         .agg(F.sum("_gross").alias("_gross"))
     )
-    cost = (
-        tiers.join(cuts, "customer_segment")
-        .withColumn("_tier", F.array_position("_cuts", F.col("threshold")).cast("int"))
-        .join(at_least, ["customer_segment", "_tier"])
-        .groupBy("position")
-        .agg(
-            F.sum(F.col("_gross") * F.col("discount_pct")).alias("_discount"),
-            F.sum(F.col("_gross") * F.col("rebate_pct")).alias("_rebate"),
-        )
-    )
-    gross = totals.groupBy("customer_segment").agg(F.sum("_gross").alias("_gross"))
+    tier = F.coalesce(F.array_position("_cuts", F.col("threshold")), F.lit(0)).cast("int")
 
-    def amount(name: str):
-        return F.coalesce(F.col(name), F.lit(0)).cast("double")
+    def total(value):
+        return F.coalesce(F.sum(value), F.lit(0)).cast("double")
 
     spread = F.col("total_discount") + F.col("total_rebate")
     today = F.col("gross_revenue") * BASELINE_NET_SHARE
     change = F.coalesce(ratio(F.col("net_revenue") - today, today), F.lit(0.0))
     return (
-        scenarios.select("position", "scenario", "customer_segment")
-        .join(gross, "customer_segment", "left")
-        .join(cost, "position", "left")
-        .select(
-            "position",
-            "scenario",
-            F.col("customer_segment").alias("segment"),
-            amount("_gross").alias("gross_revenue"),
-            amount("_discount").alias("total_discount"),
-            amount("_rebate").alias("total_rebate"),
+        tiers.join(cuts, "customer_segment")
+        .withColumn("_tier", tier)
+        .join(at_least, ["customer_segment", "_tier"], "left")
+        .groupBy("position", "scenario", F.col("customer_segment").alias("segment"))
+        .agg(
+            total(F.when(F.col("_tier") == 0, F.col("_gross"))).alias("gross_revenue"),
+            total(F.col("_gross") * F.col("discount_pct")).alias("total_discount"),
+            total(F.col("_gross") * F.col("rebate_pct")).alias("total_rebate"),
         )
         .withColumn("net_revenue", F.col("gross_revenue") - spread)
         .withColumn("gross_to_net_spread", F.col("gross_revenue") - F.col("net_revenue"))
@@ -128,24 +123,28 @@ def compare_scenarios(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
 
 
 def scenario_impact(comparison: DataFrame, baseline: str) -> DataFrame:
-    """Differences of every scenario to the baseline scenario, which must exist once."""
-    base = (
-        comparison.where(F.col("scenario") == baseline)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.first("net_revenue").alias("net"),
-            F.first("gross_to_net_spread").alias("spread"),
-        )
-        .select(
-            F.when(F.col("_n") == 1, F.struct("net", "spread"))
-            .otherwise(F.raise_error(F.lit(f"baseline {baseline!r} must exist exactly once")))
+    """Differences of every scenario to the baseline scenario, which must exist once.
+
+    The window spans the comparison, one row per scenario.
+    """
+    everything = W.partitionBy()
+    is_base = F.col("scenario") == baseline
+
+    def of_base(column: str):
+        return F.max(F.when(is_base, F.col(column))).over(everything)
+
+    missing = F.raise_error(F.lit(f"baseline {baseline!r} must exist exactly once"))
+    known = F.count_if(is_base).over(everything) == 1
+    net = F.when(known, of_base("net_revenue")).otherwise(missing.cast("double"))
+    delta = F.col("net_revenue") - F.col("_net")
+    return (
+        comparison.withColumns({"_net": net, "_spread": of_base("gross_to_net_spread")})
+        .withColumns(
+            {
+                "net_revenue_delta": delta,
+                "gross_to_net_spread_delta": F.col("gross_to_net_spread") - F.col("_spread"),
+                "net_revenue_pct_change": F.coalesce(ratio(delta, F.col("_net")), F.lit(0.0)),
+            }
         )
-        .scalar()
-    )
-    delta = F.col("net_revenue") - base["net"]
-    return comparison.select(
-        "*",
-        delta.alias("net_revenue_delta"),
-        (F.col("gross_to_net_spread") - base["spread"]).alias("gross_to_net_spread_delta"),
-        F.coalesce(ratio(delta, base["net"]), F.lit(0.0)).alias("net_revenue_pct_change"),
+        .drop("_net", "_spread")
     )
