@@ -116,17 +116,20 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accruals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Discounts per month, customer and product as accruals, taxes as actuals."""
     paid = F.sum(_money(F.col("l_extendedprice") * F.col("l_tax")))
-    open_lines = F.min("l_returnflag") == "N"
+    # The alphabetically smallest flag is N: no line is A and some line is N.
+    unpaid = (F.count_if(F.col("l_returnflag") == "A") == 0) & (
+        F.count_if(F.col("l_returnflag") == "N") > 0
+    )
     grouped = (
         _lines(spark, sf_dir)
-        .groupBy(
-            _month("o_orderdate").alias("period"),
+        .groupBy(_month("o_orderdate").alias("period"), "o_custkey", "l_partkey")
+        .agg(F.sum(_claimed()).alias("accrual_amount"), F.when(~unpaid, paid).alias("actual_amount"))
+        .select(
+            "period",
             F.col("o_custkey").cast("string").alias("customer_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
-        )
-        .agg(
-            F.sum(_claimed()).alias("accrual_amount"),
-            F.when(~open_lines, paid).alias("actual_amount"),
+            "accrual_amount",
+            "actual_amount",
         )
     )
     return grouped.withColumns(
