@@ -1,11 +1,11 @@
 """Byte-level BPE as a finite-state transducer, and streaming decoding.
 
 While bytes are read, several readings are open: every start of a token that the bytes
-since then may still complete, with the tokens before it. A state is that set of
-readings; a transition reads one byte, closes the one reading that ends here (the
-pairwise rule of ``merge_order`` picks it) and emits the tokens that all readings share.
-Tokens thus leave after a lookahead bounded by the longest token. States and transitions
-are made when first needed and kept, up to a limit that only costs time.
+since then may still complete, with the token before it. A state is that set of readings;
+a transition reads one byte and closes the one reading that ends here (the pairwise rule
+of ``merge_order`` picks it). Tokens that all open readings share are final and leave, at
+the latest after ``LOOKAHEAD`` bytes and the longest token. States and transitions are
+made when first needed and kept, up to a limit that only costs time.
 
 Decoding runs in pieces; a UTF-8 state machine holds back the bytes of an unfinished
 character between pieces.
@@ -28,11 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from verisift.llm.lets import require
-from verisift.llm.merge_order import MergeOrder
+from verisift.llm.merge_order import MergeOrder, PrefixAutomaton
 
 #: Memory limits of one worker; reaching one empties that memory.
-MOST_STATES = 60_000
-MOST_WORDS = 200_000
+MOST_WORDS = 300_000
+MOST_BYTES = 1 << 24
+#: Bytes read before the tokens shared by all open readings leave.
+LOOKAHEAD = 512
 #: Rows handled between two outputs, and tokens decoded at a time.
 SLICE_ROWS = 256
 PIECE = 1 << 14
@@ -48,82 +50,57 @@ class Transducer:
             rank = ranks.get(self.text_of[a] + self.text_of[b])
             return None if rank is None else (rank, rank)
 
-        self._order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]])
-        self._child: dict[int, int] = {}
-        self._token: list[int] = [-1]
-        inner = {0}
-        for token, rank in ranks.items():
-            node = 0
-            for byte in token:
-                inner.add(node)
-                step = node << 8 | byte
-                node = self._child.get(step, 0)
-                if not node:
-                    node = self._child[step] = len(self._token)
-                    self._token.append(-1)
-            self._token[node] = rank
-        self._inner = inner
-        self._reset()
-
-    def _reset(self) -> None:
-        #: a state: the last emitted token and the open readings (node, tokens), the closed one last
-        self._states: list[tuple] = []
-        self._number: dict[tuple, int] = {}
-        self._steps: list[dict[int, tuple[int, tuple]]] = []
-        self._start = self._state((-1, ((0, ()),)))
-
-    def _state(self, key: tuple) -> int:
-        found = self._number.get(key)
-        if found is None:
-            found = self._number[key] = len(self._states)
-            self._states.append(key)
-            self._steps.append({})
-        return found
-
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        """Make the transition; afterwards ``encode`` finds it in ``_steps``."""
-        last, readings = self._states[state]
-        still, closed = [], None
-        for node, tokens in readings:
-            child = self._child.get(node << 8 | byte)
-            if child is None:
-                continue
-            token = self._token[child]
-            if closed is None and token >= 0 and self._order.adjacent(tokens[-1] if tokens else last, token):
-                closed = (*tokens, token)
-            if child in self._inner:
-                still.append((child, tokens))
-        if closed is None:
-            raise ValueError("the ranks do not hold every single byte")
-        shared = len(closed)
-        for _, tokens in still:
-            same = 0
-            while same < min(shared, len(tokens)) and tokens[same] == closed[same]:
-                same += 1
-            shared = same
-        out = closed[:shared]
-        after = (out[-1] if out else last, (*((n, t[shared:]) for n, t in still), (0, closed[shared:])))
-        made = self._steps[state][byte] = (self._state(after), out)
-        return made
+        order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]])
+        self._machine = PrefixAutomaton(ranks, order)
+        self._length = {rank: len(token) for token, rank in ranks.items()}
+
+    def _back(self, ends: list[int], at: int, until: int) -> list[int]:
+        out, length = [], self._length
+        while at > until:
+            token = ends[at - 1]
+            out.append(token)
+            at -= length[token]
+        out.reverse()
+        return out
+
+    def _shared(self, ends: list[int], state: int, at: int) -> int:
+        """The end of the tokens that all open readings have in common."""
+        starts = set(self._machine.open_starts(state, at))
+        while len(starts) > 1:
+            last = max(starts)
+            starts.remove(last)
+            starts.add(last - self._length[ends[last - 1]])
+        return starts.pop()
 
     def encode(self, piece: bytes) -> list[int]:
-        if len(self._states) > MOST_STATES:
-            self._reset()
+        machine = self._machine
+        if machine.full():
+            machine.reset()
+        if len(piece) <= LOOKAHEAD:
+            return self._back(ends := self._read(piece, machine.start)[0], len(ends), 0)
         out: list[int] = []
-        state, steps = self._start, self._steps
+        ends: list[int] = []
+        state = machine.start
+        for at in range(0, len(piece), LOOKAHEAD):
+            if machine.full():
+                state = machine.rebuilt(state)
+            more, state = self._read(piece[at : at + LOOKAHEAD], state)
+            ends += more
+            done = self._shared(ends, state, len(ends))
+            out += self._back(ends, done, 0)
+            del ends[:done]
+        return out + self._back(ends, len(ends), 0)
+
+    def _read(self, piece: bytes, state: int) -> tuple[list[int], int]:
+        """The last token of each prefix, and the state after it."""
+        ends, steps, make = [], self._machine.steps.get, self._machine.make_step
         for byte in piece:
-            found = steps[state].get(byte)
+            found = steps(state << 8 | byte)
             if found is None:
-                found = self._step(state, byte)
-            state, emitted = found
-            if emitted:
-                out += emitted
-            if len(self._states) > 4 * MOST_STATES:  # within one very long piece
-                key = self._states[state]
-                self._reset()
-                steps, state = self._steps, self._state(key)
-        out += self._states[state][1][-1][1]
-        return out
+                found = make(state, byte)
+            ends.append(found & 0xFFFFF)
+            state = found >> 20
+        return ends, state
 
 
 class Utf8Machine:
@@ -162,24 +139,21 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         ranks = read_ranks(path)
         self._machine = Transducer(ranks)
-        self._find = regex.compile(pattern).finditer
+        self._find = regex.compile(pattern).findall
         self._words: dict[str, bytes] = {}
+        self._held = 0
         self._bytes = self._machine.text_of
 
     def encode(self, text: str | None) -> bytes:
-        words, out = self._words, []
-        if len(words) > MOST_WORDS:
+        words, found = self._words, self._find(text or "")
+        if len(words) > MOST_WORDS or self._held > MOST_BYTES:
             words.clear()
-        for match in self._find(text or ""):
-            word = match[0]
-            packed = words.get(word)
-            if packed is None:
-                ids = self._machine.encode(word.encode("utf-8"))
-                packed = struct.pack(f"<{len(ids)}I", *ids)
-                if len(word) <= 64:
-                    words[word] = packed
-            out.append(packed)
-        return b"".join(out)
+            self._held = 0
+        for word in set(found).difference(words):
+            ids = self._machine.encode(word.encode("utf-8"))
+            words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            self._held += len(word)
+        return b"".join(map(words.__getitem__, found))
 
     def decode(self, packed: bytes | None) -> str:
         machine, view, out = Utf8Machine(), memoryview(packed or b"").cast("I"), []

@@ -68,3 +68,96 @@ class MergeOrder:
             self._pairs.clear()
         self._pairs[a, b] = fine
         return fine
+
+
+class PrefixAutomaton:
+    """Reads bytes and tells the last token of the encoding of each prefix.
+
+    A state is the set of open readings: each start of a token that the bytes since then
+    may still complete, with the token before it. It is a deterministic machine over sets
+    of readings, made transition by transition when first needed. ``closed`` holds tokens
+    that only end a word.
+    """
+
+    def __init__(self, tokens: dict[bytes, int], order: MergeOrder, closed: dict[bytes, int] | None = None, most: int = 350_000):
+        self._order, self._most = order, most
+        self._child: dict[int, int] = {}
+        self._depth, self._open, self._close = [0], [-1], [-1]
+        self._inner = set()
+        for table, marks in ((tokens, self._open), (closed or {}, self._close)):
+            for token, number in table.items():
+                marks[self._node(token)] = number
+        self.reset()
+
+    def _node(self, token: bytes) -> int:
+        node = 0
+        for byte in token:
+            self._inner.add(node)
+            step = node << 8 | byte
+            after = self._child.get(step)
+            if after is None:
+                after = self._child[step] = len(self._depth)
+                self._depth.append(self._depth[node] + 1)
+                self._open.append(-1)
+                self._close.append(-1)
+            node = after
+        return node
+
+    def reset(self) -> None:
+        #: a state's readings, node and previous token packed in one number, oldest first
+        self._readings: list[tuple[int, ...]] = []
+        self._number: dict[tuple[int, ...], int] = {}
+        #: state and byte -> next state and token
+        self.steps: dict[int, int] = {}
+        self.last_steps: dict[int, int] = {}
+        self.start = self._state((0,))
+
+    def full(self) -> bool:
+        return len(self.steps) > self._most
+
+    def _state(self, key: tuple[int, ...]) -> int:
+        found = self._number.get(key)
+        if found is None:
+            found = self._number[key] = len(self._readings)
+            self._readings.append(key)
+        return found
+
+    def make_step(self, state: int, byte: int) -> int:
+        still, token = [], -1
+        child, marks, inner, adjacent = self._child, self._open, self._inner, self._order.adjacent
+        for reading in self._readings[state]:
+            node, before = reading >> 20, (reading & 0xFFFFF) - 1
+            after = child.get(node << 8 | byte)
+            if after is None:
+                continue
+            mark = marks[after]
+            if token < 0 <= mark and adjacent(before, mark):
+                token = mark
+            if after in inner:
+                still.append(after << 20 | before + 1)
+        if token < 0:
+            raise ValueError("the vocabulary does not hold every single byte")
+        still.append(token + 1)
+        made = self.steps[state << 8 | byte] = self._state(tuple(still)) << 20 | token
+        return made
+
+    def make_last(self, state: int, byte: int) -> int:
+        """The closing token if ``byte`` ends the word."""
+        for reading in self._readings[state]:
+            after = self._child.get(reading >> 20 << 8 | byte)
+            if after is not None:
+                mark = self._close[after]
+                if mark >= 0 and self._order.adjacent((reading & 0xFFFFF) - 1, mark):
+                    self.last_steps[state << 8 | byte] = mark
+                    return mark
+        raise ValueError("the vocabulary does not hold every single byte")
+
+    def open_starts(self, state: int, at: int) -> list[int]:
+        """Where the open readings begin, if ``at`` bytes have been read."""
+        return [at - self._depth[reading >> 20] for reading in self._readings[state]]
+
+    def rebuilt(self, state: int) -> int:
+        """Forget everything but this state; gives its new number."""
+        key = self._readings[state]
+        self.reset()
+        return self._state(key)

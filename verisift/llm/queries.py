@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import quality_rules, source_mix
+from verisift.llm import byte_bpe, quality_rules, source_mix, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +32,29 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = byte_bpe.transcode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return coded.select(
+        "doc_id",
+        (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    stored = token_counts.prefix_store(
+        sized, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id", "n_bytes"]
+    )
+    return stored.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mix": op2_source_mix,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op4_token_counts": op4_token_counts,
 }

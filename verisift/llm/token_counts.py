@@ -26,12 +26,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from verisift.llm.byte_bpe import SLICE_ROWS
+from verisift.llm.byte_bpe import MOST_BYTES, MOST_WORDS, SLICE_ROWS
 from verisift.llm.lets import require
-from verisift.llm.merge_order import MergeOrder
-
-MOST_WORDS = 300_000
-
+from verisift.llm.merge_order import MergeOrder, PrefixAutomaton
 
 def _byte_letters() -> dict[str, int]:
     """The printable stand-ins of bytes in byte-level vocabularies: bytes that print
@@ -69,53 +66,63 @@ class PrefixCounter:
             single = [self._open[bytes((c,))] for c in text]
             return [*single[:-1], self._closed[text[-1:]]] if closed else single
 
-        self._order = MergeOrder(lambda a, b: merges.get((a, b)), symbols)
-        self._longest = max(len(text) for text in (*self._open, *self._closed))
+        order = MergeOrder(lambda a, b: merges.get((a, b)), symbols)
+        self._machine = PrefixAutomaton(self._open, order, self._closed)
+        self._length = {i: len(text) for i, (text, _) in self._text.items()}
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._find = regex.compile(split).finditer
+        self._find, self._words_in = regex.compile(split).finditer, regex.compile(split).findall
         self._special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         self._specials = set(specials)
         self._words: dict[str, int] = {}
-
-    def _last(self, piece: bytes, at: int, ends: list[int], closed: bool) -> tuple[int, int]:
-        """The start and id of the last token of the prefix of length ``at``."""
-        tokens = self._closed if closed else self._open
-        for start in range(max(0, at - self._longest), at):
-            token = tokens.get(piece[start:at])
-            if token is not None and self._order.adjacent(ends[start], token):
-                return start, token
-        raise ValueError("the vocabulary does not hold every single byte")
+        self._held = 0
+
+    def _counts(self, piece: bytes) -> tuple[list[int], list[int]]:
+        """For each prefix of a piece: its tokens if the word goes on, and if it ends there."""
+        machine, length = self._machine, self._length
+        if machine.full():
+            machine.reset()
+        state, going, ended = machine.start, [0], [0]
+        for at, byte in enumerate(piece, 1):
+            step = state << 8 | byte
+            token = machine.last_steps.get(step)
+            if token is None:
+                token = machine.make_last(state, byte)
+            ended.append(going[at - length[token]] + 1)
+            found = machine.steps.get(step)
+            if found is None:
+                found = machine.make_step(state, byte)
+            going.append(going[at - length[found & 0xFFFFF]] + 1)
+            state = found >> 20
+        return going, ended
 
     def prefixes(self, word: str) -> list[int]:
         """Tokens of each prefix of a word, by characters, each taken as a whole word."""
-        piece = word.encode("utf-8")
-        ends, counts = [-1], [0]
-        for at in range(1, len(piece) + 1):
-            start, token = self._last(piece, at, ends, False)
-            ends.append(token)
-            counts.append(counts[start] + 1)
+        ended = self._counts(word.encode("utf-8"))[1]
         out, at = [0], 0
         for letter in word:
             at += len(letter.encode("utf-8"))
-            out.append(counts[self._last(piece, at, ends, True)[0]] + 1)
+            out.append(ended[at])
         return out
 
     def word(self, word: str) -> int:
         """Tokens of a whole word: the counts of its prefixes, closed at the end only."""
-        known = self._words.get(word)
-        if known is None:
-            piece = word.encode("utf-8")
-            ends, counts = [-1], [0]
-            for at in range(1, len(piece)):
-                start, token = self._last(piece, at, ends, False)
-                ends.append(token)
-                counts.append(counts[start] + 1)
-            known = counts[self._last(piece, len(piece), ends, True)[0]] + 1
-            if len(self._words) > MOST_WORDS:
-                self._words.clear()
-            if len(word) <= 64:
-                self._words[word] = known
-        return known
+        machine, length = self._machine, self._length
+        if machine.full():
+            machine.reset()
+        piece = word.encode("utf-8")
+        steps, make = machine.steps.get, machine.make_step
+        state, counts, at = machine.start, [0], 0
+        for byte in piece[:-1]:
+            at += 1
+            found = steps(state << 8 | byte)
+            if found is None:
+                found = make(state, byte)
+            counts.append(counts[at - length[found & 0xFFFFF]] + 1)
+            state = found >> 20
+        token = machine.last_steps.get(state << 8 | piece[-1])
+        if token is None:
+            token = machine.make_last(state, piece[-1])
+        return counts[at + 1 - length[token]] + 1
 
     def _segments(self, text: str) -> list[str]:
         """Ordinary stretches and special strings; only the latter stay as they are."""
@@ -130,20 +137,22 @@ class PrefixCounter:
             s if s in self._specials else regex.sub(r"\s+", " ", self._plain(s)) for s in self._segments(text)
         )
 
-    def sums(self, text: str | None) -> list[int]:
+    def sums(self, text: str | None) -> np.ndarray:
         """Tokens up to the end of each word or special string, in order."""
-        total, out = 0, []
-        known, count = self._words.get, self.word
+        known, steps = self._words, []
+        if len(known) > MOST_WORDS or self._held > MOST_BYTES:
+            known.clear()
+            self._held = 0
         for segment in self._segments(text or ""):
             if segment in self._specials:
-                total += 1
-                out.append(total)
+                steps.append(1)
                 continue
-            for match in self._find(self._plain(segment)):
-                word = match[0]
-                total += known(word) or count(word)
-                out.append(total)
-        return out
+            words = self._words_in(self._plain(segment))
+            for word in set(words).difference(known):
+                known[word] = self.word(word)
+                self._held += len(word)
+            steps.extend(map(known.__getitem__, words))
+        return np.cumsum(steps, dtype=np.int32)
 
     def _pieces(self, text: str) -> list[tuple[int, int, bool]]:
         """Start, end and special mark of the words of a normalised text."""
@@ -160,7 +169,7 @@ class PrefixCounter:
         """Tokens of the first ``length`` characters of a normalised text."""
         pieces = self._pieces(text)
         whole = bisect.bisect_right([end for _, end, _ in pieces], length)
-        base = sums[whole - 1] if whole else 0
+        base = int(sums[whole - 1]) if whole else 0
         if whole == len(pieces) or pieces[whole][0] >= length:
             return base
         rest = text[pieces[whole][0] : length]
@@ -212,9 +221,9 @@ def prefix_store(docs: DataFrame, path: str, keep: list[str] | None = None) -> D
         own = counter(path)
         sums = [own.sums(t.as_py()) for t in texts]
         starts = np.cumsum([0, *map(len, sums)], dtype=np.int64)
-        flat = np.concatenate([np.asarray(s, np.int32) for s in sums]) if sums else np.zeros(0, np.int32)
+        flat = np.concatenate([np.zeros(0, np.int32), *sums])
         return [
-            pa.array([s[-1] if s else 0 for s in sums], pa.int64()),
+            pa.array([int(s[-1]) if len(s) else 0 for s in sums], pa.int64()),
             pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat, pa.int32())),
         ]
 
