@@ -63,4 +63,42 @@ SELECT doc_id, size, source_size, target,
        CAST(floor(rank * rate + u) - floor((rank - 1) * rate + u) AS BIGINT) * size AS taken FROM x
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2}
+OP9 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 2), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 100 * count(*) >= 85 * (na.n + nb.n - count(*))),
+e AS MATERIALIZED (SELECT x, y FROM p UNION SELECT y, x FROM p),
+reach(x, y) AS (SELECT x, y FROM e UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x),
+c AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(d.doc_id, coalesce(c.y, d.doc_id)) AS component_id,
+       d.doc_id = least(d.doc_id, coalesce(c.y, d.doc_id)) AS kept
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN c ON d.doc_id = c.x
+"""
+
+OP10 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+win AS (SELECT doc_id, i, hash(array_to_string(list_slice(w, i, i + 34), ' ')) AS h
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) > 34)),
+twin AS MATERIALIZED (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY h) > 1),
+span AS (SELECT doc_id, i, greatest(i, coalesce(max(i + 35) OVER (PARTITION BY doc_id ORDER BY i
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS a, i + 35 AS b FROM twin),
+gone AS (SELECT doc_id, list(p) AS ps FROM (SELECT doc_id, unnest(range(a, b)) AS p FROM span) GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS m,
+             array_to_string(CASE WHEN ps IS NULL THEN w ELSE list_transform(list_filter(
+               list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(ps, z[2])), lambda z: z[1]) END, ' ') AS t
+      FROM d LEFT JOIN gone ON d.doc_id = gone.doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(t) AS kept_sha256 FROM k
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op9_minhash": OP9, "op10_substring_dedup": OP10}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import byte_bpe, quality_rules, source_mix, token_counts
+from verisift.llm import byte_bpe, minhash, quality_rules, source_mix, substring, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,9 +52,19 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.components_of(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.removal_digests(table(spark, sf_dir, "documents"), window=35)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mix": op2_source_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op9_minhash": op9_minhash,
+    "op10_substring_dedup": op10_substring_dedup,
 }
