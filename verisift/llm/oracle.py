@@ -63,6 +63,18 @@ SELECT doc_id, size, source_size, target,
        CAST(floor(rank * rate + u) - floor((rank - 1) * rate + u) AS BIGINT) * size AS taken FROM x
 """
 
+OP5 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM p) WHERE place <= 20
+"""
+
 OP9 = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -101,4 +113,4 @@ k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS m,
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(t) AS kept_sha256 FROM k
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op9_minhash": OP9, "op10_substring_dedup": OP10}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op5_topk_search": OP5, "op9_minhash": OP9, "op10_substring_dedup": OP10}

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verisift.llm import byte_bpe, minhash, quality_rules, source_mix, substring, token_counts
+from verisift.llm import (
+    byte_bpe,
+    lang_id,
+    line_dedup,
+    lm_score,
+    minhash,
+    quality_rules,
+    source_mix,
+    substring,
+    token_counts,
+    topk,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +63,26 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter("vec_id % 20 = 0"), k=20)
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), lm_score.fold_of("doc_id"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.decisions(table(spark, sf_dir, "documents"))
+
+
+def op8_lang_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", lang_id.fold("doc_id", 5) == 0)
+    idf, fitted = lang_id.train(docs.filter("NOT held_out").select("doc_id", "text", "lang"))
+    found = lang_id.predict(docs, idf, fitted)
+    return found.select("doc_id", (lang_id.fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.components_of(table(spark, sf_dir, "documents"), width=3, num=85, den=100)
 
@@ -65,6 +96,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_token_counts": op4_token_counts,
+    "op5_topk_search": op5_topk_search,
+    "op6_lm_score": op6_lm_score,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_lang_id": op8_lang_id,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
 }
