@@ -3,13 +3,14 @@
 A line is the set of its words. Words are ordered by rarity: a histogram of 65,536 word
 buckets over the whole corpus, on a logarithmic scale, then the word's hash. Two sets with
 a Jaccard similarity of 0.8 share a word among the first ``n / 5 + 1`` of each (prefix
-filter); sizes differ by a fifth at most (length filter); and the places of the shared word
-bound what can follow (positional filter). What remains is verified on the whole sets.
+filter); sizes differ by a fifth at most (length filter); the places of the shared word bound
+what can follow (positional filter); and parity bits bound how many words differ. What
+remains is verified on the whole sets.
 
 A line goes if an earlier line, by ``doc_id`` and line number, is equal or similar enough.
 One earlier match settles a line, so no pairs are listed within a group: equal sets fold to
-their first line; in each group of a word, the earliest and the most copied sets are compared
-with the open lines, then leave the group; rounds go on, with four times as many of them,
+their first line; in each group of a word, the most copied and earliest sets are compared with
+the open lines, then leave the group; rounds go on, with four times as many of them,
 until no group holds an open line behind an uncompared one.
 
 Edge cases: NULL texts and lines without words match nothing and stay; a NULL ``doc_id``
@@ -52,8 +53,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def rarity(docs: DataFrame) -> bytes:
     """A letter of 1 to 127 per word bucket, higher for more frequent ones; fixed size."""
-    words = _lines(docs).select(F.explode("words").alias("w"))
-    counts = words.groupBy(F.col("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    buckets = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
+    counts = docs.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     letters = bytearray(b"\x01" * BUCKETS)
     for row in counts.collect():  # one row per bucket
         letters[row.b] = 1 + min(126, int(3 * math.log2(row.n)))
@@ -76,23 +77,33 @@ def _ref() -> Column:
     return F.struct("doc", "pos")
 
 
+def _parity(words: Column) -> Column:
+    """64 bits, each the parity of the words that fall on it: two sets differ in at least
+    as many words as these differ in bits."""
+    return F.aggregate(
+        words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int")))
+    )
+
+
 def first_lines(docs: DataFrame, letters: bytes) -> DataFrame:
-    """One row per distinct set: its first line, its copies, its size and its prefix."""
+    """One row per distinct set: its first line, copies, size, parity bits and prefix."""
     sets = _lines(docs).select("doc", "pos", _ordered(F.col("words"), letters).alias("set"))
     keyed = sets.select(
         F.xxhash64("set").alias("set_a"),
         F.hash("set").alias("set_b"),
         F.size("set").alias("n"),
-        F.struct("doc", "pos", F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")).alias("prefix")).alias("line"),
+        F.struct(
+            "doc", "pos", _parity(F.col("set")).alias("bits"), F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")).alias("prefix")
+        ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
-        "line.doc", "line.pos", "n", "copies", "line.prefix"
+        "line.doc", "line.pos", "n", "copies", "line.bits", "line.prefix"
     )
 
 
 def _members(firsts: DataFrame) -> DataFrame:
     """Prefix words that occur in two sets or more, with the sets that hold them."""
-    postings = firsts.select("doc", "pos", "n", "copies", F.posexplode("prefix").alias("at", "word"))
+    postings = firsts.select("doc", "pos", "n", "copies", "bits", F.posexplode("prefix").alias("at", "word"))
     shared = postings.groupBy("word").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("word")
     return postings.join(shared, "word", "left_semi")
 
@@ -107,30 +118,27 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, letters: bytes) -> DataFrame
 
 
 def _possible(a: str, b: str) -> Column:
-    """Length and positional filters for two postings of one word."""
+    """Length, positional and parity filters for two postings of one word.
+
+    Sets with a similarity of 0.8 differ in at most a ninth of their sizes together.
+    """
     na, nb, ia, ib = (F.col(f"{s}.{c}") for c in ("n", "at") for s in (a, b))
     most = F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)
-    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * most >= 4 * (na + nb))
+    apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
+    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * most >= 4 * (na + nb)) & (9 * apart <= na + nb)
 
 
 def near_removed(docs: DataFrame, firsts: DataFrame, letters: bytes) -> DataFrame:
     """doc and pos of the first lines of sets that are similar to an earlier set."""
     members = _saved(_members(firsts), "line-members")
     gone = None
-    sets = None
-    open_members, hubs_left, each = members, members, 1
+    open_members, hubs_left, each = members, members, 2
     while True:
+        # the most copied sets of each word are compared first, earlier ones before later
         part = F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")
-        entry = F.struct("doc", "pos", "n", "at", "copies")
-        best = hubs_left.groupBy("word", part).agg(
-            F.min(entry).alias("early"),
-            F.max(F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), "doc", "pos", "n", "at")).alias("most"),
-        )
-        hubs = best.select("word", F.explode(F.array_distinct(F.array(
-            F.struct(*[F.col(f"early.{c}") for c in ("doc", "pos", "n", "at")]),
-            F.struct(*[F.col(f"most.{c}") for c in ("doc", "pos", "n", "at")]),
-        ))).alias("h")).select("word", "h.*")
-        hubs = _saved(hubs, "line-hubs")
+        order = F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), "doc", "pos", "n", "at", "bits")
+        best = hubs_left.groupBy("word", part).agg(F.max(order).alias("h"))
+        hubs = _saved(best.select("word", *[F.col(f"h.{c}") for c in ("doc", "pos", "n", "at", "bits")]), "line-hubs")
         pairs = _saved(
             open_members.alias("x")
             .join(hubs.alias("h"), "word")
@@ -141,9 +149,8 @@ def near_removed(docs: DataFrame, firsts: DataFrame, letters: bytes) -> DataFram
             "line-pairs",
         )
         if not pairs.isEmpty():
-            if sets is None:
-                wanted = members.select("doc", "pos").distinct()
-                sets = _saved(_whole_sets(docs, wanted, letters), "line-sets")
+            ends = pairs.select("doc", "pos").union(pairs.select("hub_doc", "hub_pos")).distinct()
+            sets = _saved(_whole_sets(docs, ends, letters), "line-sets")
             both = pairs.join(sets, ["doc", "pos"]).join(
                 sets.select(F.col("doc").alias("hub_doc"), F.col("pos").alias("hub_pos"), F.col("set").alias("hub_set")),
                 ["hub_doc", "hub_pos"],
