@@ -49,7 +49,7 @@ def test_contract_json_array(spark, tmp_path):
          "num_tiers": 3, "base_discount": null, "rebate_rate": 123456, "bundle_flag": null}
         ]"""
     )
-    df = adapter_for("contracts").transform(raw.read_raw(spark, str(path), file_format="json"))
+    df = adapter_for("contracts").transform(raw.read_raw(spark, str(path), file_format="json", document="array"))
     one, two = df.orderBy("contract_id").collect()
     assert one["_valid"] is True and one["discount_pct"] == Decimal("0.0500")
     assert one["tier_count"] == 3 and one["multi_product_flag"] == "Y"

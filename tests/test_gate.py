@@ -109,6 +109,19 @@ def test_silver_job_end_to_end(spark, layout, tmp_path):
     assert notice["rule_id"] == "quarantine-edi_867" and notice["passed"] is False
     everything = silver_job(spark, "edi_867", layout, date=None)
     assert everything.total_count == 3
+    for _ in range(2):  # both days stay, and repeated runs change nothing
+        silver_job(spark, "edi_867", layout, threshold=85.0)
+        kept = spark.read.parquet(layout.silver("edi_867"))
+        assert sorted(r["transaction_id"] for r in kept.collect()) == ["T0", "T1"]
+        held = spark.read.parquet(layout.quarantine("edi_867"))
+        assert [r["transaction_id"] for r in held.collect()] == ["T2"]
+
+
+def test_json_lines_keep_every_row(spark, layout, tmp_path):
+    path = tmp_path / "in.json"
+    path.write_text('{"a": 1}\n{"a": 2}\n{"a": 3}\n')
+    assert raw.ingest(spark, str(path), "lines", layout, file_format="json", date="2026-01-14") == 3
+    assert sorted(r["a"] for r in raw.read_partition(spark, "lines", layout).collect()) == ["1", "2", "3"]
 
 
 def test_audit_columns(spark):

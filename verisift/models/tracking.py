@@ -100,13 +100,15 @@ def promote(spark: SparkSession, layout: Layout, run_id: str, stage: str) -> Non
 
 def latest(rows: DataFrame, *keys: str, order: str = "started_at") -> DataFrame:
     """The newest row of every key."""
-    newest = F.max_by(F.struct(*rows.columns), order)
+    whole = F.struct(*rows.columns)
+    # equal or missing times are told apart by the row itself
+    newest = F.max_by(whole, F.struct(order, F.xxhash64(F.to_json(whole))))
     return rows.groupBy(*keys).agg(newest.alias("_row")).select("_row.*")
 
 
 def model_stages(runs: DataFrame) -> DataFrame:
-    """The newest run of every model in every stage."""
-    return latest(runs, "model_name", "stage")
+    """The newest run of every model in every stage; a run counts in its last stage only."""
+    return latest(latest(runs, "run_id"), "model_name", "stage")
 
 
 def _known_stage(stage: str) -> None:

@@ -17,6 +17,8 @@ THRESHOLDS = {"dev": 30.0, "staging": 40.0, "prod": 40.0}
 DEFAULT_THRESHOLD = THRESHOLDS["prod"]
 BELOW_THRESHOLD = "below_dq_threshold"
 NO_SCORE = "missing_dq_score"
+#: Partition column of what is written for one ingest day.
+DAY_COLUMN = "ingest_date"
 
 
 @dataclass(frozen=True)
@@ -63,19 +65,27 @@ def with_quarantine_reason(df: DataFrame, reason: str = BELOW_THRESHOLD) -> Data
 
 
 def write_quarantine(
-    df: DataFrame, entity: str, layout: Layout, *, reason: str = BELOW_THRESHOLD
+    df: DataFrame, entity: str, layout: Layout, *, reason: str = BELOW_THRESHOLD, day: str | None = None
 ) -> int:
-    """Append the rows with their reason to the quarantine and return their number."""
+    """Write the rows with their reason to the quarantine and return their number.
+
+    With a ``day`` they replace that day's folder, so a repeated run leaves one copy;
+    without they are appended.
+    """
     seen = Observation()
     (
         with_quarantine_reason(df, reason)
         .observe(seen, F.count(F.lit(1)).alias("rows"))
-        .write.mode("append")
-        .parquet(layout.quarantine(entity))
+        .write.mode("overwrite" if day else "append")
+        .parquet(_folder(layout.quarantine(entity), day))
     )
     return seen.get["rows"]
 
 
+def _folder(root: str, day: str | None) -> str:
+    return f"{root}/{DAY_COLUMN}={day}" if day else root
+
+
 def write_silver(df: DataFrame, entity: str, layout: Layout, *, date_column: str | None = None) -> None:
     """Replace the entity, or only the dates present in ``df`` when partitioned by date.
 
@@ -101,6 +111,7 @@ def run_gate(
     threshold: float = DEFAULT_THRESHOLD,
     weights: Mapping[str, float] | None = None,
     date_column: str | None = None,
+    day: str | None = None,
     count_score_column: bool = False,
     checkpoint: bool = False,
 ) -> GateResult:
@@ -109,7 +120,9 @@ def run_gate(
     The counts are observed while the passed rows are written, so the input is read
     once, and a second time only when there is something to quarantine. Set
     ``checkpoint`` when ``df`` is costly to compute (shuffles, not just a scan): it is
-    then stored once and both parts are written from there.
+    then stored once and both parts are written from there. With a ``day`` both parts
+    replace that day only, the quarantine first: a run that fails or is repeated neither
+    loses nor doubles a row, and other days stay.
     """
     scored = with_quality_score(df, weights=weights, count_score_column=count_score_column)
     if checkpoint:
@@ -118,6 +131,13 @@ def run_gate(
     if layout is None:
         passed, quarantined = split_by_score(scored, threshold)
         found = gate_summary(scored, threshold).first().asDict()
+    elif day:
+        seen = Observation()
+        _, rejected = split_by_score(scored.observe(seen, *_summary(threshold)), threshold)
+        write_quarantine(rejected, entity, layout, day=day)
+        passed, quarantined = split_by_score(scored, threshold)
+        passed.write.mode("overwrite").parquet(_folder(layout.silver(entity), day))
+        found = seen.get
     else:
         seen = Observation()
         watched, _ = split_by_score(scored.observe(seen, *_summary(threshold)), threshold)

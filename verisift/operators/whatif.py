@@ -18,11 +18,9 @@ from verisift.functions.exprs import ratio
 # Fixed value: share of gross sales assumed to remain today.
 BASELINE_NET_SHARE = 0.85
 
-SCENARIO_ROWS = (
-    "position INT, scenario STRING, customer_segment STRING, "
-    "tiers ARRAY<STRUCT<threshold: DECIMAL(18,4), discount_pct: DECIMAL(8,4), "
-    "rebate_pct: DECIMAL(8,4)>>"
-)
+# Wide enough for thresholds and percentages as they are written; products stay exact.
+THRESHOLD, PERCENT = "DECIMAL(28,10)", "DECIMAL(10,8)"
+TIERS = "ARRAY<STRUCT<threshold: {0}, discount_pct: {1}, rebate_pct: {1}>>"
 COMPARISON = (
     "scenario",
     "gross_revenue",
@@ -52,9 +50,9 @@ def scenario_frame(spark: SparkSession, scenarios: Sequence[Scenario]) -> DataFr
             if t is not None
         ]
         rows.append((position, s.name, s.customer_segment, tiers))
-    loose = SCENARIO_ROWS.replace("DECIMAL(18,4)", "DOUBLE").replace("DECIMAL(8,4)", "DOUBLE")
-    tier_type = SCENARIO_ROWS.split("tiers ", 1)[1]
-    return spark.createDataFrame(rows, loose).withColumn("tiers", F.col("tiers").cast(tier_type))
+    schema = "position INT, scenario STRING, customer_segment STRING, tiers " + TIERS.format("DOUBLE", "DOUBLE")
+    exact = F.col("tiers").cast(TIERS.format(THRESHOLD, PERCENT))
+    return spark.createDataFrame(rows, schema).withColumn("tiers", exact)
 
 
 def simulate(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
@@ -64,9 +62,9 @@ def simulate(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
     made by ``scenario_frame``.
     """
     nothing = F.struct(
-        F.lit(None).cast("decimal(18,4)").alias("threshold"),
-        F.lit(0).cast("decimal(8,4)").alias("discount_pct"),
-        F.lit(0).cast("decimal(8,4)").alias("rebate_pct"),
+        F.lit(None).cast(THRESHOLD).alias("threshold"),
+        F.lit(0).cast(PERCENT).alias("discount_pct"),
+        F.lit(0).cast(PERCENT).alias("rebate_pct"),
     )
     # Tier 0 is every sale of the segment; it carries the gross revenue.
     tiers = scenarios.select(
@@ -82,7 +80,7 @@ def simulate(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
     reached = F.size(F.filter("_cuts", lambda cut: cut <= F.col("gross_amount")))
     totals = (
         sales.select("customer_segment", "gross_amount")
-        .join(F.broadcast(cuts), "customer_segment")
+        .join(cuts, "customer_segment")
         .groupBy("customer_segment", reached.alias("_level"))
         .agg(F.sum("gross_amount").alias("_gross"))
     )

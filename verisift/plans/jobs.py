@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from verisift.operators.adapters import adapter_for
 from verisift.operators.gate import DEFAULT_THRESHOLD, GateResult, notify_quarantine, run_gate
 from verisift.sources.feature_store import read_feature_table, write_feature_table
 from verisift.sources.layout import Layout
-from verisift.sources.raw import read_partition
+from verisift.sources.raw import partition_dates, read_partition
 from verisift.sources.tables import publish_scores
 
 
@@ -29,10 +30,34 @@ def silver_job(
     date: str | None = "latest",
     threshold: float = DEFAULT_THRESHOLD,
 ) -> GateResult:
-    """Read a raw partition, map it to its canonical entity, score it and write both outcomes."""
-    raw = read_partition(spark, entity, layout, date=date)
-    result = run_gate(
-        adapter_for(entity).transform(raw), entity, layout=layout, threshold=threshold
+    """Map raw partitions to their canonical entity, score them and write both outcomes.
+
+    Each ingest date is replaced on its own (``date=None``: every date there is), so other
+    dates stay and a repeated run changes nothing.
+    """
+    days = partition_dates(spark, layout.bronze(entity))
+    if not days:
+        raise ValueError(f"no raw partition of {entity!r} below {layout.bronze(entity)}")
+    chosen = days if date is None else [days[-1] if date == "latest" else date]
+    adapter = adapter_for(entity)
+    results = [
+        run_gate(
+            adapter.transform(read_partition(spark, entity, layout, date=day)),
+            entity,
+            layout=layout,
+            threshold=threshold,
+            day=day,
+        )
+        for day in chosen
+    ]
+    total = sum(r.total_count for r in results)
+    result = GateResult(
+        passed=reduce(DataFrame.unionByName, [r.passed for r in results]),
+        quarantined=reduce(DataFrame.unionByName, [r.quarantined for r in results]),
+        total_count=total,
+        passed_count=sum(r.passed_count for r in results),
+        quarantined_count=sum(r.quarantined_count for r in results),
+        mean_dq_score=round(sum(r.mean_dq_score * r.total_count for r in results) / max(total, 1), 2),
     )
     if result.quarantined_count:
         notify_quarantine(spark, entity, result.quarantined_count, layout)

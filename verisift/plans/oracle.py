@@ -688,7 +688,7 @@ REGISTERED = """reg AS (
 Q["catalog_search"] = f"""
 WITH {REGISTERED}
 SELECT name, version, domain, definition, registered_at FROM reg
-WHERE rn = 1 AND name ILIKE '%ring%' ORDER BY name, version LIMIT 100"""
+WHERE rn = 1 AND name ILIKE '%ring%'"""
 Q["catalog_get"] = f"""
 WITH {REGISTERED}
 SELECT name, version, domain, definition, registered_at FROM reg
@@ -920,14 +920,15 @@ FROM runs GROUP BY stage"""
 
 WHATIF = f"""{TX}, scenario AS (
   SELECT * FROM (VALUES (0, 'current', 'BUILDING'), (1, 'flat', 'BUILDING'),
-                        (2, 'steep', 'MACHINERY'), (3, 'nowhere', 'ABSENT'))
+                        (2, 'steep', 'MACHINERY'), (3, 'nowhere', 'ABSENT'), (4, 'fine', 'HOUSEHOLD'))
            AS s(position, scenario, segment)),
 tier AS (
-  SELECT position, CAST(threshold AS {MONEY}) AS threshold, CAST(d AS DECIMAL(8,4)) AS d,
-         CAST(r AS DECIMAL(8,4)) AS r
+  SELECT position, CAST(threshold AS DECIMAL(28,10)) AS threshold, CAST(d AS DECIMAL(18,10)) AS d,
+         CAST(r AS DECIMAL(18,10)) AS r
   FROM (VALUES (0, 0, 0.02, 0.01), (0, 20000, 0.03, 0.02), (0, 50000, 0.05, 0.02),
                (1, 0, 0.08, 0), (2, 10000, 0.05, 0.02), (2, 60000, 0.1, 0.02),
-               (2, 90000, 0, 0.04), (3, 0, 0.5, 0.1), (3, 10, 0.5, 0.1))
+               (2, 90000, 0, 0.04), (3, 0, 0.5, 0.1), (3, 10, 0.5, 0.1),
+               (4, 0, 0.01255, 0), (4, 20000.12345, 0.00005, 0.015))
          AS t(position, threshold, d, r)),
 cost AS (
   SELECT t.position, sum(CAST(gross_amount AS DOUBLE) * d) AS total_discount,

@@ -19,7 +19,6 @@ FEATURE_ROWS = (
     "registered_at TIMESTAMP"
 )
 LINEAGE_ROWS = "source STRING, target STRING, relation STRING"
-SEARCH_LIMIT = 100
 
 
 @dataclass(frozen=True)
@@ -65,18 +64,24 @@ def registered_features(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def current_features(registrations: DataFrame) -> DataFrame:
     """The newest registration of every (name, version)."""
-    row = F.max_by(F.struct(*registrations.columns), "registered_at")
+    whole = F.struct(*registrations.columns)
+    # equal times are told apart by the row itself
+    row = F.max_by(whole, F.struct("registered_at", F.xxhash64(F.to_json(whole))))
     return registrations.groupBy("name", "version").agg(row.alias("_row")).select("_row.*")
 
 
 def search_features(
-    registrations: DataFrame, query: str = "*", *, limit: int = SEARCH_LIMIT
+    registrations: DataFrame, query: str = "*", *, limit: int | None = None
 ) -> DataFrame:
-    """Definitions whose name contains the keyword, in name order; ``*`` matches all."""
+    """Definitions whose name contains the keyword; ``*`` matches all.
+
+    All of them, in no order; with a ``limit`` the first ones by name and version.
+    """
     hits = registrations
     if query != "*":
         hits = hits.where(F.contains(F.lower("name"), F.lower(F.lit(query))))
-    return current_features(hits).orderBy("name", "version").limit(limit)
+    found = current_features(hits)
+    return found if limit is None else found.orderBy("name", "version").limit(limit)
 
 
 def get_feature_definition(registrations: DataFrame, name: str) -> DataFrame:

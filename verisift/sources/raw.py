@@ -13,8 +13,10 @@ from verisift.sources.layout import Layout
 # so that the type of a column does not depend on the values of one delivery.
 READER_OPTIONS = {
     "csv": {"header": "true", "inferSchema": "false"},
-    "json": {"multiLine": "true", "primitivesAsString": "true"},
+    "json": {"multiLine": "false", "primitivesAsString": "true", "mode": "FAILFAST"},
 }
+# A JSON file holds one object per line, or is one document that spans lines.
+JSON_DOCUMENTS = {"lines": "false", "array": "true"}
 
 
 def read_raw(
@@ -22,10 +24,18 @@ def read_raw(
     path: str,
     *,
     file_format: str = "csv",
+    document: str = "lines",
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Read files of any Spark format; options of the caller win over the defaults."""
-    merged = {**READER_OPTIONS.get(file_format, {}), **(options or {})}
+    """Read files of any Spark format; options of the caller win over the defaults.
+
+    JSON is read line by line, so large files are split; ``document="array"`` reads each
+    file as one array or object over many lines. Text that is not JSON fails the read.
+    """
+    merged = dict(READER_OPTIONS.get(file_format, {}))
+    if file_format == "json":
+        merged["multiLine"] = JSON_DOCUMENTS[document]
+    merged |= options or {}
     return spark.read.format(file_format).options(**merged).load(path)
 
 
@@ -37,6 +47,7 @@ def ingest(
     *,
     file_format: str = "csv",
     date: str | None = None,
+    document: str = "lines",
     options: Mapping[str, str] | None = None,
 ) -> int:
     """Append the files to the raw layer under ``date=`` and return the number of rows.
@@ -44,7 +55,7 @@ def ingest(
     The count is observed while writing; the source is read once.
     """
     return ingest_frame(
-        read_raw(spark, path, file_format=file_format, options=options), entity, layout, date=date
+        read_raw(spark, path, file_format=file_format, document=document, options=options), entity, layout, date=date
     )
 
 
