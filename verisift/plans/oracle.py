@@ -928,7 +928,7 @@ tier AS (
   FROM (VALUES (0, 0, 0.02, 0.01), (0, 20000, 0.03, 0.02), (0, 50000, 0.05, 0.02),
                (1, 0, 0.08, 0), (2, 10000, 0.05, 0.02), (2, 60000, 0.1, 0.02),
                (2, 90000, 0, 0.04), (3, 0, 0.5, 0.1), (3, 10, 0.5, 0.1),
-               (4, 0, 0.01255, 0), (4, 20000.12345, 0.00005, 0.015))
+               (4, 0, 0.012551, 0), (4, 20000.12345, 0.00005, 0.015))
          AS t(position, threshold, d, r)),
 cost AS (
   SELECT t.position, sum(CAST(gross_amount AS DOUBLE) * d) AS total_discount,

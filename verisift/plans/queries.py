@@ -889,7 +889,7 @@ SCENARIOS = (
     whatif.Scenario("flat", "BUILDING", [0], [0.08], [0.0]),
     whatif.Scenario("steep", "MACHINERY", [10000, 60000, 90000], [0.05, 0.1], [0.02, 0.02, 0.04]),
     whatif.Scenario("nowhere", "ABSENT", [0, 10], [0.5, 0.5], [0.1, 0.1]),
-    whatif.Scenario("fine", "HOUSEHOLD", [0, 20000.12345], [0.01255, 0.00005], [0, 0.015]),
+    whatif.Scenario("fine", "HOUSEHOLD", [0, 20000.12345], [0.012551, 0.00005], [0, 0.015]),
 )
 
 
