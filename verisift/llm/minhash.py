@@ -9,8 +9,10 @@ and the stated chance to miss a pair.
 Links are confirmed on whole sets. Equal sets fold to one representative first. Inside a
 bucket no pairs are listed: a few hubs are compared with the other members, then leave the
 bucket; a bucket is finished when all that is left of it belongs to one component already.
-Buckets where false candidates meet take more rounds, with four times the hubs each time,
-so every pair that could join two components is compared.
+Buckets where false candidates meet take more rounds, with sixteen times the hubs each time,
+so every pair that could join two components is compared. Sizes and parity bits come before
+the whole sets: two sets differ in at least as many shingles as their 512 parity bits do, so
+pairs that differ in more than the threshold allows are never listed, and no link is lost.
 
 Edge cases: without words a document has no shingles and is linked with nothing; with fewer
 words than a shingle the whole sequence is one; a NULL ``doc_id`` gets no component and is
@@ -25,7 +27,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verisift.llm.graph import connect
@@ -36,7 +38,11 @@ from verisift.session import scratch_path
 SLOT_BITS = 22
 ROWS_PER_BAND = 4
 MISS = 1e-8
-SALTS = 16
+PARITY_WORDS = 8
+#: Pairs of one hub that are confirmed together; a hub with more is dealt over several tasks.
+PAIRS_TOGETHER = 64
+#: Documents to confirm are looked up by broadcast up to this number, by a shuffle beyond it.
+MOST_BROADCAST = 1_000_000
 _RANKS: dict[int, np.ndarray] = {}
 
 
@@ -76,19 +82,27 @@ def band_keys(shingles: np.ndarray, bands: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Whether each bit's shingles are odd in number, as signed 64-bit numbers."""
+    size = 64 * PARITY_WORDS
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (size - 1), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit print of the set, and its buckets (NULL if empty)."""
+    """doc_id, n_shingles, a 128-bit print of the set, its parity bits and its buckets (NULL if empty)."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 piece = batch.slice(at, 512)
-                sizes, first, second, keys = [], [], [], []
+                sizes, first, second, bits, keys = [], [], [], [], []
                 for text in piece.column(1):
                     own = shingle_set(text.as_py(), width)
                     sizes.append(len(own))
                     first.append(int(mixed(own).sum(dtype=np.uint64).view(np.int64)))
                     second.append(int(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
+                    bits.append(parity(own))
                     keys.append(band_keys(own, bands) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -96,12 +110,13 @@ def sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
                         pa.array(sizes, pa.int64()),
                         pa.array(first, pa.int64()),
                         pa.array(second, pa.int64()),
+                        pa.array(bits, pa.list_(pa.int64())),
                         pa.array(keys, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_shingles", "print_a", "print_b", "keys"],
+                    names=["doc_id", "n_shingles", "print_a", "print_b", "bits", "keys"],
                 )
 
-    schema = "doc_id long, n_shingles long, print_a long, print_b long, keys array<long>"
+    schema = "doc_id long, n_shingles long, print_a long, print_b long, bits array<long>, keys array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -115,7 +130,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 packed = [shingle_set(t.as_py(), width).tobytes() for t in piece.column(1)]
                 yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
 
-    met = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
+    some = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
+    met = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(some, "node", "left_semi")
     return met.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
 
 
@@ -136,12 +152,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
                     [piece.column(0).filter(mask), piece.column(1).filter(mask)], names=["a", "b"]
                 )
 
-    salted = pairs.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    hubs = (
-        sets.join(pairs.select(F.col("hub").alias("node")).distinct(), "node", "left_semi")
-        .select(F.col("node").alias("hub"), F.col("packed").alias("hub_packed"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    )
-    both = salted.join(sets, "node").join(hubs, ["hub", "salt"])
+    pieces = pairs.groupBy("hub").agg((F.count(F.lit(1)) / PAIRS_TOGETHER).cast("int").alias("more"))
+    hubs = sets.withColumnsRenamed({"node": "hub", "packed": "hub_packed"}).join(pieces, "hub")
+    dealt = hubs.select("hub", "hub_packed", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("salt"))
+    salted = pairs.join(pieces, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("more") + 1).cast("int").alias("salt"))
+    both = salted.join(sets, "node").join(dealt, ["hub", "salt"])
     return both.select("hub", "node", "hub_packed", "packed").mapInArrow(run, "a long, b long")
 
 
@@ -151,6 +166,22 @@ def _saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _near(a: str, b: str, num: int, den: int) -> Column:
+    """Size and parity filters: what no pair with den * shared >= num * united fails."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = sum(
+        (F.bit_count(F.get(f"{a}.bits", F.lit(i)).bitwiseXOR(F.get(f"{b}.bits", F.lit(i)))) for i in range(PARITY_WORDS)), F.lit(0)
+    )
+    return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & ((den + num) * apart <= (den - num) * (na + nb))
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their labels, of buckets that still hold two components or more."""
+    known = members.join(labels, "node")
+    going = known.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a < b").select("key")
+    return known.join(going, "key", "left_semi")
+
+
 def components_of(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, miss: float = MISS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
     require(docs, "doc_id", "text")
@@ -161,47 +192,44 @@ def components_of(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
         spark,
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy(*same)
-        .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")),
+        .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("bits", "keys")).alias("own"))
+        .select(*same, "node", "copies", "own.bits", "own.keys"),
         "minhash-classes",
     )
-    postings = classes.select(F.explode("keys").alias("key"), "node", "copies", F.col("n_shingles").alias("n"))
-    crowded = _saved(spark, postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), "minhash-crowded")
-    members = _saved(spark, postings.join(crowded.select("key"), "key", "left_semi"), "minhash-members")
-    nodes = members.select("node").distinct()
-    sets = _saved(spark, _sets(docs, nodes, width), "minhash-sets")
-    labels = _saved(spark, nodes.withColumn("label", F.col("node")), "minhash-labels")
+    postings = classes.select(F.explode("keys").alias("key"), "node")
+    crowded = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    shared = postings.join(crowded, "key", "left_semi")
+    members = shared.join(classes.select("node", "copies", F.col("n_shingles").alias("n"), "bits"), "node")
+    members = _saved(spark, members.withColumn("label", F.col("node")), "minhash-members")
+    labels = _saved(spark, members.select("node", "label").distinct(), "minhash-labels")
     hubs_each = 1
-    while True:
+    while not members.isEmpty():
         # hubs come from the labels with the fewest members, most copies first
-        known = members.join(labels, "node")
         part = F.pmod(F.xxhash64("label"), F.lit(hubs_each)).alias("part")
-        groups = known.groupBy("key", "label").agg(
+        groups = members.groupBy("key", "label").agg(
             F.count(F.lit(1)).alias("size"), F.max(F.struct("copies", (-F.col("node")).alias("minus"))).alias("top")
         )
-        crowd = groups.groupBy("key").agg(F.count(F.lit(1)).alias("n_labels")).filter("n_labels > 1")
         picked = (
-            groups.join(crowd, "key", "left_semi")
-            .groupBy("key", part)
-            .agg(F.min(F.struct("size", (-F.col("top.copies")).alias("fewer"), (-F.col("top.minus")).alias("hub"), "label")).alias("h"))
-            .select("key", "h.hub", F.col("h.label").alias("hub_label"))
+            groups.groupBy("key", part)
+            .agg(F.min(F.struct("size", (-F.col("top.copies")).alias("fewer"), (-F.col("top.minus")).alias("hub"))).alias("h"))
+            .select("key", F.col("h.hub").alias("node"))
         )
-        picked = _saved(spark, picked, "minhash-hubs")
-        if picked.isEmpty():
-            break
-        sizes = members.select("key", F.col("node").alias("hub"), F.col("n").alias("hub_n"))
+        hubs = _saved(spark, members.join(picked, ["key", "node"], "left_semi"), "minhash-hubs")
         pairs = (
-            known.join(picked.join(sizes, ["key", "hub"]), "key")
-            .filter("label <> hub_label")
-            .filter(den * F.least("n", "hub_n") >= num * F.greatest("n", "hub_n"))
-            .select("hub", "node")
+            members.alias("x")
+            .join(hubs.alias("h"), (F.col("x.key") == F.col("h.key")) & (F.col("x.label") != F.col("h.label")) & _near("x", "h", num, den))
+            .select(F.col("h.node").alias("hub"), F.col("x.node").alias("node"))
             .distinct()
         )
-        links = _saved(spark, _confirmed(_saved(spark, pairs, "minhash-pairs"), sets, num, den), "minhash-links")
-        labels = _saved(spark, connect(labels, links), "minhash-labels")
-        members = _saved(
-            spark, members.join(picked.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti"), "minhash-members"
-        )
-        hubs_each *= 4
+        pairs = _saved(spark, pairs, "minhash-pairs")
+        members = members.join(hubs.select("key", "node"), ["key", "node"], "left_anti")
+        if not pairs.isEmpty():
+            ends = pairs.select("node").union(pairs.select("hub")).distinct()
+            sets = _saved(spark, _sets(docs, _saved(spark, ends, "minhash-ends"), width), "minhash-sets")
+            links = _saved(spark, _confirmed(pairs, sets, num, den), "minhash-links")
+            labels = _saved(spark, connect(labels, links), "minhash-labels")
+        members = _saved(spark, _open(members.drop("label"), labels), "minhash-members")
+        hubs_each *= 16
     joined = rows.select("doc_id", *same).join(classes.select(*same, "node"), same, "left").join(labels, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("label", "node", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn(
