@@ -1,17 +1,17 @@
 """Near-equal lines by an exact set-similarity join, with DataFrame functions only.
 
-A line is the set of its words. Words are ordered by rarity: a histogram of 65,536 word
-buckets over the whole corpus, on a logarithmic scale, then the word's hash. Two sets with
-a Jaccard similarity of 0.8 share a word among the first ``n / 5 + 1`` of each (prefix
-filter); sizes differ by a fifth at most (length filter); the places of the shared word bound
-what can follow (positional filter); and parity bits bound how many words differ. What
-remains is verified on the whole sets.
+A line is the set of its words. Words are ordered by rarity: a histogram of 2**20 word
+buckets over the whole corpus, on a logarithmic scale, then the word's hash. For two sets
+with a Jaccard similarity of 0.8, the first ``n / 9 + 1`` words of the smaller and the first
+``n / 5 + 1`` of the larger share one (prefix filter); sizes differ by a fifth at most (length
+filter); the places of the shared word bound what can follow (positional filter); and 128
+parity bits bound how many words differ. What remains is verified on the whole sets.
 
 A line goes if an earlier line, by ``doc_id`` and line number, is equal or similar enough.
-One earlier match settles a line, so no pairs are listed within a group: equal sets fold to
-their first line; in each group of a word, the most copied and earliest sets are compared with
-the open lines, then leave the group; rounds go on, with four times as many of them,
-until no group holds an open line behind an uncompared one.
+Equal sets fold to their first line. One earlier match settles a line, so no pairs are listed
+within a large group: sets under a word that few sets share are all compared; under other
+words, some of the most copied and earliest sets are compared with the open lines, and the
+next round, over lines still open, compares sixteen times as many.
 
 Edge cases: NULL texts and lines without words match nothing and stay; a NULL ``doc_id``
 sorts first; rows with the same ``doc_id`` count as one document, so both keep a line number
@@ -21,15 +21,16 @@ that either keeps; an empty table gives an empty table; further columns are kept
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verisift.llm.lets import free_name, let, require, words_of
 from verisift.session import scratch_path
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 20
+ROW = 1 << 10
+#: Sets compared under a word in the first round, and by what they grow from round to round.
+FIRST, GROWTH = 4, 16
 #: Documents to verify are looked up by broadcast up to this number, by a shuffle beyond it.
 MOST_BROADCAST = 1_000_000
 
@@ -51,70 +52,83 @@ def _lines(docs: DataFrame) -> DataFrame:
     return hashed.filter(F.size("words") > 0)
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """A letter of 1 to 127 per word bucket, higher for more frequent ones; fixed size."""
+def rarity(docs: DataFrame) -> DataFrame:
+    """One row: a letter of 1 to 127 per word bucket, higher for more frequent ones; fixed size."""
     buckets = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    counts = docs.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    letters = bytearray(b"\x01" * BUCKETS)
-    for row in counts.collect():  # one row per bucket
-        letters[row.b] = 1 + min(126, int(3 * math.log2(row.n)))
-    return bytes(letters)
+    seen = docs.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
+    unseen = docs.sparkSession.range(0, BUCKETS, 1, 8).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("n"))
+    counts = seen.union(unseen).groupBy("b").agg(F.sum("n").alias("n"))
+    letter = F.char(1 + F.least(F.lit(126), F.floor(3 * F.log2(F.greatest("n", F.lit(1)))).cast("int")))
+
+    def row_of(df: DataFrame, key: Column, at: str, part: Column) -> DataFrame:
+        parts = F.sort_array(F.collect_list(F.struct(F.col(at), part.alias("part"))))
+        return df.groupBy(key.alias("row")).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("letters"))
+
+    rows = row_of(counts, F.floor(F.col("b") / ROW).cast("int"), "b", letter)
+    whole = row_of(rows, F.lit(0), "row", F.col("letters"))
+    return _saved(whole.select(F.encode("letters", "US-ASCII").alias("letters")), "line-rarity")
 
 
-def _ordered(words: Column, letters: bytes) -> Column:
-    """Word numbers in order of rarity: the bucket's letter above 56 bits of the hash."""
-    table = F.lit(bytearray(letters))
+def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
+    """doc, pos and the line's word numbers in order of rarity: the letter of the word's
+    bucket above 56 bits of its hash."""
+    table = free_name(lines, "letters")
 
     def number(w: Column) -> Column:
         place = w.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
         letter = F.ascii(F.substring(table, place, F.lit(1)).cast("string")).cast("long")
         return F.shiftleft(letter, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
-    return F.sort_array(F.transform(words, number))
-
-
-def _ref() -> Column:
-    return F.struct("doc", "pos")
+    held = lines.withColumn(table, letters.scalar())
+    return held.select("doc", "pos", F.sort_array(F.transform("words", number)).alias("set"))
 
 
-def _parity(words: Column) -> Column:
-    """64 bits, each the parity of the words that fall on it: two sets differ in at least
-    as many words as these differ in bits."""
+def _parity(words: Column, half: int) -> Column:
+    """64 of 128 bits, each the parity of the words that fall on it: two sets differ in at
+    least as many words as these differ in bits."""
+    mine = F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) == 64 * half)
     return F.aggregate(
-        words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int")))
+        mine,
+        F.lit(0).cast("long"),
+        lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
     )
 
 
-def first_lines(docs: DataFrame, letters: bytes) -> DataFrame:
+def first_lines(docs: DataFrame, letters: DataFrame) -> DataFrame:
     """One row per distinct set: its first line, copies, size, parity bits and prefix."""
-    sets = _lines(docs).select("doc", "pos", _ordered(F.col("words"), letters).alias("set"))
-    keyed = sets.select(
+    keyed = _sets(_lines(docs), letters).select(
         F.xxhash64("set").alias("set_a"),
         F.hash("set").alias("set_b"),
         F.size("set").alias("n"),
         F.struct(
-            "doc", "pos", _parity(F.col("set")).alias("bits"), F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")).alias("prefix")
+            "doc",
+            "pos",
+            _parity(F.col("set"), 0).alias("bits_a"),
+            _parity(F.col("set"), 1).alias("bits_b"),
+            F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")).alias("prefix"),
         ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
-        "line.doc", "line.pos", "n", "copies", "line.bits", "line.prefix"
+        "line.doc", "line.pos", "n", "copies", "line.bits_a", "line.bits_b", "line.prefix"
     )
 
 
 def _members(firsts: DataFrame) -> DataFrame:
-    """Prefix words that occur in two sets or more, with the sets that hold them."""
-    postings = firsts.select("doc", "pos", "n", "copies", "bits", F.posexplode("prefix").alias("at", "word"))
-    shared = postings.groupBy("word").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("word")
-    return postings.join(shared, "word", "left_semi")
+    """Prefix words that could pair two sets, with the sets that hold them and their number."""
+    postings = firsts.select("doc", "pos", "n", "copies", "bits_a", "bits_b", F.posexplode("prefix").alias("at", "word"))
+    words = firsts.select("n", F.posexplode("prefix").alias("at", "word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("m"), F.min(F.expr("at > n div 9")).alias("late")
+    )
+    return postings.join(words.filter("m > 1 AND NOT late").drop("late"), "word")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, letters: bytes) -> DataFrame:
+def _whole_sets(docs: DataFrame, wanted: DataFrame, letters: DataFrame) -> DataFrame:
     """doc, pos and the whole set of the wanted lines."""
     ids = wanted.select("doc").distinct()
     some = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
     held = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).join(some, "doc", "left_semi")
     lines = _lines(held.select("doc_id", "text")).join(wanted, ["doc", "pos"], "left_semi")
-    return lines.select("doc", "pos", _ordered(F.col("words"), letters).alias("set")).dropDuplicates(["doc", "pos"])
+    return _sets(lines, letters).dropDuplicates(["doc", "pos"])
 
 
 def _possible(a: str, b: str) -> Column:
@@ -124,53 +138,60 @@ def _possible(a: str, b: str) -> Column:
     """
     na, nb, ia, ib = (F.col(f"{s}.{c}") for c in ("n", "at") for s in (a, b))
     most = F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)
-    apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * most >= 4 * (na + nb)) & (9 * apart <= na + nb)
+    apart = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("bits_a", "bits_b")), F.lit(0))
+    sizes = 5 * F.least(na, nb) >= 4 * F.greatest(na, nb)
+    prefixes = 9 * F.least(F.struct(na, ia), F.struct(nb, ib))["at"] <= F.least(na, nb)
+    return sizes & prefixes & (9 * most >= 4 * (na + nb)) & (9 * apart <= na + nb)
+
+
+def _hubs(members: DataFrame, each: int) -> DataFrame:
+    """Of the sets under each word, the first of each of ``each`` parts."""
+    columns = ["doc", "pos", "n", "at", "bits_a", "bits_b"]
+    # most copied sets first, earlier ones before later
+    order = F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), *columns)
+    part = F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")
+    return members.groupBy("word", part).agg(F.max(order).alias("h")).select("word", *[f"h.{c}" for c in columns])
+
+
+def _candidates(still: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Lines still open with the earlier sets, of those to compare, that pass every filter."""
+    return (
+        still.alias("x")
+        .join(hubs.alias("h"), "word")
+        .filter((F.struct("h.doc", "h.pos") < F.struct("x.doc", "x.pos")) & _possible("x", "h"))
+        .select("x.doc", "x.pos", F.col("h.doc").alias("hub_doc"), F.col("h.pos").alias("hub_pos"))
+    )
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, letters: DataFrame) -> DataFrame:
+    """doc and pos of the later lines of the pairs that are similar, by their whole sets."""
+    ends = pairs.select("doc", "pos").union(pairs.select("hub_doc", "hub_pos")).distinct()
+    sets = _saved(_whole_sets(docs, ends, letters), "line-sets")
+    hubs = sets.select(F.col("doc").alias("hub_doc"), F.col("pos").alias("hub_pos"), F.col("set").alias("hub_set"))
+    both = pairs.join(sets, ["doc", "pos"]).join(hubs, ["hub_doc", "hub_pos"])
+    shared = F.size(F.array_intersect("set", "hub_set"))
+    return both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select("doc", "pos").distinct()
 
 
-def near_removed(docs: DataFrame, firsts: DataFrame, letters: bytes) -> DataFrame:
+def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> DataFrame:
     """doc and pos of the first lines of sets that are similar to an earlier set."""
-    members = _saved(_members(firsts), "line-members")
-    gone = None
-    open_members, hubs_left, each = members, members, 2
+    members, gone, each = _members(firsts), None, FIRST
     while True:
-        # the most copied sets of each word are compared first, earlier ones before later
-        part = F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")
-        order = F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), "doc", "pos", "n", "at", "bits")
-        best = hubs_left.groupBy("word", part).agg(F.max(order).alias("h"))
-        hubs = _saved(best.select("word", *[F.col(f"h.{c}") for c in ("doc", "pos", "n", "at", "bits")]), "line-hubs")
-        pairs = _saved(
-            open_members.alias("x")
-            .join(hubs.alias("h"), "word")
-            .filter(F.struct("h.doc", "h.pos") < F.struct("x.doc", "x.pos"))
-            .filter(_possible("x", "h"))
-            .select("x.doc", "x.pos", F.col("h.doc").alias("hub_doc"), F.col("h.pos").alias("hub_pos"))
-            .distinct(),
-            "line-pairs",
+        still = members if gone is None else members.join(gone, ["doc", "pos"], "left_anti")
+        few, many = F.col("m") <= each, F.col("m") > each
+        found = _candidates(still.filter(few), members.filter(few)).union(
+            _candidates(still.filter(many), _hubs(members.filter(many), each))
         )
+        pairs = _saved(found.distinct(), "line-pairs")
         if not pairs.isEmpty():
-            ends = pairs.select("doc", "pos").union(pairs.select("hub_doc", "hub_pos")).distinct()
-            sets = _saved(_whole_sets(docs, ends, letters), "line-sets")
-            both = pairs.join(sets, ["doc", "pos"]).join(
-                sets.select(F.col("doc").alias("hub_doc"), F.col("pos").alias("hub_pos"), F.col("set").alias("hub_set")),
-                ["hub_doc", "hub_pos"],
-            )
-            shared = F.size(F.array_intersect("set", "hub_set"))
-            settled = both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select("doc", "pos").distinct()
-            settled = _saved(settled, "line-settled")
+            settled = _saved(_verified(docs, pairs, letters), "line-settled")
             gone = settled if gone is None else gone.union(settled)
-            open_members = open_members.join(settled, ["doc", "pos"], "left_anti")
-        hubs_left = _saved(hubs_left.join(hubs.select("word", "doc", "pos"), ["word", "doc", "pos"], "left_anti"), "line-hubs-left")
-        # only words where an open line stands behind a set not yet compared go on
-        earliest = hubs_left.groupBy("word").agg(F.min(_ref()).alias("early"))
-        latest = open_members.groupBy("word").agg(F.max(_ref()).alias("late"))
-        going = _saved(earliest.join(latest, "word").filter("early < late").select("word"), "line-going")
-        if going.isEmpty():
+        # words whose sets were all compared are done
+        members = _saved(members.filter(F.col("m") > each), "line-members")
+        if members.isEmpty():
             break
-        open_members = _saved(open_members.join(going, "word", "left_semi"), "line-open")
-        hubs_left = hubs_left.join(going, "word", "left_semi")
-        each *= 4
-    return gone if gone is not None else members.select("doc", "pos").limit(0)
+        each *= GROWTH
+    return gone if gone is not None else firsts.select("doc", "pos").limit(0)
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
