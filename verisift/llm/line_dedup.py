@@ -29,8 +29,8 @@ from verisift.session import scratch_path
 
 BUCKETS = 1 << 20
 ROW = 1 << 10
-#: Sets compared under a word in the first round, and by what they grow from round to round.
-FIRST, GROWTH = 4, 16
+#: Sets under a word that are all compared for each one picked, and how the picks grow by round.
+TOGETHER, GROWTH = 8, 16
 #: Documents to verify are looked up by broadcast up to this number, by a shuffle beyond it.
 MOST_BROADCAST = 1_000_000
 
@@ -58,15 +58,14 @@ def rarity(docs: DataFrame) -> DataFrame:
     seen = docs.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     unseen = docs.sparkSession.range(0, BUCKETS, 1, 8).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("n"))
     counts = seen.union(unseen).groupBy("b").agg(F.sum("n").alias("n"))
-    letter = F.char(1 + F.least(F.lit(126), F.floor(3 * F.log2(F.greatest("n", F.lit(1)))).cast("int")))
+    letter = (1 + F.least(F.lit(126), F.floor(3 * F.log2(F.greatest("n", F.lit(1)))))).cast("tinyint")
 
     def row_of(df: DataFrame, key: Column, at: str, part: Column) -> DataFrame:
         parts = F.sort_array(F.collect_list(F.struct(F.col(at), part.alias("part"))))
-        return df.groupBy(key.alias("row")).agg(F.array_join(F.transform(parts, lambda p: p["part"]), "").alias("letters"))
+        return df.groupBy(key.alias("row")).agg(F.transform(parts, lambda p: p["part"]).alias("letters"))
 
     rows = row_of(counts, F.floor(F.col("b") / ROW).cast("int"), "b", letter)
-    whole = row_of(rows, F.lit(0), "row", F.col("letters"))
-    return _saved(whole.select(F.encode("letters", "US-ASCII").alias("letters")), "line-rarity")
+    return _saved(row_of(rows, F.lit(0), "row", F.col("letters")).select(F.flatten("letters").alias("letters")), "line-rarity")
 
 
 def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
@@ -75,8 +74,7 @@ def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
     table = free_name(lines, "letters")
 
     def number(w: Column) -> Column:
-        place = w.bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
-        letter = F.ascii(F.substring(table, place, F.lit(1)).cast("string")).cast("long")
+        letter = F.get(table, w.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
         return F.shiftleft(letter, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
     held = lines.withColumn(table, letters.scalar())
@@ -95,7 +93,10 @@ def _parity(words: Column, half: int) -> Column:
 
 
 def first_lines(docs: DataFrame, letters: DataFrame) -> DataFrame:
-    """One row per distinct set: its first line, copies, size, parity bits and prefix."""
+    """One row per distinct set: its first line, copies, size, parity bits and prefix.
+
+    Prefix words are 32-bit hashes: words that share one add candidates, never matches.
+    """
     keyed = _sets(_lines(docs), letters).select(
         F.xxhash64("set").alias("set_a"),
         F.hash("set").alias("set_b"),
@@ -105,7 +106,7 @@ def first_lines(docs: DataFrame, letters: DataFrame) -> DataFrame:
             "pos",
             _parity(F.col("set"), 0).alias("bits_a"),
             _parity(F.col("set"), 1).alias("bits_b"),
-            F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")).alias("prefix"),
+            F.transform(F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")), lambda w: F.hash(w)).alias("prefix"),
         ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
@@ -149,8 +150,9 @@ def _hubs(members: DataFrame, each: int) -> DataFrame:
     columns = ["doc", "pos", "n", "at", "bits_a", "bits_b"]
     # most copied sets first, earlier ones before later
     order = F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), *columns)
-    part = F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")
-    return members.groupBy("word", part).agg(F.max(order).alias("h")).select("word", *[f"h.{c}" for c in columns])
+    # one part needs no exchange beyond that of the words
+    part = [F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")] if each > 1 else []
+    return members.groupBy("word", *part).agg(F.max(order).alias("h")).select("word", *[f"h.{c}" for c in columns])
 
 
 def _candidates(still: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -175,10 +177,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, letters: DataFrame) -> DataFram
 
 def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> DataFrame:
     """doc and pos of the first lines of sets that are similar to an earlier set."""
-    members, gone, each = _members(firsts), None, FIRST
+    members, gone, each = _members(firsts), None, 1
     while True:
         still = members if gone is None else members.join(gone, ["doc", "pos"], "left_anti")
-        few, many = F.col("m") <= each, F.col("m") > each
+        few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
         found = _candidates(still.filter(few), members.filter(few)).union(
             _candidates(still.filter(many), _hubs(members.filter(many), each))
         )
@@ -187,7 +189,7 @@ def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> Data
             settled = _saved(_verified(docs, pairs, letters), "line-settled")
             gone = settled if gone is None else gone.union(settled)
         # words whose sets were all compared are done
-        members = _saved(members.filter(F.col("m") > each), "line-members")
+        members = _saved(members.filter(many), "line-members")
         if members.isEmpty():
             break
         each *= GROWTH
