@@ -75,14 +75,15 @@ def test_null_keys_are_a_key(spark):
     assert checks.deduplicate(df, ["k"], ["k"]).count() == 2
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 10_000])
-def test_one_first_row_per_key_whatever_the_skew(spark, rows, hot_rows, monkeypatch):
+@pytest.mark.parametrize("pieces", [1, 3, 64])
+def test_one_first_row_per_key_whatever_the_skew(spark, rows, pieces, monkeypatch):
+    monkeypatch.setattr("verisift.functions.skew.PIECES", pieces)
     monkeypatch.setattr("verisift.functions.skew.COPIES_PER_TASK", 7)
     copies = [("hot", 5, "same")] * 50
     spread = [("hot", i, f"v{i}") for i in range(6, 40)]
     cold = [(f"k{i}", 1, "x") for i in range(20)] + [(None, 2, "n"), (None, 1, "m")]
     df = spark.createDataFrame(copies + spread + cold, "k string, o int, v string")
-    marked = mark_first(df, ["k"], ["o"], hot_rows=hot_rows)
+    marked = mark_first(df, ["k"], ["o"])
     assert rows(marked, "k", "o", "v") == rows(df, "k", "o", "v")
     firsts = marked.where("_first")
     assert firsts.count() == 22

@@ -6,41 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-# A key with more rows than this is ranked in pieces.
-HOT_ROWS = 2_000_000
-# The list of hot keys is broadcast, so its length is fixed. Keys beyond it take the
-# plain path, which gives the same rows.
-MAX_HOT_KEYS = 10_000
+# A key is ranked in so many pieces, then among the heads of its pieces.
 PIECES = 64
 COPIES_PER_TASK = 1_000_000
 
 
-def _fingerprint(df: DataFrame):
-    return F.xxhash64(*[F.col(c) for c in df.columns])
-
-
-def _hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
-    )
-
-
-def _mark_plain(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*order, _fingerprint(df)))
-    return df.withColumn("_first", rank == 1)
-
-
-def _mark_in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Rank pieces of a key first, then only the head of every piece.
+def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``_first``: true on exactly one row per key, the lowest by ``order``.
 
-    Identical rows are folded to one row with a count before and unfolded after, so
-    a group of copies is never sorted. The piece comes from the row content: a
-    retried task puts every row where it was.
+    Ties are broken by a hash of the whole row; NULL keys form a key of their own. Pieces
+    of a key are ranked first, then only the head of every piece, whatever the size of
+    the key. Identical rows are folded to one row with a count before and unfolded after,
+    so a group of copies is never sorted. The piece comes from the row content: a retried
+    task puts every row where it was.
     """
     columns = df.columns
     folded = (
@@ -68,27 +46,3 @@ def _mark_in_pieces(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
         .withColumn("_copy", F.explode(copy_numbers))
         .select(*columns, (F.col("_first") & (F.col("_copy") == 0)).alias("_first"))
     )
-
-
-def mark_first(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    *,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add ``_first``: true on exactly one row per key, the lowest by ``order``.
-
-    Ties are broken by a hash of the whole row; NULL keys form a key of their own.
-    """
-    hot = F.broadcast(_hot_keys(df, keys, hot_rows))
-
-    def same_key():
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-        return condition
-
-    plain = df.join(hot, same_key(), "left_anti")
-    heavy = df.join(hot, same_key(), "left_semi")
-    return _mark_plain(plain, keys, order).unionByName(_mark_in_pieces(heavy, keys, order))

@@ -143,11 +143,9 @@ def duplicate_rate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def flag_duplicates(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], **skew: int
-) -> DataFrame:
+def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_is_duplicate``: false on the first row of each key by ``order``, true on the rest."""
-    return mark_first(df, keys, order, **skew).select(
+    return mark_first(df, keys, order).select(
         *df.columns, (~F.col("_first")).alias("_is_duplicate")
     )
 
