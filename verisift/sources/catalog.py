@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import count
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -104,19 +105,20 @@ def lineage_edges(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.schema(LINEAGE_ROWS).parquet(layout.catalog("lineage"))
 
 
-def upstream(edges: DataFrame, assets: DataFrame, *, max_depth: int = 32) -> DataFrame:
+def upstream(edges: DataFrame, assets: DataFrame, *, max_depth: int | None = None) -> DataFrame:
     """Everything the assets derive from: ``asset, upstream, depth`` (shortest distance).
 
     ``assets`` has one column ``asset``. The search goes one level at a time from the
     pairs found last and drops pairs seen before, so cycles end and shared ancestors
-    are walked once. Each level is checkpointed, which keeps the plan short.
+    are walked once. It ends with the level that adds nothing, or after ``max_depth`` levels
+    if given. Each level is checkpointed, which keeps the plan short.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     links = edges.select(F.col("source").alias("_up"), F.col("target").alias("_down")).distinct()
     links = links.persist(StorageLevel.MEMORY_AND_DISK)
     frontier = assets.select("asset", F.col("asset").alias("upstream")).distinct()
     found = frontier.limit(0).withColumn("depth", F.lit(0))
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         step = (
             frontier.join(links, F.col("upstream") == F.col("_down"))
             .select("asset", F.col("_up").alias("upstream"))
@@ -129,8 +131,6 @@ def upstream(edges: DataFrame, assets: DataFrame, *, max_depth: int = 32) -> Dat
             break
         found = found.unionByName(step.withColumn("depth", F.lit(depth)))
         frontier = step
-    else:
-        raise ValueError(f"lineage is deeper than {max_depth} levels")
     links.unpersist()
     return found
 
