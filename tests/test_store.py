@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from verisift.operators.enrich import enrich
 from verisift.session import scratch_root
 from verisift.sources import catalog, feature_store, raw, tables
 from verisift.sources.catalog import FeatureDefinition, Features
@@ -94,9 +95,21 @@ def test_lineage(spark, layout):
     assert found[("score", "source")] == 5 and found[("score", "gold")] == 3
     assert found[("bronze", "source")] == 1
     assert len(found) == 7
-    with pytest.raises(ValueError, match="deeper"):
-        catalog.upstream(catalog.lineage_edges(spark, layout), wanted, max_depth=2)
+    near = catalog.upstream(catalog.lineage_edges(spark, layout), wanted, max_depth=2)
+    assert {(r["asset"], r["upstream"]) for r in near.collect()} == {k for k, depth in found.items() if depth <= 2}
 
 
 def test_scratch_folder_is_the_configured_one(spark):
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_enrich_keeps_every_row(spark, rows):
+    tx = spark.createDataFrame([("t1", "p1", "c1"), ("t2", None, "c9"), ("t3", "p2", None)], "transaction_id string, product_id string, customer_id string")
+    products = spark.createDataFrame([("p1", "b"), ("p1", "a"), (None, "x"), ("p2", None)], "product_id string, product_category string")
+    customers = spark.createDataFrame([("c1", "s")], "customer_id string, customer_segment string")
+    both = enrich(tx, products=products, customers=customers)
+    assert rows(both, "transaction_id", "product_category", "customer_segment") == rows(
+        spark.createDataFrame([("t1", "a", "s"), ("t2", None, None), ("t3", None, None)], "a string, b string, c string")
+    )
+    assert enrich(tx.limit(0), products=products).columns == [*tx.columns, "product_category"]
+    assert enrich(both, products=products).columns.count("product_category") == 1

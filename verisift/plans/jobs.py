@@ -15,6 +15,7 @@ from verisift.models.tracking import record_run
 from verisift.models.training import Trained
 from verisift.operators import contract, customer, monitor, rebate, seasonal
 from verisift.operators.adapters import adapter_for
+from verisift.operators.enrich import enrich
 from verisift.operators.gate import DEFAULT_THRESHOLD, GateResult, notify_quarantine, run_gate
 from verisift.sources.feature_store import read_feature_table, write_feature_table
 from verisift.sources.layout import Layout
@@ -70,6 +71,7 @@ class FeatureJob:
     name: str
     inputs: tuple[str, ...]
     compute: Callable[..., DataFrame]
+    dated: bool = False
 
 
 # Every table-valued feature by domain; inputs name the canonical entities it reads.
@@ -78,9 +80,9 @@ FEATURE_JOBS = (
     FeatureJob("customer_behavior", "ordering_regularity", ("transaction",), customer.ordering_regularity),
     FeatureJob("customer_behavior", "mix_entropy", ("transaction",), customer.mix_entropy),
     FeatureJob("customer_behavior", "loyalty_index", ("transaction",), customer.loyalty_index),
-    FeatureJob("contract_complexity", "contract_features", ("contract",), contract.contract_complexity),
-    FeatureJob("contract_complexity", "days_to_expiration", ("contract",), contract.days_to_expiration),
-    FeatureJob("contract_complexity", "contract_overlap", ("contract",), contract.contract_overlap),
+    FeatureJob("contract_complexity", "contract_features", ("contract",), contract.contract_complexity, dated=True),
+    FeatureJob("contract_complexity", "days_to_expiration", ("contract",), contract.days_to_expiration, dated=True),
+    FeatureJob("contract_complexity", "contract_overlap", ("contract",), contract.contract_overlap, dated=True),
     FeatureJob("rebate_dynamics", "rebate_to_sales_ratio", ("rebate_accrual", "transaction"), rebate.rebate_to_sales_ratio),
     FeatureJob("rebate_dynamics", "claim_submission_lag", ("chargeback", "transaction"), rebate.submission_lag),
     FeatureJob("rebate_dynamics", "over_under_payment", ("rebate_accrual",), rebate.over_under_payment),
@@ -92,13 +94,30 @@ FEATURE_JOBS = (
 
 
 def feature_job(
-    entities: Mapping[str, DataFrame], layout: Layout, *, domain: str | None = None
+    entities: Mapping[str, DataFrame],
+    layout: Layout,
+    *,
+    domain: str | None = None,
+    as_of: object = None,
 ) -> dict[str, int]:
-    """Compute and write the features of a domain (or all) and return their new versions."""
+    """Compute and write the features of a domain (or all) and return their new versions.
+
+    Transactions take their category and segment from the entities ``product`` and
+    ``customer`` where these are given. ``as_of`` is the day of the dated features, today
+    unless given; a repeated run with the same day writes the same rows.
+    """
+    if "transaction" in entities:
+        sales = enrich(
+            entities["transaction"],
+            products=entities.get("product"),
+            customers=entities.get("customer"),
+        )
+        entities = {**entities, "transaction": sales}
     written = {}
     for job in FEATURE_JOBS:
         if domain in (None, job.domain) and all(name in entities for name in job.inputs):
-            features = job.compute(*[entities[name] for name in job.inputs])
+            day = {"as_of": as_of} if job.dated else {}
+            features = job.compute(*[entities[name] for name in job.inputs], **day)
             written[f"{job.domain}/{job.name}"] = write_feature_table(
                 features, layout, job.domain, job.name
             )

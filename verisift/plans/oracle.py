@@ -457,6 +457,9 @@ WITH {TX}, c AS (SELECT customer_id, product_category, count(*) AS n FROM tx GRO
 p AS (SELECT customer_id, n / CAST(sum(n) OVER (PARTITION BY customer_id) AS DOUBLE) AS p FROM c)
 SELECT customer_id, {num('abs(sum(p * log2(p)))')} AS species_mix_entropy FROM p GROUP BY 1"""
 
+# all raw lines pass the gate, so the stored feature is that of all transactions
+Q["feature_pipeline"] = Q["mix_entropy"]
+
 Q["loyalty_index"] = f"""
 WITH {TX}, d AS (
   SELECT customer_id, distributor_id, sum(gross_amount) AS amount FROM tx GROUP BY 1, 2),

@@ -31,6 +31,7 @@ from verisift.operators import (
 )
 from verisift.operators.adapters import adapter_for
 from verisift.plans import bindings as b
+from verisift.plans import jobs
 from verisift.session import scratch_path
 from verisift.sources import catalog, feature_store, raw, tables
 from verisift.sources.layout import Layout
@@ -573,6 +574,23 @@ def feature_versions(spark, sf):
     return feature_store.read_feature_table(spark, *place, version=second)
 
 
+@query
+def feature_pipeline(spark, sf):
+    """Raw lines to Silver, enriched, to stored features of one domain."""
+    layout = _layout(spark, "pipeline-features")
+    raw.ingest_frame(b.raw_867(spark, sf), "edi_867", layout, date="2024-01-31")
+    silver = jobs.silver_job(spark, "edi_867", layout).passed
+    products = b.table(spark, sf, "part").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_type").alias("product_category")
+    )
+    customers = b.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("customer_segment")
+    )
+    entities = {"transaction": silver, "product": products, "customer": customers}
+    jobs.feature_job(entities, layout, domain="customer_behavior")
+    return feature_store.read_feature_table(spark, layout, "customer_behavior", "mix_entropy")
+
+
 @query
 def feature_manifest(spark, sf):
     layout = _layout(spark, "manifest")
