@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from itertools import zip_longest
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql.types import DecimalType
 
 from verisift.functions.exprs import ratio
 
@@ -91,6 +92,10 @@ def simulate(sales: DataFrame, scenarios: DataFrame) -> DataFrame:
         .groupBy("customer_segment", "_tier")
         .agg(F.sum("_gross").alias("_gross"))
     )
+    if isinstance(sales.schema["gross_amount"].dataType, DecimalType):
+        # 27 and 10 digits: a product of 38 keeps all its decimals
+        scale = sales.schema["gross_amount"].dataType.scale
+        at_least = at_least.withColumn("_gross", F.col("_gross").cast(DecimalType(27, scale)))
     tier = F.coalesce(F.array_position("_cuts", F.col("threshold")), F.lit(0)).cast("int")
 
     def total(value):

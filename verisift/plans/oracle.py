@@ -934,8 +934,8 @@ tier AS (
                (4, 0, 0.012551, 0), (4, 20000.12345, 0.00005, 0.015))
          AS t(position, threshold, d, r)),
 cost AS (
-  SELECT t.position, sum(CAST(gross_amount AS DOUBLE) * d) AS total_discount,
-         sum(CAST(gross_amount AS DOUBLE) * r) AS total_rebate
+  SELECT t.position, CAST(sum(CAST(gross_amount AS DECIMAL(20,4)) * d) AS DOUBLE) AS total_discount,
+         CAST(sum(CAST(gross_amount AS DECIMAL(20,4)) * r) AS DOUBLE) AS total_rebate
   FROM tier t JOIN scenario USING (position)
   JOIN tx ON customer_segment = segment AND gross_amount >= threshold
   GROUP BY 1),
@@ -945,7 +945,7 @@ gross AS (
 sim AS (
   SELECT s.position, scenario, segment, gross_revenue, coalesce(total_discount, 0) AS total_discount,
          coalesce(total_rebate, 0) AS total_rebate,
-         gross_revenue - coalesce(total_discount, 0) - coalesce(total_rebate, 0) AS net_revenue
+         gross_revenue - (coalesce(total_discount, 0) + coalesce(total_rebate, 0)) AS net_revenue
   FROM scenario s JOIN gross USING (position) LEFT JOIN cost USING (position))"""
 COMPARED = f"""scenario, {num('gross_revenue')} AS gross_revenue, {num('net_revenue')} AS net_revenue,
        {num('gross_revenue - net_revenue')} AS gross_to_net_spread,
