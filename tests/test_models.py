@@ -7,6 +7,7 @@ from verisift.models import accrual, deduction, leakage, metrics, returns, track
 from verisift.models.training import numeric_features, quality_weight
 from verisift.plans.jobs import accrual_job, feature_job, training_table
 from verisift.plans import bindings as b
+from verisift.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +63,28 @@ def test_text_training_and_scoring(spark):
     assert deduction.score_text(spark, trained.model, None, model_version="1").count() == 1
 
 
+@pytest.mark.parametrize(
+    ("name", "module", "size"),
+    [
+        ("accrual_model", accrual, {"maxIter": 200, "maxDepth": 6, "subsamplingRate": 0.8}),
+        ("text_model", deduction, {"maxIter": 500}),
+        ("returns_model", returns, {"numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 5}),
+    ],
+)
+def test_registered_models_have_the_default_size(spark, monkeypatch, name, module, size):
+    class Reached(Exception):
+        pass
+
+    def fit(stages, df, evaluator, *, folds):
+        found = {p.name: v for p, v in stages[-1].extractParamMap().items()}
+        assert folds == 5 and {k: found[k] for k in size} == size
+        raise Reached
+
+    monkeypatch.setattr(module, "fit", fit)
+    with pytest.raises(Reached):
+        QUERIES[name](spark, SF)
+
+
 def test_smooth_idf_weights(spark):
     from pyspark.ml.linalg import Vectors
 

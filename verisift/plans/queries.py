@@ -792,7 +792,7 @@ def accrual_model(spark, sf):
         "customer_id", "accrual_amount", *[F.col(c).cast("double").alias(c) for c in features]
     )
     training = training.na.fill(0.0, features)
-    trained = accrual.train(training, features, params={"maxIter": 10, "maxDepth": 4}, folds=2)
+    trained = accrual.train(training, features)
     scored = accrual.score(trained.model, training, model_version="1.0.0")
     return scored.select("customer_id", "accrual_amount", "predicted_accrual")
 
@@ -818,7 +818,7 @@ def text_model(spark, sf):
     documents = b.table(spark, sf, "documents").select(
         "doc_id", F.col("text").alias("remittance_text"), F.col("lang").alias("deduction_type")
     )
-    trained = deduction.train(documents, params={"max_iter": 20}, folds=2)
+    trained = deduction.train(documents)
     scored = deduction.score(trained.model, documents, model_version="1.0.0")
     return scored.select(
         "doc_id", "deduction_type", "predicted_deduction_type", "prediction_confidence"
@@ -835,7 +835,7 @@ def returns_model(spark, sf):
         *features[:-1],
         F.month("l_shipdate").alias("ship_month"),
     )
-    trained = returns.train(lines, features, params={"numTrees": 10, "maxDepth": 5}, folds=2)
+    trained = returns.train(lines, features)
     scored = returns.score(trained.model, lines, model_version="1.0.0")
     return scored.select(
         "l_orderkey", "l_linenumber", "is_returned", "return_probability", "predicted_return"
