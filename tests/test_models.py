@@ -114,6 +114,25 @@ def test_leakage_finds_planted_anomalies(spark):
     assert row["anomaly_score"] is None and row["is_leakage"] is False
 
 
+def test_trees_draw_from_the_whole_table(spark):
+    usual = spark.range(60_000).select((F.xxhash64("id") % 1_000_000).cast("double").alias("a"), (F.col("id") * 1.0).alias("b"))
+    drawn, size = leakage._samples(usual, ["a", "b"], 60_000, leakage.DEFAULTS)
+    assert size == 256 and drawn.select("_features").distinct().count() > 50_000
+    assert drawn.groupBy("tree").count().agg(F.count(F.lit(1)), F.min("count") >= 256, F.max("count") < 600).first() == (200, True, True)
+    copies = usual.limit(6000).unionByName(spark.range(54_000).select(F.lit(0.5).alias("a"), F.lit(0.5).alias("b")))
+    drawn, _ = leakage._samples(copies, ["a", "b"], 60_000, leakage.DEFAULTS)
+    shares = drawn.groupBy("tree").agg(F.avg((F.col("_features")[0] == 0.5).cast("double")).alias("s"))
+    assert shares.agg(F.min("s") > 0.8, F.max("s") < 0.97).first() == (True, True)
+
+
+def test_forest_does_not_depend_on_partitions(spark):
+    df = spark.range(3000).select((F.xxhash64("id") % 1000).cast("double").alias("a"), (F.col("id") % 7 * 1.0).alias("b")).cache()
+    one, many = (leakage.train(part, ["a", "b"], params={"n_trees": 20}) for part in (df.coalesce(1), df.repartition(16)))
+    assert one.offset == many.offset and len(one.trees) == len(many.trees) == 20
+    for x, y in zip(one.trees, many.trees):
+        assert all(np.array_equal(x[k], y[k]) for k in x)
+
+
 def test_isolation_depth_of_one_tree():
     rows = np.array([[0.0], [1.0], [2.0], [10.0]])
     nodes = leakage._grow(rows, np.random.default_rng(1), 8)

@@ -21,8 +21,6 @@ from verisift.functions.audit import stamp_audit
 
 # Default size of the model.
 DEFAULTS = {"n_trees": 200, "contamination": 0.05, "sample_size": 256, "seed": 42}
-# Rows the trees draw their samples from, as a multiple of the sample size.
-POOL_FACTOR = 40
 QUANTILE_ACCURACY = 1_000_000
 EULER = 0.5772156649015329
 
@@ -110,27 +108,43 @@ def _steps(sample_size: int) -> int:
 
 
 def _samples(df: DataFrame, cols: Sequence[str], rows: int, chosen: Mapping) -> tuple[DataFrame, int]:
-    """Tree samples ``tree, _features``, drawn by hashes so that a retry draws the same.
+    """Tree samples ``tree, _features``, drawn from the whole table on one path for all sizes.
 
-    A pool of bounded size is taken from the table first, each tree then takes its
-    own random part of the pool. Copies of one row differ in their hash only by the
-    tree, which leaves their share of every sample unchanged.
+    Equal rows are folded to their number. A hash of the values decides how many draws
+    a row and its copies get, whole draws for certain and the rest by chance, and which
+    trees take them; so neither partitions nor a retry change a sample.
     """
-    size = min(int(chosen["sample_size"]), rows)
-    pool_rows = min(rows, POOL_FACTOR * size)
-    seed = int(chosen["seed"])
+    size, n_trees, seed = min(int(chosen["sample_size"]), rows), int(chosen["n_trees"]), F.lit(int(chosen["seed"]))
+    # Each tree draws more rows than it needs, seven deviations and a few; the lowest draws are its sample.
+    wanted = size + 7.0 * math.sqrt(size) + 16.0
+    share = n_trees * min(1.0, wanted / rows)
     values = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("_features"))
-    pool = values if pool_rows == rows else values.sample(1.2 * pool_rows / rows, seed=seed)
-    pool = pool.withColumn("_row", F.xxhash64("_features", F.monotonically_increasing_id()))
-    trees = F.explode(F.sequence(F.lit(0), F.lit(int(chosen["n_trees"]) - 1))).alias("tree")
-    # Each tree draws a few rows too many; the lowest draws are its sample.
-    draw = F.xxhash64("_row", "tree", F.lit(seed))
-    wanted = min(1.0, 1.5 * size / max(pool_rows, 1) + 16.0 / max(pool_rows, 1))
-    span = 2**62
-    drawn = pool.select("_features", "_row", trees).withColumn(
-        "_draw", F.pmod(draw, F.lit(span))
+    folded = values.groupBy("_features").agg(F.count(F.lit(1)).alias("_copies"))
+    span = 2**53
+    chance = F.pmod(F.xxhash64("_features", seed), F.lit(span)) / F.lit(float(span))
+    draws = folded.withColumn("_draws", F.floor(F.col("_copies") * share + chance)).where("_draws > 0")
+    order = F.array_sort(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(n_trees - 1)),
+            lambda t: F.struct(F.xxhash64("_features", t, seed).alias("at"), t.alias("tree")),
+        )
+    )
+    rest = F.pmod(F.col("_draws"), F.lit(n_trees))
+    dealt = F.transform(
+        order,
+        lambda t, i: F.struct(
+            t["tree"].alias("tree"),
+            (F.floor(F.col("_draws") / n_trees) + (i < rest).cast("long")).alias("times"),
+        ),
+    )
+    taken = draws.select("_features", F.explode(F.filter(dealt, lambda t: t["times"] > 0)).alias("_taken"))
+    each = taken.select(
+        "_features",
+        F.col("_taken.tree").alias("tree"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken.times"))).alias("_copy"),
     )
-    return drawn.where(F.col("_draw") < int(wanted * span)), size
+    draw = F.xxhash64("tree", "_copy", "_features", seed)
+    return each.select("_features", "tree", draw.alias("_draw"), F.col("_copy").alias("_row")), size
 
 
 def train(
