@@ -208,6 +208,36 @@ def test_line_dedup(docs, texts):
             assert cut[i] == "\n".join(x for at, x in enumerate(lines) if at not in got[i][1])
 
 
+def test_line_dedup_of_shared_and_missing_ids(spark):
+    rng = np.random.default_rng(9)
+
+    def line(n=30):
+        return " ".join(f"w{x}" for x in rng.integers(0, 100_000, n))
+
+    base = line()
+    other = base.rsplit(" ", 1)[0] + " other"
+    rows = [(None, f"{base}\n{line()}"), (None, f"{line()}\n{other}"), (None, f"{other}\n{line()}"), (None, f"{line()}\n{line()}")]
+    rows += [(3, f"{other}\n{line()}"), (3, f"{line()}\n{line()}"), (3, f"{line()}\n{base}"), (4, base), (4, line()), (4, None)]
+    rows += [(None, f"common {line(3)}\n{line()}") for _ in range(40)]
+    rows += rows[:2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("a"), F.hash("text").alias("b")).distinct().collect()
+    wanted, seen = {}, []
+    for r in sorted(keyed, key=lambda r: (-(1 << 63) if r.doc_id is None else r.doc_id, r.a, r.b)):
+        removed = []
+        for at, text in enumerate((r.text or "").split("\n")):
+            own = set(words(text))
+            if own and any(9 * len(own & s) >= 4 * (len(own) + len(s)) for s in seen):
+                removed.append(at)
+            seen += [own] if own else []
+        wanted[r.doc_id, r.text] = "\n".join(x for at, x in enumerate((r.text or "").split("\n")) if at not in removed)
+    got = line_dedup.remove_lines(docs.withColumn("was", F.col("text"))).collect()
+    assert len(got) == len(rows) and all((r.text or "") == wanted[r.doc_id, r.was] for r in got)
+    decided = Counter((r.doc_id, r.n_removed) for r in line_dedup.decisions(docs).collect())
+    lost = [(i, (t or "").count("\n") - (wanted[i, t].count("\n") if wanted[i, t] else -1)) for i, t in rows if t is not None]
+    assert decided == Counter([*lost, (4, 0)])
+
+
 def test_lang_id_on_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("held", lang_id.fold("doc_id", 5) == 0)
     idf, fitted = lang_id.train(docs.filter("NOT held").select("doc_id", "text", "lang"))

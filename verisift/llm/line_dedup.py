@@ -7,15 +7,17 @@ with a Jaccard similarity of 0.8, the first ``n / 9 + 1`` words of the smaller a
 filter); the places of the shared word bound what can follow (positional filter); and 128
 parity bits bound how many words differ. What remains is verified on the whole sets.
 
-A line goes if an earlier line, by ``doc_id`` and line number, is equal or similar enough.
+A line goes if an earlier line, by ``doc_id``, print of the text and line number, is equal or
+similar enough. The 96-bit print tells rows apart that share a ``doc_id`` or have none.
 Equal sets fold to their first line. One earlier match settles a line, so no pairs are listed
 within a large group: sets under a word that few sets share are all compared; under other
 words, some of the most copied and earliest sets are compared with the open lines, and the
 next round, over lines still open, compares sixteen times as many.
 
 Edge cases: NULL texts and lines without words match nothing and stay; a NULL ``doc_id``
-sorts first; rows with the same ``doc_id`` count as one document, so both keep a line number
-that either keeps; an empty table gives an empty table; further columns are kept by
+sorts first; rows with the same ``doc_id`` and text count as one document and keep the same
+lines, rows with the same ``doc_id`` and other texts are documents of their own, in the order
+of their prints; an empty table gives an empty table; further columns are kept by
 ``remove_lines``.
 """
 
@@ -33,6 +35,9 @@ ROW = 1 << 10
 TOGETHER, GROWTH = 8, 16
 #: Documents to verify are looked up by broadcast up to this number, by a shuffle beyond it.
 MOST_BROADCAST = 1_000_000
+#: What names a document, and a line.
+DOC = ["doc", "text_a", "text_b"]
+LINE = [*DOC, "pos"]
 
 
 def _saved(df: DataFrame, label: str) -> DataFrame:
@@ -41,14 +46,19 @@ def _saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _doc_key() -> dict[str, Column]:
+    """The values of ``DOC``: the id, lowest for NULL, and 96 bits of the text."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return {"doc": doc, "text_a": F.xxhash64("text"), "text_b": F.hash("text")}
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc, pos, and the distinct word hashes of every line that has words."""
+    """The key and the distinct word hashes of every line that has words."""
     require(docs, "doc_id", "text")
-    lines = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"),
-        F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"),
-    )
-    hashed = lines.select("doc", "pos", F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("words"))
+    # keys come before the lines, so a text is hashed once
+    keyed = docs.select(*[value.alias(c) for c, value in _doc_key().items()], "text")
+    lines = keyed.select(*DOC, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
+    hashed = lines.select(*LINE, F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("words"))
     return hashed.filter(F.size("words") > 0)
 
 
@@ -69,7 +79,7 @@ def rarity(docs: DataFrame) -> DataFrame:
 
 
 def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
-    """doc, pos and the line's word numbers in order of rarity: the letter of the word's
+    """The line's key and its word numbers in order of rarity: the letter of the word's
     bucket above 56 bits of its hash."""
     table = free_name(lines, "letters")
 
@@ -78,7 +88,7 @@ def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
         return F.shiftleft(letter, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
     held = lines.withColumn(table, letters.scalar())
-    return held.select("doc", "pos", F.sort_array(F.transform("words", number)).alias("set"))
+    return held.select(*LINE, F.sort_array(F.transform("words", number)).alias("set"))
 
 
 def _parity(words: Column, half: int) -> Column:
@@ -102,21 +112,20 @@ def first_lines(docs: DataFrame, letters: DataFrame) -> DataFrame:
         F.hash("set").alias("set_b"),
         F.size("set").alias("n"),
         F.struct(
-            "doc",
-            "pos",
+            *LINE,
             _parity(F.col("set"), 0).alias("bits_a"),
             _parity(F.col("set"), 1).alias("bits_b"),
             F.transform(F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")), lambda w: F.hash(w)).alias("prefix"),
         ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
-        "line.doc", "line.pos", "n", "copies", "line.bits_a", "line.bits_b", "line.prefix"
+        *[f"line.{c}" for c in LINE], "n", "copies", "line.bits_a", "line.bits_b", "line.prefix"
     )
 
 
 def _members(firsts: DataFrame) -> DataFrame:
     """Prefix words that could pair two sets, with the sets that hold them and their number."""
-    postings = firsts.select("doc", "pos", "n", "copies", "bits_a", "bits_b", F.posexplode("prefix").alias("at", "word"))
+    postings = firsts.select(*LINE, "n", "copies", "bits_a", "bits_b", F.posexplode("prefix").alias("at", "word"))
     words = firsts.select("n", F.posexplode("prefix").alias("at", "word")).groupBy("word").agg(
         F.count(F.lit(1)).alias("m"), F.min(F.expr("at > n div 9")).alias("late")
     )
@@ -124,12 +133,15 @@ def _members(firsts: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, letters: DataFrame) -> DataFrame:
-    """doc, pos and the whole set of the wanted lines."""
+    """The key and the whole set of the wanted lines."""
     ids = wanted.select("doc").distinct()
-    some = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
-    held = docs.withColumn("doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).join(some, "doc", "left_semi")
-    lines = _lines(held.select("doc_id", "text")).join(wanted, ["doc", "pos"], "left_semi")
-    return _sets(lines, letters).dropDuplicates(["doc", "pos"])
+    keyed = docs.select("doc_id", "text").withColumns(_doc_key())
+    if ids.count() <= MOST_BROADCAST:
+        held = keyed.join(F.broadcast(ids), "doc", "left_semi")
+    else:  # dealt with the prints, so rows without an id do not meet in one task
+        held = keyed.join(wanted.select(*DOC).distinct(), DOC, "left_semi")
+    lines = _lines(held.select("doc_id", "text")).join(wanted, LINE, "left_semi")
+    return _sets(lines, letters).dropDuplicates(LINE)
 
 
 def _possible(a: str, b: str) -> Column:
@@ -147,11 +159,11 @@ def _possible(a: str, b: str) -> Column:
 
 def _hubs(members: DataFrame, each: int) -> DataFrame:
     """Of the sets under each word, the first of each of ``each`` parts."""
-    columns = ["doc", "pos", "n", "at", "bits_a", "bits_b"]
-    # most copied sets first, earlier ones before later
-    order = F.struct("copies", (-F.col("doc")).alias("x"), (-F.col("pos")).alias("y"), *columns)
+    columns = [*LINE, "n", "at", "bits_a", "bits_b"]
+    # most copied sets first, earlier ones before later; the complement has no overflow
+    order = F.struct("copies", *[F.bitwise_not(F.col(c)).alias(f"minus_{c}") for c in LINE], *columns)
     # one part needs no exchange beyond that of the words
-    part = [F.pmod(F.xxhash64("doc", "pos"), F.lit(each)).alias("part")] if each > 1 else []
+    part = [F.pmod(F.xxhash64(*LINE), F.lit(each)).alias("part")] if each > 1 else []
     return members.groupBy("word", *part).agg(F.max(order).alias("h")).select("word", *[f"h.{c}" for c in columns])
 
 
@@ -160,26 +172,27 @@ def _candidates(still: DataFrame, hubs: DataFrame) -> DataFrame:
     return (
         still.alias("x")
         .join(hubs.alias("h"), "word")
-        .filter((F.struct("h.doc", "h.pos") < F.struct("x.doc", "x.pos")) & _possible("x", "h"))
-        .select("x.doc", "x.pos", F.col("h.doc").alias("hub_doc"), F.col("h.pos").alias("hub_pos"))
+        .filter((F.struct(*[f"h.{c}" for c in LINE]) < F.struct(*[f"x.{c}" for c in LINE])) & _possible("x", "h"))
+        .select(*[f"x.{c}" for c in LINE], *[F.col(f"h.{c}").alias(f"hub_{c}") for c in LINE])
     )
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, letters: DataFrame) -> DataFrame:
-    """doc and pos of the later lines of the pairs that are similar, by their whole sets."""
-    ends = pairs.select("doc", "pos").union(pairs.select("hub_doc", "hub_pos")).distinct()
+    """The keys of the later lines of the pairs that are similar, by their whole sets."""
+    hub = [f"hub_{c}" for c in LINE]
+    ends = pairs.select(*LINE).union(pairs.select(*hub)).distinct()
     sets = _saved(_whole_sets(docs, ends, letters), "line-sets")
-    hubs = sets.select(F.col("doc").alias("hub_doc"), F.col("pos").alias("hub_pos"), F.col("set").alias("hub_set"))
-    both = pairs.join(sets, ["doc", "pos"]).join(hubs, ["hub_doc", "hub_pos"])
+    hubs = sets.toDF(*hub, "hub_set")
+    both = pairs.join(sets, LINE).join(hubs, hub)
     shared = F.size(F.array_intersect("set", "hub_set"))
-    return both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select("doc", "pos").distinct()
+    return both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select(*LINE).distinct()
 
 
 def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> DataFrame:
-    """doc and pos of the first lines of sets that are similar to an earlier set."""
+    """The keys of the first lines of sets that are similar to an earlier set."""
     members, gone, each = _members(firsts), None, 1
     while True:
-        still = members if gone is None else members.join(gone, ["doc", "pos"], "left_anti")
+        still = members if gone is None else members.join(gone, LINE, "left_anti")
         few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
         found = _candidates(still.filter(few), members.filter(few)).union(
             _candidates(still.filter(many), _hubs(members.filter(many), each))
@@ -193,15 +206,15 @@ def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> Data
         if members.isEmpty():
             break
         each *= GROWTH
-    return gone if gone is not None else firsts.select("doc", "pos").limit(0)
+    return gone if gone is not None else firsts.select(*LINE).limit(0)
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
-    """doc and ``kept``, the numbers of the lines with words that a document keeps."""
+    """A document's key and ``kept``, the numbers of the lines with words that it keeps."""
     letters = rarity(docs)
     firsts = _saved(first_lines(docs, letters), "line-firsts")
     gone = near_removed(docs, firsts, letters)
-    return firsts.select("doc", "pos").join(gone, ["doc", "pos"], "left_anti").groupBy("doc").agg(
+    return firsts.select(*LINE).join(gone, LINE, "left_anti").groupBy(*DOC).agg(
         F.sort_array(F.collect_set("pos")).alias("kept")
     )
 
@@ -214,9 +227,8 @@ def decisions(docs: DataFrame) -> DataFrame:
             F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.btrim(F.get(lines, i), F.lit(" \t\n\x0b\x0c\r"))) > 0
         ),
     )
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    numbered = docs.select("doc_id", key.alias("doc"), worded.alias("lines"))
-    met = numbered.join(kept_lines(docs), "doc", "left")
+    numbered = docs.select("doc_id", *[value.alias(c) for c, value in _doc_key().items()], worded.alias("lines"))
+    met = numbered.join(kept_lines(docs), DOC, "left")
     removed = F.array_except("lines", F.coalesce("kept", F.array().cast("array<int>")))
     return met.select(
         "doc_id",
@@ -228,9 +240,9 @@ def decisions(docs: DataFrame) -> DataFrame:
 
 def remove_lines(docs: DataFrame) -> DataFrame:
     """The documents without the removed lines; lines without words stay, as do all rows."""
-    kept, key = free_name(docs, "_kept"), free_name(docs, "_doc")
-    held = kept_lines(docs).select(F.col("doc").alias(key), F.col("kept").alias(kept))
-    met = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).join(held, key, "left")
+    kept, key = free_name(docs, "_kept"), {c: free_name(docs, f"_{c}") for c in DOC}
+    held = kept_lines(docs).select(*[F.col(c).alias(key[c]) for c in DOC], F.col("kept").alias(kept))
+    met = docs.withColumns({key[c]: value for c, value in _doc_key().items()}).join(held, list(key.values()), "left")
     lines = F.filter(
         F.split("text", "\n"),
         lambda line, i: (F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) == 0)
