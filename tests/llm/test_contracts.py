@@ -188,6 +188,12 @@ def test_lm_score(docs, texts):
         assert math.isfinite(got[i].score) and got[i].score < 0
 
 
+def test_lm_score_beats_word_counts_on_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    sums = lm_score.score(docs, lm_score.fold_of()).filter("held_out").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert sums[2] > 0 and (sums[0] - sums[1]) / sums[2] > 0.1
+
+
 def test_line_dedup(docs, texts):
     got = {r.doc_id: (r.n_lines, list(r.removed)) for r in line_dedup.decisions(docs).collect()}
     seen: list[set] = []
