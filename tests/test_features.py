@@ -263,6 +263,14 @@ def test_training_join_checks_the_key(spark):
         monitor.training_join([spark.range(1).toDF("a"), spark.range(1).toDF("b")], "a")
 
 
+def test_stability_edges_are_exact_beyond_the_sketch(spark):
+    base = spark.range(500_000).select((F.col("id") * 7919 % 500_000).cast("double").alias("x"), F.lit(1.0).alias("y"))
+    at_edges = spark.createDataFrame([(i * 50_000.0 - 1.0, 1.0) for i in range(1, 10)], "x double, y double")
+    found = {r["column"]: (r["bins"], r["psi"]) for r in drift.population_stability(base, at_edges, ["x", "y"]).collect()}
+    psi = 9 * (1 / 9 - 0.1) * math.log(10 / 9) + (1e-4 - 0.1) * math.log(1e-3)
+    assert found == {"x": (10, pytest.approx(psi)), "y": (1, 0.0)}
+
+
 def test_drift(spark):
     same = spark.range(1000).withColumn("x", F.col("id") * 1.0)
     moved = same.withColumn("x", F.col("x") + 500)

@@ -55,3 +55,28 @@ def chain_buckets(totals: DataFrame, values: Sequence[str]) -> DataFrame:
     return totals.withColumns(
         {f"{v}_before": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for v in values}
     )
+
+
+def totals_before(points: DataFrame, by: str, order: str, value: str) -> DataFrame:
+    """Add ``<value>_before`` and ``<value>_all``: totals over the group's smaller rows and over all of it.
+
+    ``points`` holds one row per group and distinct ``order`` value; there are few groups.
+    """
+    shares = [F.lit(i / BUCKETS) for i in range(1, BUCKETS)]
+    cuts = points.groupBy(by).agg(F.percentile_approx(order, F.array(*shares), F.lit(10_000)).alias("_cuts"))
+    placed = points.join(F.broadcast(cuts), by).select(
+        *points.columns, _bucket("_cuts", order).alias("_bucket")
+    )
+    earlier = W.partitionBy(by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    # at most BUCKETS rows per group
+    totals = placed.groupBy(by, "_bucket").agg(F.sum(value).alias("_total")).select(
+        by,
+        "_bucket",
+        F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"),
+        F.sum("_total").over(W.partitionBy(by)).alias(f"{value}_all"),
+    )
+    smaller = W.partitionBy(by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    inside = placed.withColumn("_in", F.coalesce(F.sum(value).over(smaller), F.lit(0)))
+    return inside.join(F.broadcast(totals), [by, "_bucket"]).select(
+        *points.columns, (F.col("_shift") + F.col("_in")).alias(f"{value}_before"), f"{value}_all"
+    )
