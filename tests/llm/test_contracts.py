@@ -272,6 +272,22 @@ def test_minhash(docs, texts, width, num):
     assert kept == {i for i in label if label[i] == i}
 
 
+def test_minhash_of_two_texts_under_one_id(spark):
+    rng = np.random.default_rng(4)
+    near = {}
+    rows = []
+    for i in range(12):
+        a, b = (" ".join(f"w{x}" for x in rng.integers(0, 100_000, 200)) for _ in range(2))
+        # both texts of the id have a near copy of their own, under later ids
+        rows += [(10 * i, a), (10 * i, b), (10 * i + 1, f"{a} end"), (10 * i + 2, f"{b} end")]
+        near |= {10 * i + k: 10 * i for k in range(3)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = minhash.components_of(docs, 5, 80, 100).collect()
+    assert len(found) == len(rows) and all(r.component_id == near[r.doc_id] for r in found)
+    kept = Counter(r.doc_id for r in minhash.deduplicate(docs, 5, 80, 100).collect())
+    assert kept == Counter({10 * i: 2 for i in range(12)})
+
+
 def test_substring(docs, texts):
     every = {i: words(t) for i, t in texts.items()}
     windows = Counter(tuple(w[j : j + 35]) for w in every.values() for j in range(len(w) - 34))

@@ -6,7 +6,8 @@ the signature is the least rank along the k-th neighbours of a document's slots.
 four coordinates give candidate buckets; the number of bands follows from the threshold
 and the stated chance to miss a pair.
 
-Links are confirmed on whole sets. Equal sets fold to one representative first. Inside a
+Links are confirmed on whole sets. Equal sets fold to one class first, named by size and
+128-bit print; a component takes its smallest ``doc_id`` only at the end. Inside a
 bucket no pairs are listed: a few hubs are compared with the other members, then leave the
 bucket; a bucket is finished when all that is left of it belongs to one component already.
 Buckets where false candidates meet take more rounds, with sixteen times the hubs each time,
@@ -43,6 +44,8 @@ PARITY_WORDS = 8
 PAIRS_TOGETHER = 64
 #: Documents to confirm are looked up by broadcast up to this number, by a shuffle beyond it.
 MOST_BROADCAST = 1_000_000
+#: What names a class of equal sets.
+SAME = ["n_shingles", "print_a", "print_b"]
 _RANKS: dict[int, np.ndarray] = {}
 
 
@@ -89,6 +92,12 @@ def parity(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def prints(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set, as two signed 64-bit numbers."""
+    pair = (mixed(shingles), mixed(shingles ^ np.uint64(0x5851F42D4C957F2D)))
+    return tuple(int(x.sum(dtype=np.uint64).view(np.int64)) for x in pair)
+
+
 def sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
     """doc_id, n_shingles, a 128-bit print of the set, its parity bits and its buckets (NULL if empty)."""
 
@@ -100,8 +109,9 @@ def sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
                 for text in piece.column(1):
                     own = shingle_set(text.as_py(), width)
                     sizes.append(len(own))
-                    first.append(int(mixed(own).sum(dtype=np.uint64).view(np.int64)))
-                    second.append(int(mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)))
+                    a, b = prints(own)
+                    first.append(a)
+                    second.append(b)
                     bits.append(parity(own))
                     keys.append(band_keys(own, bands) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
@@ -121,18 +131,30 @@ def sketches(docs: DataFrame, width: int, bands: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node and packed set of the documents named in ``wanted``."""
+    """node and packed set of the classes ``wanted`` (node, doc), from the texts of their ``doc``."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
-                piece = batch.slice(at, 512)
-                packed = [shingle_set(t.as_py(), width).tobytes() for t in piece.column(1)]
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(packed, pa.binary())], names=["node", "packed"])
+                sets = [shingle_set(t.as_py(), width) for t in batch.slice(at, 512).column(1)]
+                named = [prints(own) for own in sets]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([len(own) for own in sets], pa.int64()),
+                        pa.array([a for a, _ in named], pa.int64()),
+                        pa.array([b for _, b in named], pa.int64()),
+                        pa.array([own.tobytes() for own in sets], pa.binary()),
+                    ],
+                    names=[*SAME, "packed"],
+                )
 
-    some = F.broadcast(wanted) if wanted.count() <= MOST_BROADCAST else wanted
-    met = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(some, "node", "left_semi")
-    return met.mapInArrow(run, "node long, packed binary").dropDuplicates(["node"])
+    ids = wanted.select("doc").distinct()
+    some = F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids
+    met = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(some, "doc", "left_semi")
+    found = met.mapInArrow(run, "n_shingles long, print_a long, print_b long, packed binary")
+    # a doc_id can stand on texts of other classes too
+    named = found.select(F.struct(*SAME).alias("node"), "packed").join(wanted, "node", "left_semi")
+    return named.dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -152,12 +174,13 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
                     [piece.column(0).filter(mask), piece.column(1).filter(mask)], names=["a", "b"]
                 )
 
+    kind = pairs.schema["node"].dataType.simpleString()
     pieces = pairs.groupBy("hub").agg((F.count(F.lit(1)) / PAIRS_TOGETHER).cast("int").alias("more"))
     hubs = sets.withColumnsRenamed({"node": "hub", "packed": "hub_packed"}).join(pieces, "hub")
     dealt = hubs.select("hub", "hub_packed", F.explode(F.sequence(F.lit(0), F.col("more"))).alias("salt"))
     salted = pairs.join(pieces, "hub").select("hub", "node", F.pmod(F.xxhash64("node"), F.col("more") + 1).cast("int").alias("salt"))
     both = salted.join(sets, "node").join(dealt, ["hub", "salt"])
-    return both.select("hub", "node", "hub_packed", "packed").mapInArrow(run, "a long, b long")
+    return both.select("hub", "node", "hub_packed", "packed").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
@@ -175,6 +198,13 @@ def _near(a: str, b: str, num: int, den: int) -> Column:
     return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & ((den + num) * apart <= (den - num) * (na + nb))
 
 
+def _shared_ids(rows: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of rows with one ``doc_id``: they share a component."""
+    own = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", F.struct(*SAME).alias("b"))
+    heads = own.groupBy("doc_id").agg(F.min("b").alias("a"), F.max("b").alias("last")).filter("a <> last")
+    return own.join(heads.drop("last"), "doc_id").filter("a <> b").select("a", "b").distinct()
+
+
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members, with their labels, of buckets that still hold two components or more."""
     known = members.join(labels, "node")
@@ -187,31 +217,35 @@ def components_of(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
     require(docs, "doc_id", "text")
     spark = docs.sparkSession
     rows = _saved(spark, sketches(docs, width, bands_for(num / den, miss)), "minhash-rows")
-    same = ["n_shingles", "print_a", "print_b"]
     classes = _saved(
         spark,
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy(*same)
-        .agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("bits", "keys")).alias("own"))
-        .select(*same, "node", "copies", "own.bits", "own.keys"),
+        .groupBy(*SAME)
+        .agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("copies"), F.first(F.struct("bits", "keys")).alias("own"))
+        .select(F.struct(*SAME).alias("node"), "doc", "copies", "own.bits", "own.keys"),
         "minhash-classes",
     )
     postings = classes.select(F.explode("keys").alias("key"), "node")
     crowded = postings.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
     shared = postings.join(crowded, "key", "left_semi")
-    members = shared.join(classes.select("node", "copies", F.col("n_shingles").alias("n"), "bits"), "node")
+    members = shared.join(classes.select("node", "copies", F.col("node.n_shingles").alias("n"), "bits"), "node")
     members = _saved(spark, members.withColumn("label", F.col("node")), "minhash-members")
     labels = _saved(spark, members.select("node", "label").distinct(), "minhash-labels")
+    tied = _saved(spark, _shared_ids(rows), "minhash-tied")
+    if not tied.isEmpty():
+        ends = tied.select("a", "a").union(tied.select("b", "b")).toDF("node", "label")
+        labels = _saved(spark, connect(labels.union(ends).distinct(), tied), "minhash-labels")
+        members = _saved(spark, _open(members.drop("label"), labels), "minhash-members")
     hubs_each = 1
     while not members.isEmpty():
         # hubs come from the labels with the fewest members, most copies first
         part = F.pmod(F.xxhash64("label"), F.lit(hubs_each)).alias("part")
         groups = members.groupBy("key", "label").agg(
-            F.count(F.lit(1)).alias("size"), F.max(F.struct("copies", (-F.col("node")).alias("minus"))).alias("top")
+            F.count(F.lit(1)).alias("size"), F.min(F.struct((-F.col("copies")).alias("fewer"), F.col("node").alias("hub"))).alias("top")
         )
         picked = (
             groups.groupBy("key", part)
-            .agg(F.min(F.struct("size", (-F.col("top.copies")).alias("fewer"), (-F.col("top.minus")).alias("hub"))).alias("h"))
+            .agg(F.min(F.struct("size", "top.fewer", "top.hub")).alias("h"))
             .select("key", F.col("h.hub").alias("node"))
         )
         hubs = _saved(spark, members.join(picked, ["key", "node"], "left_semi"), "minhash-hubs")
@@ -225,13 +259,18 @@ def components_of(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100
         members = members.join(hubs.select("key", "node"), ["key", "node"], "left_anti")
         if not pairs.isEmpty():
             ends = pairs.select("node").union(pairs.select("hub")).distinct()
-            sets = _saved(spark, _sets(docs, _saved(spark, ends, "minhash-ends"), width), "minhash-sets")
+            ends = _saved(spark, ends.join(classes.select("node", "doc"), "node"), "minhash-ends")
+            sets = _saved(spark, _sets(docs, ends, width), "minhash-sets")
             links = _saved(spark, _confirmed(pairs, sets, num, den), "minhash-links")
             labels = _saved(spark, connect(labels, links), "minhash-labels")
         members = _saved(spark, _open(members.drop("label"), labels), "minhash-members")
         hubs_each *= 16
-    joined = rows.select("doc_id", *same).join(classes.select(*same, "node"), same, "left").join(labels, "node", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("label", "node", "doc_id"))
+    labelled = labels.join(classes.select("node", "doc"), "node")
+    firsts = labelled.groupBy("label").agg(F.min("doc").alias("first"))
+    met = labelled.join(firsts, "label").select("node", "first")
+    named = classes.select("node", "doc").join(met, "node", "left").select("node", F.coalesce("first", "doc").alias("named"))
+    joined = rows.select("doc_id", "n_shingles", F.struct(*SAME).alias("node")).join(named, "node", "left")
+    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("named", "doc_id"))
     return joined.select("doc_id", "n_shingles", component.cast("long").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
