@@ -19,6 +19,7 @@ from verisift.llm import (
     substring,
     token_counts,
     topk,
+    whitening,
 )
 
 
@@ -91,6 +92,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), window=35)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.fit(vectors).first(32)
+    error = whitening.identity_error(vectors, fitted)
+    explained = F.array(*[F.lit(float(e)) for e in fitted.explained]).cast("array<double>")
+    return whitening.whiten(vectors, fitted).select(
+        "vec_id", F.col("deviation").cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened")
+    ).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(fitted.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_source_mix": op2_source_mix,
@@ -102,4 +121,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
