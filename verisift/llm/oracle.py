@@ -113,4 +113,28 @@ k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS m,
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(t) AS kept_sha256 FROM k
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op5_topk_search": OP5, "op9_minhash": OP9, "op10_substring_dedup": OP10}
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS MATERIALIZED (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + 9), ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 8, 2))) AS i FROM b WHERE len(w) > 0)),
+own AS MATERIALIZED (
+  SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS MATERIALIZED (
+  SELECT doc_id, i, own.n AS n, item_id FROM own JOIN win ON own.s = win.s AND own.n = win.n),
+cov AS (SELECT doc_id, count(DISTINCT p) AS m FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS k, string_agg(id, ',' ORDER BY id) AS ids
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(m, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(k, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(m, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op5_topk_search": OP5, "op9_minhash": OP9, "op10_substring_dedup": OP10, "op12_decontaminate": OP12}

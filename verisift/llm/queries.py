@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from verisift.llm import (
     byte_bpe,
+    decontaminate,
     lang_id,
     line_dedup,
     lm_score,
@@ -92,6 +93,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), window=35)
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     fitted = whitening.fit(vectors).first(32)
@@ -121,5 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_decontaminate": op12_decontaminate,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
