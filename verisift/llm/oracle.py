@@ -113,6 +113,42 @@ k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(ps), 0) AS m,
 SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(t) AS kept_sha256 FROM k
 """
 
+# crc32 of the decimal id, bit by bit over its bytes
+OP11 = r"""
+WITH ids AS (
+  SELECT DISTINCT conv_id,
+         xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)],
+               list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+             lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda x, z: xor(x >> 1, CAST(3988292384 AS BIGINT) * (x & 1)))), CAST(4294967295 AS BIGINT)) % 4 AS h
+  FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM conversations),
+r AS (SELECT ids.conv_id, t.role, t.text, 0 AS own, t.i FROM ids JOIN t ON t.conv_id = ids.conv_id - ids.conv_id % 20 AND t.i <= h
+      UNION ALL SELECT ids.conv_id, t.role, t.text, 1, t.i FROM ids JOIN t ON t.conv_id = ids.conv_id AND t.i > h),
+s AS (SELECT ids.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY own, i) FILTER (role IS NOT NULL), []) AS turns
+      FROM ids LEFT JOIN r ON ids.conv_id = r.conv_id GROUP BY ids.conv_id),
+p AS MATERIALIZED (
+  SELECT conv_id, depth, len(turns) AS turns, sha256(CAST(to_json(list_slice(turns, 1, depth)) AS VARCHAR)) AS node,
+         CASE WHEN depth > 0 THEN sha256(CAST(to_json(list_slice(turns, 1, depth - 1)) AS VARCHAR)) END AS parent,
+         CASE WHEN depth > 0 THEN len(list_filter(string_split_regex(turns[depth].text, '[\x20\x09-\x0D]+'), lambda x: x <> ''))
+              ELSE 0 END AS words
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM s)),
+n AS MATERIALIZED (
+  SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (turns = depth), '')) AS ends_sha256
+  FROM p GROUP BY node, depth),
+k AS MATERIALIZED (SELECT n.*, coalesce(c.n, 0) AS n_children FROM n LEFT JOIN
+      (SELECT parent, count(*) AS n FROM n GROUP BY parent) c ON c.parent = n.node),
+below AS (SELECT a.node, sum(CASE WHEN b.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved
+          FROM (SELECT DISTINCT x.node, y.node AS under FROM p x JOIN p y ON x.conv_id = y.conv_id AND x.depth <= y.depth) a
+          JOIN k b ON b.node = a.under GROUP BY a.node)
+SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, CAST(k.n_convs AS BIGINT) AS n_convs,
+       CAST(k.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, k.ends_sha256
+FROM k JOIN below ON below.node = k.node LEFT JOIN n u ON u.node = k.parent
+"""
+
 OP12 = r"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -137,4 +173,4 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(m, 0) AS BIGIN
 FROM d LEFT JOIN cov ON d.doc_id = cov.doc_id LEFT JOIN its ON d.doc_id = its.doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op5_topk_search": OP5, "op9_minhash": OP9, "op10_substring_dedup": OP10, "op12_decontaminate": OP12}
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": OP1, "op2_source_mix": OP2, "op5_topk_search": OP5, "op9_minhash": OP9, "op10_substring_dedup": OP10, "op11_prefix_trie": OP11, "op12_decontaminate": OP12}

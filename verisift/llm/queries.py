@@ -15,6 +15,7 @@ from verisift.llm import (
     line_dedup,
     lm_score,
     minhash,
+    prefix_trie,
     quality_rules,
     source_mix,
     substring,
@@ -93,6 +94,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.removal_digests(table(spark, sf_dir, "documents"), window=35)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.findings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=10)
     return found.select(
@@ -129,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_id": op8_lang_id,
     "op9_minhash": op9_minhash,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_decontaminate": op12_decontaminate,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
