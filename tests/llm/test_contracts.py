@@ -173,6 +173,20 @@ def test_topk(spark):
         assert sorted(found) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
 
 
+def test_topk_of_repeated_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(40)]
+    rows += [rows[0], rows[0], rows[20], (20, [0.5, 0.5, 0.5]), (40, [0.25, 0.0, 0.0])] + [(7, [9.0, 9.0, 9.0])] * 5
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    whole = [(i, tuple(np.floor(64 * np.array(v)).astype(int).tolist())) for i, v in rows]
+    expected = []
+    for q, v in {r for r in whole if r[0] % 20 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole if i != q)[:20]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores)]
+    got = [tuple(r) for r in topk.search(vectors, vectors.filter("vec_id % 20 = 0"), 20).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_lm_score(docs, texts):
     got = {r.doc_id: r for r in lm_score.score(docs, lm_score.fold_of()).collect()}
     held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i in texts}

@@ -10,7 +10,9 @@ are opened, because ties go to smaller ids.
 Edge cases: vectors that are NULL, empty, or hold NULL or non-finite components, and rows
 with a NULL id, take no part; only vectors of one length meet; a query with fewer than k
 others gets all of them; a row never finds its own id; an empty table gives an empty result;
-repeated ids are candidates as often as they occur; further columns are dropped.
+repeated ids are candidates as often as they occur, but never for a query with that id; equal
+query rows have one list, query rows with one id and other vectors a list each; further
+columns are dropped.
 """
 
 from __future__ import annotations
@@ -101,12 +103,13 @@ class Tree:
                 begin, end = self.span[node]
                 scores = points[begin:end] @ q[row]
                 near = np.flatnonzero(scores >= limit[0]) if limit else np.arange(end - begin)
+                # every row with the query's id goes before the best are cut off
+                near = near[self.ids[begin:end][near] != own]
                 if len(near) > k:
-                    cut = np.lexsort((self.ids[begin:end][near], -scores[near]))[: k + 1]
-                    near = near[cut]
+                    near = near[np.lexsort((self.ids[begin:end][near], -scores[near]))[:k]]
                 for at in near.tolist():
                     found = (int(scores[at]), -int(self.ids[begin + at]))
-                    if -found[1] == own or (known and found < (known[0], -known[1])):
+                    if known and found < (known[0], -known[1]):
                         continue
                     if len(best) < k:
                         heapq.heappush(best, found)
@@ -131,7 +134,7 @@ def _trees(rows: DataFrame) -> DataFrame:
 
 def _blocks(rows: DataFrame) -> DataFrame:
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        data = (group["vec_id"].to_numpy(), np.stack(group["v"].to_numpy()).astype(np.int64))
+        data = (group["vec_id"].to_numpy(), group["name"].to_numpy(), np.stack(group["v"].to_numpy()).astype(np.int64))
         return pd.DataFrame({"dim": group["dim"].iloc[:1], "block": group["block"].iloc[:1], "queries": [pickle.dumps(data)]})
 
     return rows.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, queries binary")
@@ -143,10 +146,10 @@ def _visit(met: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for frame in batches:
             for row in frame.itertuples(index=False):
-                ids, queries = pickle.loads(row.queries)
+                ids, names, queries = pickle.loads(row.queries)
                 known = pickle.loads(row.known) if row.known is not None else [None] * len(ids)
                 found = list(pickle.loads(row.tree).search(ids, queries, k, known)) if row.tree is not None else [[]] * len(ids)
-                yield pd.DataFrame({"dim": [row.dim], "block": [row.block], "found": [pickle.dumps((ids, found))]})
+                yield pd.DataFrame({"dim": [row.dim], "block": [row.block], "found": [pickle.dumps((ids, names, found))]})
 
     return met.select("dim", "block", "queries", "known", "tree").mapInPandas(run, "dim int, block int, found binary")
 
@@ -155,7 +158,7 @@ def _kth(found: DataFrame, k: int) -> DataFrame:
     def run(batches):
         for frame in batches:
             for row in frame.itertuples(index=False):
-                _, lists = pickle.loads(row.found)
+                _, _, lists = pickle.loads(row.found)
                 known = [min(((s, -i) for s, i in best), default=None) if len(best) == k else None for best in lists]
                 known = [None if x is None else (x[0], -x[1]) for x in known]
                 yield pd.DataFrame({"dim": [row.dim], "block": [row.block], "known": [pickle.dumps(known)]})
@@ -167,11 +170,11 @@ def _spread(found: DataFrame) -> DataFrame:
     def run(batches):
         for frame in batches:
             for packed in frame["found"]:
-                ids, lists = pickle.loads(packed)
-                rows = [(int(q), i, s) for q, best in zip(ids, lists, strict=True) for s, i in best]
-                yield pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype("int64")
+                ids, names, lists = pickle.loads(packed)
+                rows = [(int(q), int(n), i, s) for q, n, best in zip(ids, names, lists, strict=True) for s, i in best]
+                yield pd.DataFrame(rows, columns=["query_id", "name", "vec_id", "score"]).astype("int64")
 
-    return found.select("found").mapInPandas(run, "query_id long, vec_id long, score long")
+    return found.select("found").mapInPandas(run, "query_id long, name long, vec_id long, score long")
 
 
 def search(
@@ -184,7 +187,8 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the best k candidates of every query."""
     rows = quantised(vectors, id_column, vector_column, scale)
-    asked = quantised(queries, id_column, vector_column, scale)
+    asked = quantised(queries, id_column, vector_column, scale).dropDuplicates(["vec_id", "v"])
+    asked = asked.withColumn("name", F.xxhash64("vec_id", "v"))
     shards = max(1, -(-rows.count() // SHARD_ROWS))
     n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
     place = F.xxhash64("vec_id")
@@ -196,6 +200,6 @@ def search(
     known = blocks.join(_kth(first, k), ["dim", "block"])
     far = known.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter(F.col("shard") != home)
     rest = _visit(far.repartition(F.col("block"), F.col("shard")).join(trees, ["dim", "shard"]), k)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = Window.partitionBy("query_id", "name").orderBy(F.col("score").desc(), "vec_id")
     ranked = _spread(first.unionByName(rest)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
