@@ -1,9 +1,8 @@
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from verisift.models import accrual, deduction, leakage, metrics, returns, tracking
+from verisift.models import accrual, boosting, deduction, leakage, metrics, returns, tracking
 from verisift.models.training import numeric_features, quality_weight
 from verisift.plans.jobs import accrual_job, feature_job, training_table
 from verisift.plans import bindings as b
@@ -66,7 +65,6 @@ def test_text_training_and_scoring(spark):
 @pytest.mark.parametrize(
     ("name", "module", "size"),
     [
-        ("accrual_model", accrual, {"maxIter": 200, "maxDepth": 6, "subsamplingRate": 0.8}),
         ("text_model", deduction, {"maxIter": 500}),
         ("returns_model", returns, {"numTrees": 300, "maxDepth": 8, "minInstancesPerNode": 5}),
     ],
@@ -85,6 +83,112 @@ def test_registered_models_have_the_default_size(spark, monkeypatch, name, modul
         QUERIES[name](spark, SF)
 
 
+def test_registered_forecast_has_the_default_size(spark, monkeypatch):
+    class Reached(Exception):
+        pass
+
+    def boost(df, feature_cols, **size):
+        assert size == {"trees": 200, "depth": 6, "rate": 0.1, "subsample": 0.8, "folds": 5}
+        raise Reached
+
+    monkeypatch.setattr(accrual, "boost", boost)
+    with pytest.raises(Reached):
+        QUERIES["accrual_model"](spark, SF)
+
+
+def _boosted_by_hand(x, y, w, fold, hashes, edges, grids, *, trees, depth, rate, subsample, out):
+    """Plain recursive boosting over the same bins, folds and draws."""
+    bins = np.array([np.where(np.isnan(c), 0, np.searchsorted(e, c, side="left") + 1) for c, e in zip(x.T, edges)]).T
+    part = fold != out
+    heavy = np.rint(w * grids[1]) / grids[1]
+    base = (heavy * y)[part].sum() / heavy[part].sum()
+    found = np.full(len(y), base)
+
+    def gain(g, h):
+        return g.sum() ** 2 / h.sum() if h.sum() > 0 else 0.0
+
+    for tree in range(trees):
+        draw = boosting._mixed(hashes + np.uint64((tree + 1) * 0x9E3779B97F4A7C15 % 2**64)) < np.uint64(int(subsample * 2**64))
+        step = np.zeros(len(y))
+
+        def grow(rows, level):
+            used = rows & part & draw
+            g, h = np.rint(w * (y - found) * grids[0])[used] / grids[0], heavy[used]
+            best, at = 1e-12 * max(gain(g, h), 1e-300), None
+            if level < depth and h.sum() > 0:
+                for f in range(bins.shape[1]):
+                    for cut in range(boosting.BINS + 1):
+                        left = bins[used, f] <= cut
+                        if left.any() and not left.all():
+                            won = gain(g[left], h[left]) + gain(g[~left], h[~left]) - gain(g, h)
+                            if won > best * (1 + 1e-9):
+                                best, at = won, (f, cut)
+            if at is None:
+                step[rows] = (rate if tree else 1.0) * (g.sum() / h.sum() if h.sum() > 0 else 0.0)
+                return
+            left = bins[:, at[0]] <= at[1]
+            grow(rows & left, level + 1)
+            grow(rows & ~left, level + 1)
+
+        grow(np.ones(len(y), bool), 0)
+        found = found + step
+    return found
+
+
+def test_boosting_equals_a_plain_version(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(160, 3)), 1)
+    x[::17, 1] = np.nan
+    y = np.round(3 * x[:, 0] - np.nan_to_num(x[:, 1], nan=4.0) ** 2 + rng.normal(size=160), 3)
+    w = rng.integers(1, 5, 160) / 4
+    rows = [(*map(float, a), float(b), float(c)) for a, b, c in zip(x, y, w)] + [(0.5, 0.5, 0.5, 1.0, 1.0)] * 40
+    df = spark.createDataFrame(rows, "a double, b double, c double, _label double, _weight double")
+    size = {"trees": 6, "depth": 3, "rate": 0.3, "subsample": 0.8}
+    seen = {}
+    blocks_of = boosting._blocks
+
+    def kept(data, cols, edges, parts, folds):
+        made = blocks_of(data, cols, edges, parts, folds)
+        seen.update(edges=edges, blocks=made.collect(), parts=made.getNumPartitions())
+        return made
+
+    monkeypatch.setattr(boosting, "_blocks", kept)
+    model, errors = boosting.boost(df, ["a", "b", "c"], **size, folds=4)
+    bins, label, weight, hashes, fold = (np.concatenate([b[i] for b in seen["blocks"]], axis=-1) for i in range(5))
+    assert len(label) == 200 and len(np.unique(hashes)) == 200 and set(fold) == {0, 1, 2, 3}
+    spread = max(label.max() - label.min(), abs(label.max()), abs(label.min()))
+    grids = (boosting._grid(4.0 * spread * weight.sum()), boosting._grid(2.0 * weight.sum()))
+    # any value inside a bin stands for it
+    edges = [np.arange(1, boosting.BINS) + 0.5] * 3
+    values = np.where(bins == 0, np.nan, bins.astype(float)).T
+    mine = [_boosted_by_hand(values, label, weight, fold, hashes, edges, grids, **size, out=m) for m in range(5)]
+    for m in range(4):
+        held = fold == m
+        assert errors[m] == pytest.approx(np.average(np.abs(label - mine[m])[held], weights=weight[held]), rel=1e-9)
+    scored = boosting.with_prediction(model, df, "p").collect()
+    np.testing.assert_allclose(sorted(r["p"] for r in scored), sorted(mine[4]), rtol=1e-9)
+    # the same by levels over many partitions, whatever the partitions of the input
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 30)
+    monkeypatch.setattr(boosting, "CHECKPOINT_TREES", 2)
+    again, errors_again = boosting.boost(df.repartition(5), ["a", "b", "c"], **size, folds=4)
+    assert seen["parts"] == 7 and errors_again == pytest.approx(errors, rel=1e-12)
+    for name in ("feature", "cut", "value"):
+        assert np.array_equal(getattr(again, name), getattr(model, name))
+
+
+def test_boosting_of_few_rows_and_gaps(spark):
+    kind = "a double, _label double, _weight double"
+    size = {"trees": 3, "depth": 2, "rate": 1.0, "subsample": 1.0, "folds": 1}
+    one = spark.createDataFrame([(1.0, 5.0, 1.0), (None, None, 1.0), (2.0, 9.0, 0.0)], kind)
+    model, errors = boosting.boost(one, ["a"], **size)
+    assert errors == [] and [r["p"] for r in boosting.with_prediction(model, one, "p").collect()] == [5.0, 5.0, 5.0]
+    gaps = spark.createDataFrame([(None, 1.0, 1.0), (float("nan"), 1.0, 1.0), (3.0, 2.0, 1.0), (4.0, 2.0, 1.0)], kind)
+    model, _ = boosting.boost(gaps, ["a"], **size)
+    assert [r["p"] for r in boosting.with_prediction(model, gaps, "p").collect()] == pytest.approx([1.0, 1.0, 2.0, 2.0])
+    with pytest.raises(ValueError, match="needs rows"):
+        boosting.boost(one.limit(0), ["a"], **size)
+
+
 def test_smooth_idf_weights(spark):
     from pyspark.ml.linalg import Vectors
 
@@ -200,4 +304,6 @@ def test_features_to_published_scores(spark, layout):
     scores = spark.read.parquet(layout.gold("accrual_scores"))
     assert scores.count() == training.count()
     assert {r["_audit_model_version"] for r in scores.select("_audit_model_version").distinct().collect()} == {"7"}
-    assert PipelineModel.load(layout.gold("models/accrual_forecast/7")).transform(training).count() == training.count()
+    stored = boosting.BoostedTrees.load(spark, layout.gold("models/accrual_forecast/7"))
+    again = accrual.score(stored, training, model_version="7").select("customer_id", "predicted_accrual")
+    assert again.exceptAll(scores.select("customer_id", "predicted_accrual")).isEmpty() and stored.feature.shape == (2, 3)

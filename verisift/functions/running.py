@@ -80,3 +80,33 @@ def totals_before(points: DataFrame, by: str, order: str, value: str) -> DataFra
     return inside.join(F.broadcast(totals), [by, "_bucket"]).select(
         *points.columns, (F.col("_shift") + F.col("_in")).alias(f"{value}_before"), f"{value}_all"
     )
+
+
+def quantile_map(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
+    """One row: ``edges``, a map from column to its distinct exact quantiles, the least values
+    that reach each share of its known values."""
+    cells = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    )
+    points = (
+        df.select(F.inline(cells))
+        .where(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    placed = totals_before(points, "column", "value", "n")
+    # the first share beyond the smaller values, as a whole number of bins
+    share = F.expr(f"({bins} * n_before) div n_all") + 1
+    reached = (share < bins) & (share * F.col("n_all") <= bins * (F.col("n_before") + F.col("n")))
+    return (
+        placed.where(reached)
+        .groupBy("column")
+        .agg(F.sort_array(F.collect_list("value")).alias("edges"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("edges"))
+    )
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """The edges of ``quantile_map``; NaN counts as unknown."""
+    known = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    return dict(quantile_map(known, columns, bins).first()["edges"] or {})

@@ -46,3 +46,19 @@ def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
         .withColumn("_copy", F.explode(copy_numbers))
         .select(*columns, (F.col("_first") & (F.col("_copy") == 0)).alias("_first"))
     )
+
+
+def numbered_copies(df: DataFrame, name: str, parts: int) -> DataFrame:
+    """The rows in ``parts`` partitions, equal ones numbered from 0 in the column ``name``.
+
+    Equal rows are folded to their number and unfolded in chunks, so a row that stands for
+    a large share of the table is dealt out like any other.
+    """
+    folded = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    chunks = F.sequence(F.lit(0), (F.col("_copies") - 1).try_cast("long"), F.lit(COPIES_PER_TASK))
+    upto = F.least(F.col("_copies"), F.col("_from") + F.lit(COPIES_PER_TASK)) - 1
+    return (
+        folded.withColumn("_from", F.explode(chunks))
+        .repartition(parts, *[F.col(c) for c in (*df.columns, "_from")])
+        .select(*df.columns, F.explode(F.sequence(F.col("_from"), upto)).alias(name))
+    )

@@ -4,22 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.regression import GBTRegressor
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from verisift.functions.audit import stamp_audit
-from verisift.models.training import (
-    FOLDS,
-    SEED,
-    WEIGHT,
-    Trained,
-    assembler,
-    fit,
-    measured,
-    quality_weight,
-)
+from verisift.models.boosting import BoostedTrees, boost, with_prediction
+from verisift.models.training import FOLDS, WEIGHT, Trained, measured, quality_weight
 
 TARGET = "accrual_amount"
 # Default size of the model.
@@ -35,32 +25,33 @@ def train(
     folds: int = FOLDS,
 ) -> Trained:
     """Fit on rows weighted by quality; metrics are the cross-validated MAE."""
+    chosen = {**DEFAULTS, **(params or {})}
     data = df.select(
-        *feature_cols, F.col(target).cast("double").alias("_label"), quality_weight(df).alias(WEIGHT)
+        *feature_cols,
+        F.col(target).cast("double").alias("_label"),
+        quality_weight(df).cast("double").alias(WEIGHT),
     )
-    booster = GBTRegressor(
-        featuresCol="_features",
-        labelCol="_label",
-        predictionCol="predicted_accrual",
-        weightCol=WEIGHT,
-        seed=SEED,
-        **{**DEFAULTS, **(params or {})},
+    model, errors = boost(
+        data,
+        feature_cols,
+        trees=int(chosen["maxIter"]),
+        depth=int(chosen["maxDepth"]),
+        rate=float(chosen["stepSize"]),
+        subsample=float(chosen["subsamplingRate"]),
+        folds=folds,
     )
-    judge = RegressionEvaluator(
-        labelCol="_label", predictionCol="predicted_accrual", metricName="mae", weightCol=WEIGHT
-    )
-    model, mean, deviation = fit([assembler(feature_cols), booster], data, judge, folds=folds)
+    mean, deviation = (np.mean(errors), np.std(errors)) if errors else (None, None)
     return Trained(
         model, tuple(feature_cols), measured(cv_mae_mean=mean, cv_mae_std=deviation)
     )
 
 
 def score(
-    model: PipelineModel, df: DataFrame, *, model_version: str, correlation_id: str | None = None
+    model: BoostedTrees, df: DataFrame, *, model_version: str, correlation_id: str | None = None
 ) -> DataFrame:
-    """Add ``predicted_accrual`` and the audit columns."""
+    """Add ``predicted_accrual`` and the audit columns; gaps among the features are allowed."""
     return stamp_audit(
-        model.transform(df).drop("_features"),
+        with_prediction(model, df, "predicted_accrual"),
         model_version=model_version,
         correlation_id=correlation_id,
         pipeline_name="accrual_forecast_batch",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from verisift.functions.exprs import ratio
-from verisift.functions.running import chain_buckets, in_buckets, totals_before
+from verisift.functions.running import chain_buckets, in_buckets, quantile_map
 
 # Share used for an empty bin, so that its logarithm exists.
 EMPTY_SHARE = 1e-4
@@ -30,29 +30,6 @@ def _bin_counts(df: DataFrame, columns: Sequence[str], edges: Column, name: str)
     return placed.groupBy("column", "bin").agg(F.count(F.lit(1)).alias(name))
 
 
-def _edges(baseline: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
-    """One row: a map from column to its distinct exact quantiles, the least values that reach each share."""
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
-    )
-    points = (
-        baseline.select(F.inline(cells))
-        .where(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    placed = totals_before(points, "column", "value", "n")
-    # the first share beyond the smaller values, as a whole number of bins
-    share = F.expr(f"({bins} * n_before) div n_all") + 1
-    reached = (share < bins) & (share * F.col("n_all") <= bins * (F.col("n_before") + F.col("n")))
-    return (
-        placed.where(reached)
-        .groupBy("column")
-        .agg(F.sort_array(F.collect_list("value")).alias("edges"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("column", "edges"))).alias("edges"))
-    )
-
-
 def population_stability(
     baseline: DataFrame, current: DataFrame, columns: Sequence[str], *, bins: int = 10
 ) -> DataFrame:
@@ -61,7 +38,7 @@ def population_stability(
     NULL is a bin of its own. The edges are exact, from counted distinct values of all
     columns at once; one pass over each frame makes the counts.
     """
-    edges = _edges(baseline, columns, bins).scalar()
+    edges = quantile_map(baseline, columns, bins).scalar()
     zero = F.lit(0)
     both = (
         _bin_counts(baseline, columns, edges, "_b")

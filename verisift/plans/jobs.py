@@ -6,11 +6,11 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from verisift.functions.audit import new_correlation_id
 from verisift.models import accrual
+from verisift.models.boosting import BoostedTrees
 from verisift.models.tracking import record_run
 from verisift.models.training import Trained
 from verisift.operators import contract, customer, monitor, rebate, seasonal
@@ -155,7 +155,7 @@ def accrual_job(
         version=model_version,
     )
     trained.save(layout.gold(f"models/accrual_forecast/{model_version}"))
-    model = PipelineModel.load(layout.gold(f"models/accrual_forecast/{model_version}"))
+    model = BoostedTrees.load(spark, layout.gold(f"models/accrual_forecast/{model_version}"))
     run = new_correlation_id()
     scored = accrual.score(model, scoring, model_version=model_version, correlation_id=run)
     publish_scores(

