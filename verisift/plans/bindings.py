@@ -140,6 +140,41 @@ def accruals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers in groups (nations), groups in parents (regions); some links change by date.
+
+    Every third customer moves to the next group in July 1995, every group to the next parent
+    in 1997, and from 1998 the first two parents belong to each other.
+    """
+    moved, raised, merged = "1995-07-01", "1997-01-01", "1998-01-01"
+
+    def link(df: DataFrame, child: Column, parent: Column, begin: str | None, end: Column) -> DataFrame:
+        return df.select(
+            child.alias("child"),
+            parent.alias("parent"),
+            F.lit(begin).cast("date").alias("valid_from"),
+            end.cast("date").alias("valid_to"),
+        )
+
+    customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    who, moves = F.col("c_custkey").cast("string"), F.col("c_custkey") % 3 == 0
+    never = F.lit(None)
+
+    def name(kind: str, number: Column) -> Column:
+        return F.concat(F.lit(kind), number.cast("string"))
+
+    own, parent = F.col("c_nationkey"), F.col("n_regionkey")
+    group = name("G", F.col("n_nationkey"))
+    first_two = region.where("r_regionkey < 2")
+    return (
+        link(customer, who, name("G", own), None, F.when(moves, F.date_sub(F.lit(moved).cast("date"), 1)))
+        .union(link(customer.where(moves), who, name("G", (own + 1) % 25), moved, never))
+        .union(link(nation, group, name("P", parent), None, F.date_sub(F.lit(raised).cast("date"), 1)))
+        .union(link(nation, group, name("P", (parent + 1) % 5), raised, never))
+        .union(link(first_two, name("P", F.col("r_regionkey")), name("P", 1 - F.col("r_regionkey")), merged, never))
+    )
+
+
 # -- raw layouts of the adapters -------------------------------------------------
 
 

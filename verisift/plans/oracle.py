@@ -1041,3 +1041,105 @@ SELECT {whole('count(DISTINCT customer_id)')} AS customers, {whole('count(DISTIN
        {num('sum(accrual_amount)')} AS accrual_amount, TRUE AS fits_better_than_mean,
        TRUE AS predicts_better_than_mean, {whole('200')} AS trees
 FROM ac"""
+
+# -- overlaps, hierarchies and allocation ------------------------------------------
+
+Q["near_duplicate_claims"] = f"""
+WITH c AS (
+  SELECT row_number() OVER () AS i, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS claim_id,
+         CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_shipdate AS DATE) AS claim_date,
+         CAST(l_extendedprice * l_discount AS {MONEY}) AS claim_amount
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+n AS (
+  SELECT a.i, max((1 - abs(a.claim_date - b.claim_date) / CAST(11 AS DOUBLE))
+                  * (1 - CAST(abs(a.claim_amount - b.claim_amount) * 10000 AS DOUBLE) / 500001)) AS best
+  FROM c a JOIN c b ON a.customer_id = b.customer_id AND a.i <> b.i AND abs(a.claim_date - b.claim_date) <= 10
+   AND abs(a.claim_amount - b.claim_amount) <= 50 GROUP BY a.i)
+SELECT claim_id, customer_id, {text('claim_date')} AS claim_date, {num('claim_amount')} AS claim_amount,
+       {num('round(coalesce(best, 0.0), 4)')} AS feat_duplicate_closeness
+FROM c LEFT JOIN n ON c.i = n.i"""
+
+Q["contract_overlap_between"] = f"""
+WITH {CT}, d AS (
+  SELECT contract_id, customer_id, product_id, greatest(effective_date, DATE '1995-03-01') AS x,
+         least(coalesce(expiration_date, DATE '1997-09-30'), DATE '1997-09-30') AS y
+  FROM ct WHERE expiration_date IS NULL OR expiration_date >= effective_date),
+c AS (SELECT * FROM d WHERE x <= y),
+p AS (
+  SELECT a.customer_id, count(*) AS pairs, sum(least(a.y, b.y) - greatest(a.x, b.x) + 1) AS days
+  FROM c a JOIN c b ON a.customer_id = b.customer_id AND a.product_id = b.product_id
+   AND a.contract_id < b.contract_id AND a.x <= b.y AND b.x <= a.y GROUP BY 1),
+m AS (
+  SELECT customer_id, max(n) AS most FROM (
+    SELECT a.customer_id, a.product_id, a.x, count(*) AS n
+    FROM (SELECT DISTINCT customer_id, product_id, x FROM c) a JOIN c b
+      ON a.customer_id = b.customer_id AND a.product_id = b.product_id AND b.x <= a.x AND a.x <= b.y GROUP BY 1, 2, 3)
+  GROUP BY 1)
+SELECT p.customer_id, {whole('pairs')} AS overlapping_pairs, {whole('days')} AS overlap_days, {whole('most')} AS most_active
+FROM p JOIN m ON p.customer_id = m.customer_id"""
+
+LINKS = """links AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS child, 'G' || CAST(c_nationkey AS VARCHAR) AS parent, DATE '0001-01-01' AS f,
+         CASE WHEN c_custkey % 3 = 0 THEN DATE '1995-06-30' ELSE DATE '9999-12-31' END AS t FROM customer
+  UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'G' || CAST((c_nationkey + 1) % 25 AS VARCHAR), DATE '1995-07-01', DATE '9999-12-31'
+  FROM customer WHERE c_custkey % 3 = 0
+  UNION ALL SELECT 'G' || CAST(n_nationkey AS VARCHAR), 'P' || CAST(n_regionkey AS VARCHAR), DATE '0001-01-01', DATE '1996-12-31' FROM nation
+  UNION ALL SELECT 'G' || CAST(n_nationkey AS VARCHAR), 'P' || CAST((n_regionkey + 1) % 5 AS VARCHAR), DATE '1997-01-01',
+                   DATE '9999-12-31' FROM nation
+  UNION ALL SELECT 'P' || CAST(r_regionkey AS VARCHAR), 'P' || CAST(1 - r_regionkey AS VARCHAR), DATE '1998-01-01', DATE '9999-12-31'
+  FROM region WHERE r_regionkey < 2),
+ways(member, ancestor, f, t, level) AS (
+  SELECT child, parent, f, t, 1 FROM links
+  UNION
+  SELECT member, parent, greatest(ways.f, links.f), least(ways.t, links.t), level + 1
+  FROM ways JOIN links ON ways.ancestor = links.child
+  WHERE member <> parent AND ways.f <= links.t AND links.f <= ways.t AND level < 8),
+closure AS (SELECT member, ancestor, f, t, min(level) AS level FROM ways GROUP BY 1, 2, 3, 4)"""
+Q["hierarchy_closure"] = f"""
+WITH RECURSIVE {LINKS}
+SELECT member, ancestor, {text('f')} AS valid_from, {text('t')} AS valid_to, {whole('level')} AS level FROM closure"""
+
+Q["hierarchy_on_day"] = f"""
+WITH RECURSIVE {LINKS}
+SELECT member, ancestor, {whole('min(level)')} AS level FROM closure WHERE {AS_OF} BETWEEN f AND t GROUP BY 1, 2"""
+
+Q["hierarchy_sales"] = f"""
+WITH RECURSIVE {TX}, {LINKS}, r AS (
+  SELECT customer_id, transaction_date, ancestor, min(level) AS level FROM
+    (SELECT DISTINCT customer_id, transaction_date FROM tx) s JOIN closure ON member = customer_id
+   WHERE transaction_date BETWEEN f AND t GROUP BY 1, 2, 3)
+SELECT ancestor, {whole('level')} AS level, {num('sum(gross_amount)')} AS total, {whole('count(*)')} AS row_count,
+       {whole('count(DISTINCT tx.customer_id)')} AS members
+FROM tx JOIN r ON tx.customer_id = r.customer_id AND tx.transaction_date = r.transaction_date GROUP BY 1, 2"""
+
+# what a claim is given: what is asked so far less the largest shortfall so far
+FIFO = f"""li AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS customer_id,
+         l_linestatus AS product_id, CAST(o_orderdate AS DATE) AS sold_on, CAST(l_shipdate AS DATE) AS claimed_on,
+         CAST(l_quantity AS {MONEY}) AS q
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+s AS (SELECT customer_id, product_id, id, sold_on AS day, sum(q) AS q FROM li GROUP BY ALL),
+c AS (SELECT customer_id, product_id, 'CB-' || id AS id, claimed_on AS day, sum(q * 1.5) AS q FROM li GROUP BY ALL),
+sp AS (SELECT *, sum(q) OVER w - q AS lo, sum(q) OVER w AS hi FROM s WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY day, id)),
+held AS (
+  SELECT c.*, sum(c.q) OVER w AS asked,
+         coalesce((SELECT sum(s.q) FROM s WHERE s.customer_id = c.customer_id AND s.product_id = c.product_id AND s.day <= c.day), 0) AS sold
+  FROM c WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY day, id)),
+given AS (SELECT *, asked + least(0, min(sold - asked) OVER w) AS upto FROM held
+          WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY day, id)),
+cp AS (SELECT *, coalesce(lag(upto) OVER (PARTITION BY customer_id, product_id ORDER BY day, id), 0) AS lo, upto AS hi FROM given),
+pairs AS (
+  SELECT cp.customer_id, cp.product_id, cp.id AS claim_id, sp.id AS transaction_id,
+         sum(least(cp.hi, sp.hi) - greatest(cp.lo, sp.lo)) AS allocated
+  FROM cp JOIN sp ON cp.customer_id = sp.customer_id AND cp.product_id = sp.product_id AND cp.lo < sp.hi AND sp.lo < cp.hi
+  WHERE cp.lo < cp.hi GROUP BY ALL)"""
+Q["claims_to_sales"] = f"""
+WITH {FIFO}
+SELECT customer_id, product_id, claim_id, transaction_id, {num('allocated')} AS allocated FROM pairs"""
+
+Q["claims_allocated"] = f"""
+WITH {FIFO}, a AS (SELECT customer_id, product_id, claim_id, sum(allocated) AS g, count(*) AS n FROM pairs GROUP BY ALL),
+t AS (SELECT customer_id, product_id, id, sum(q) AS q FROM c GROUP BY ALL)
+SELECT t.customer_id, t.product_id, id AS claim_id, {num('q')} AS quantity, {num('coalesce(g, 0)')} AS allocated,
+       {whole('coalesce(n, 0)')} AS sales_used, {num('q - coalesce(g, 0)')} AS open_quantity
+FROM t LEFT JOIN a ON t.id = claim_id AND t.customer_id = a.customer_id AND t.product_id = a.product_id"""

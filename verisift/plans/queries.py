@@ -15,12 +15,16 @@ from verisift.functions.audit import stamp_audit
 from verisift.functions.scoring import with_quality_score
 from verisift.models import accrual, deduction, leakage, metrics, returns, tracking
 from verisift.operators import (
+    allocation,
     checks,
     contract,
     customer,
     drift,
+    duplicates,
     gate,
+    hierarchy,
     monitor,
+    overlap,
     rebate,
     reconcile,
     reports,
@@ -1013,3 +1017,78 @@ def as_of_terms(spark, sf):
         valid_from="effective_date",
         values=["tier_count", "discount_pct"],
     )
+
+
+# -- overlaps, hierarchies and allocation ------------------------------------------
+
+
+@query
+def near_duplicate_claims(spark, sf):
+    """Claims near another of the same customer in both date and amount."""
+    claims = b.table(spark, sf, "lineitem").join(
+        b.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    ).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("claim_id"),
+        F.col("o_custkey").cast("string").alias("customer_id"),
+        F.col("l_shipdate").cast("date").alias("claim_date"),
+        (F.col("l_extendedprice") * F.col("l_discount")).cast("decimal(18,4)").alias("claim_amount"),
+    )
+    return duplicates.with_duplicate_closeness(
+        claims, ["customer_id"], "claim_date", "claim_amount", max_days=10, max_amount=50.0
+    )
+
+
+@query
+def contract_overlap_between(spark, sf):
+    return overlap.contract_overlap_between(b.contracts(spark, sf), "1995-03-01", "1997-09-30")
+
+
+@query
+def hierarchy_closure(spark, sf):
+    return hierarchy.dated_closure(b.memberships(spark, sf))
+
+
+@query
+def hierarchy_on_day(spark, sf):
+    return hierarchy.hierarchy_as_of(hierarchy.dated_closure(b.memberships(spark, sf)), AS_OF)
+
+
+@query
+def hierarchy_sales(spark, sf):
+    """Sales by group and parent, as customers belonged on the day of each sale."""
+    sales = _sales(spark, sf, "transaction_id")
+    return hierarchy.rolled_up(
+        sales, hierarchy.dated_closure(b.memberships(spark, sf)), member="customer_id", at="transaction_date", value="gross_amount"
+    )
+
+
+def _claimed_and_sold(spark, sf):
+    """Claims of three units for every two sold, so that some stay open."""
+    lines = b.table(spark, sf, "lineitem").join(
+        b.table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
+    )
+    keys = [F.col("o_custkey").cast("string").alias("customer_id"), F.col("l_linestatus").alias("product_id")]
+    sales = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("transaction_id"),
+        *keys,
+        F.col("o_orderdate").cast("date").alias("transaction_date"),
+        F.col("l_quantity").cast("decimal(18,4)").alias("quantity"),
+    )
+    claims = lines.select(
+        F.concat_ws("-", F.lit("CB"), "l_orderkey", "l_linenumber").alias("claim_id"),
+        *keys,
+        F.col("l_shipdate").cast("date").alias("claim_date"),
+        (F.col("l_quantity") * 1.5).cast("decimal(18,4)").alias("quantity"),
+    )
+    return claims, sales
+
+
+@query
+def claims_to_sales(spark, sf):
+    return allocation.allocate_claims(*_claimed_and_sold(spark, sf))
+
+
+@query
+def claims_allocated(spark, sf):
+    claims, sales = _claimed_and_sold(spark, sf)
+    return allocation.claim_allocation(claims, allocation.allocate_claims(claims, sales))
