@@ -1059,6 +1059,23 @@ SELECT claim_id, customer_id, {text('claim_date')} AS claim_date, {num('claim_am
        {num('round(coalesce(best, 0.0), 4)')} AS feat_duplicate_closeness
 FROM c LEFT JOIN n ON c.i = n.i"""
 
+Q["near_duplicate_texts"] = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS MATERIALIZED (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) = na.n AND na.n = nb.n AS same FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, na.n, nb.n HAVING 5 * count(*) >= 4 * (na.n + nb.n - count(*))),
+c AS (SELECT x, sum(CASE WHEN same THEN 1 ELSE 0 END) AS copies, bool_or(y < x) AS found FROM p GROUP BY x)
+SELECT d.doc_id, CAST(coalesce(copies, 0) AS BIGINT) AS feat_text_copies,
+       coalesce(c.found, FALSE) AS feat_text_duplicate
+FROM d LEFT JOIN c ON d.doc_id = c.x"""
+
 Q["contract_overlap_between"] = f"""
 WITH {CT}, d AS (
   SELECT contract_id, customer_id, product_id, greatest(effective_date, DATE '1995-03-01') AS x,

@@ -31,6 +31,7 @@ from verisift.operators import (
     rules,
     seasonal,
     signals,
+    texts,
     whatif,
 )
 from verisift.operators.adapters import adapter_for
@@ -1038,6 +1039,13 @@ def near_duplicate_claims(spark, sf):
     )
 
 
+@query
+def near_duplicate_texts(spark, sf):
+    """Texts that repeat or resemble an earlier one, whatever their language or source."""
+    documents = b.table(spark, sf, "documents").select("doc_id", "text")
+    return texts.with_text_duplicates(documents, "doc_id", "text").select("doc_id", "feat_text_copies", "feat_text_duplicate")
+
+
 @query
 def contract_overlap_between(spark, sf):
     return overlap.contract_overlap_between(b.contracts(spark, sf), "1995-03-01", "1997-09-30")
