@@ -77,12 +77,11 @@ def test_null_keys_are_a_key(spark):
 
 @pytest.mark.parametrize("pieces", [1, 3, 64])
 def test_one_first_row_per_key_whatever_the_skew(spark, rows, pieces, monkeypatch):
-    monkeypatch.setattr("verisift.functions.skew.PIECES", pieces)
     monkeypatch.setattr("verisift.functions.skew.COPIES_PER_TASK", 7)
     copies = [("hot", 5, "same")] * 50
     spread = [("hot", i, f"v{i}") for i in range(6, 40)]
     cold = [(f"k{i}", 1, "x") for i in range(20)] + [(None, 2, "n"), (None, 1, "m")]
-    df = spark.createDataFrame(copies + spread + cold, "k string, o int, v string")
+    df = spark.createDataFrame(copies + spread + cold, "k string, o int, v string").repartition(pieces)
     marked = mark_first(df, ["k"], ["o"])
     assert rows(marked, "k", "o", "v") == rows(df, "k", "o", "v")
     firsts = marked.where("_first")
@@ -91,6 +90,21 @@ def test_one_first_row_per_key_whatever_the_skew(spark, rows, pieces, monkeypatc
     assert rows(firsts.where("k is null"), "o", "v") == [(1, "m")]
 
 
+def test_first_rows_of_a_hot_key_stay_dealt(spark):
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("o")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = mark_first(df, ["k"], ["o"])
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert "Window" not in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / 8
+    assert marked.where("_first AND k = 'hot'").first()["o"] == 1
+
+
 def test_deduplicate_keeps_the_lowest(spark, rows):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 1, None)], "k string, o int, v string")
     assert rows(checks.deduplicate(df, ["k"], ["o"])) == [("a", 1, "y"), ("b", 1, None)]

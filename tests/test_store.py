@@ -1,3 +1,5 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,6 +68,49 @@ def test_versions(spark, layout):
         feature_store.write_feature_table(spark.range(1), *place, mode="merge")
 
 
+def test_writers_at_the_same_time_get_versions_of_their_own(spark, layout):
+    place = (layout, "customer_behavior", "together")
+    with ThreadPoolExecutor(6) as pool:
+        jobs = [pool.submit(feature_store.write_feature_table, spark.range(i * 10, i * 10 + 10), *place, mode="append") for i in range(12)]
+        versions = sorted(job.result() for job in jobs)
+    assert versions == list(range(1, 13))
+    rows = feature_store.read_feature_table(spark, *place)
+    # no append is lost
+    assert sorted(r["id"] for r in rows.collect()) == list(range(120))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    # a claim whose writer is gone does not hold up the next version for ever
+    manifest = layout.features("customer_behavior", "together") + "/_manifest"
+    open(f"{manifest}/version-13.json", "w").close()
+    feature_store.CLAIM_SECONDS, waits = 0.3, feature_store.CLAIM_SECONDS
+    try:
+        assert feature_store.compact_feature_table(spark, *place) == 14
+        assert feature_store.write_feature_table(spark.range(500, 501).withColumn("extra", F.lit(1)), *place, mode="append") == 15
+    finally:
+        feature_store.CLAIM_SECONDS = waits
+    sizes = {r["version"]: (len(r["parts"]), r["row_count"]) for r in feature_store.feature_versions(spark, *place).collect()}
+    assert sizes[12] == (12, 120) and sizes[14] == (1, 120) and sizes[15] == (2, 121) and 13 not in sizes
+    latest = feature_store.read_feature_table(spark, *place)
+    assert latest.count() == 121 and latest.where("extra = 1").count() == 1
+    assert feature_store.read_feature_table(spark, *place, version=3).count() == 30
+
+
+def test_compaction_does_not_lose_an_append(spark, layout, monkeypatch):
+    place = (layout, "customer_behavior", "compacted")
+    feature_store.write_feature_table(spark.range(3), *place)
+    read, late = feature_store.read_feature_table, []
+
+    def meanwhile(*args, **kwargs):
+        rows = read(*args, **kwargs)
+        if not late:
+            late.append(feature_store.write_feature_table(spark.range(3, 5), *place, mode="append"))
+        return rows
+
+    monkeypatch.setattr(feature_store, "read_feature_table", meanwhile)
+    assert feature_store.compact_feature_table(spark, *place) == 3 and late == [2]
+    assert read(spark, *place).count() == 5
+
+
 def test_catalog(spark, layout):
     def define(name, version="1", definition="d"):
         return FeatureDefinition(name, "customer_behavior", definition, "sql", ["silver"], version, {"null_rate": 0.1})

@@ -1,47 +1,51 @@
 """Running totals over a global order without gathering it into one task.
 
-A metric over a running total is computed inside quantile buckets first; the bucket
-results, a fixed number of rows, are then combined in order.
+The rows are cut into ranges of the order, as many as they need, and a metric over a
+running total is computed inside the ranges first; the results of the ranges, one row each,
+are then combined in order.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
-# Cuts are found in two steps, first among every WIDTH-th cut, then among the next ones.
-WIDTH = 12
-BUCKETS = WIDTH * WIDTH
+from verisift.session import scratch_path
 
+#: Rows of a range, about.
+RANGE_ROWS = 1_000_000
 
-def _bucket(cuts: str, value: str) -> Column:
-    """Number of cuts below the value."""
 
-    def below(part: Column) -> Column:
-        return F.size(F.filter(part, lambda cut: cut < F.col(value)))
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
-    every = F.transform(
-        F.sequence(F.lit(WIDTH), F.lit(BUCKETS - WIDTH), F.lit(WIDTH)),
-        lambda i: F.element_at(cuts, i),
-    )
-    coarse = below(every)
-    return coarse * WIDTH + below(F.slice(cuts, coarse * WIDTH + 1, F.lit(WIDTH - 1)))
+
+def in_ranges(points: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``bucket``, the number of their range of the order, from 0.
+
+    The points are stored to be counted, and stored again with their ranges, which come from
+    a sample: whoever reads them later, also after a failure, sees the same ranges.
+    """
+    stored = _stored(points, "points")
+    ranges = math.ceil(stored.count() / RANGE_ROWS)
+    if ranges <= 1:
+        return stored.withColumn("bucket", F.lit(0))
+    dealt = stored.repartitionByRange(ranges, *order).withColumn("bucket", F.spark_partition_id())
+    return _stored(dealt, "ranges")
 
 
 def in_buckets(points: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
     """Add ``bucket`` and ``<value>_in``: the bucket's total over rows with a smaller ``order``.
 
     ``points`` holds one row per distinct ``order`` value. Buckets are numbered in the
-    order and cut at quantiles, so they hold about the same number of rows.
+    order; their number grows with the rows.
     """
-    shares = [F.lit(i / BUCKETS) for i in range(1, BUCKETS)]
-    cuts = points.agg(F.percentile_approx(order, F.array(*shares), F.lit(10_000))).scalar()
-    placed = points.withColumn("_cuts", cuts).select(
-        *points.columns, _bucket("_cuts", order).alias("bucket")
-    )
     smaller = W.partitionBy("bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-    return placed.withColumns(
+    return in_ranges(points, order).withColumns(
         {f"{v}_in": F.coalesce(F.sum(v).over(smaller), F.lit(0)) for v in values}
     )
 
@@ -49,7 +53,7 @@ def in_buckets(points: DataFrame, order: str, values: Sequence[str]) -> DataFram
 def chain_buckets(totals: DataFrame, values: Sequence[str]) -> DataFrame:
     """Add ``<value>_before``: the total over earlier buckets; one row per bucket in ``totals``.
 
-    There are at most ``BUCKETS`` rows, so the unpartitioned window is small.
+    A row stands for about ``RANGE_ROWS`` points, so the unpartitioned window is small.
     """
     earlier = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     return totals.withColumns(
@@ -60,28 +64,39 @@ def chain_buckets(totals: DataFrame, values: Sequence[str]) -> DataFrame:
 def totals_before(points: DataFrame, by: str, order: str, value: str) -> DataFrame:
     """Add ``<value>_before`` and ``<value>_all``: totals over the group's smaller rows and over all of it.
 
-    ``points`` holds one row per group and distinct ``order`` value; there are few groups.
+    ``points`` holds one row per group and distinct ``order`` value; a range may end one group
+    and begin the next.
     """
-    shares = [F.lit(i / BUCKETS) for i in range(1, BUCKETS)]
-    cuts = points.groupBy(by).agg(F.percentile_approx(order, F.array(*shares), F.lit(10_000)).alias("_cuts"))
-    placed = points.join(F.broadcast(cuts), by).select(
-        *points.columns, _bucket("_cuts", order).alias("_bucket")
-    )
-    earlier = W.partitionBy(by).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    # at most BUCKETS rows per group
-    totals = placed.groupBy(by, "_bucket").agg(F.sum(value).alias("_total")).select(
-        by,
-        "_bucket",
+    placed = in_ranges(points, by, order)
+    earlier = W.partitionBy(by).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    # one row per range of the group
+    totals = placed.groupBy(by, "bucket").agg(F.sum(value).alias("_total")).select(
+        F.col(by).alias("_by"),
+        F.col("bucket").alias("_range"),
         F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"),
         F.sum("_total").over(W.partitionBy(by)).alias(f"{value}_all"),
     )
-    smaller = W.partitionBy(by, "_bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    smaller = W.partitionBy(by, "bucket").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
     inside = placed.withColumn("_in", F.coalesce(F.sum(value).over(smaller), F.lit(0)))
-    return inside.join(F.broadcast(totals), [by, "_bucket"]).select(
+    met = F.col(by).eqNullSafe(F.col("_by")) & (F.col("bucket") == F.col("_range"))
+    return inside.join(totals, met).select(
         *points.columns, (F.col("_shift") + F.col("_in")).alias(f"{value}_before"), f"{value}_all"
     )
 
 
+def value_at_share(points: DataFrame, value: str, count: str, share: float) -> float | None:
+    """The least value that at least this share of the rows does not exceed, exactly.
+
+    ``points`` holds one row per distinct value with its number of rows; None without rows.
+    """
+    one = points.select(F.lit(0).alias("_all_of"), F.col(value).alias("_value"), F.col(count).alias("_n"))
+    placed = totals_before(one, "_all_of", "_value", "_n")
+    # the rank is a whole number: the share of the rows, but for rounding, upwards
+    rank = F.greatest(F.ceil(F.round(F.lit(float(share)) * F.col("_n_all"), 6)), F.lit(1))
+    found = placed.where((F.col("_n_before") < rank) & (rank <= F.col("_n_before") + F.col("_n"))).first()
+    return None if found is None else found["_value"]
+
+
 def quantile_map(df: DataFrame, columns: Sequence[str], bins: int) -> DataFrame:
     """One row: ``edges``, a map from column to its distinct exact quantiles, the least values
     that reach each share of its known values."""

@@ -1,47 +1,48 @@
-"""Ranking within keys that stays spread out when one key holds most of the rows."""
+"""First rows and numbered rows that stay spread out when one key or row holds most of the table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-# A key is ranked in so many pieces, then among the heads of its pieces.
-PIECES = 64
 COPIES_PER_TASK = 1_000_000
 
 
 def mark_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``_first``: true on exactly one row per key, the lowest by ``order``.
 
-    Ties are broken by a hash of the whole row; NULL keys form a key of their own. Pieces
-    of a key are ranked first, then only the head of every piece, whatever the size of
-    the key. Identical rows are folded to one row with a count before and unfolded after,
-    so a group of copies is never sorted. The piece comes from the row content: a retried
-    task puts every row where it was.
+    Ties are broken by a hash of the whole row; NULL keys form a key of their own. Identical
+    rows are folded to one row with a count before and unfolded after. The lowest row of a
+    key is a minimum, combined before its shuffle, and finds its row by key and hash: no row
+    is sorted, and the rows of one key are dealt by their hashes, whatever its size. A
+    retried task puts every row where it was.
     """
     columns = df.columns
     folded = (
         df.groupBy(*columns)
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_print", F.xxhash64(*columns))
-        .withColumn("_piece", F.pmod("_print", F.lit(PIECES)))
+        .withColumns({"_print": F.xxhash64(*columns), "_check": F.hash(*columns)})
     )
-    in_piece = W.partitionBy(*keys, "_piece").orderBy(*order, "_print")
-    heads = folded.withColumn("_head", F.row_number().over(in_piece) == 1)
-    # Heads of one key meet in one small group; all other rows stay in their piece.
-    meeting = F.when(F.col("_head"), F.lit(-1)).otherwise(F.col("_piece"))
-    among_heads = W.partitionBy(*keys, meeting).orderBy(*order, "_print")
-    ranked = heads.withColumn(
-        "_first", F.col("_head") & (F.row_number().over(among_heads) == 1)
+    place = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], "_print", "_check")
+    heads = folded.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(place).alias("_least"))
+    heads = heads.select(
+        *[f"_k{i}" for i in range(len(keys))],
+        F.col("_least._print").alias("_head"),
+        F.col("_least._check").alias("_head_check"),
     )
+    same = (F.col("_print") == F.col("_head")) & (F.col("_check") == F.col("_head_check"))
+    for i, key in enumerate(keys):
+        same = same & F.col(key).eqNullSafe(F.col(f"_k{i}"))
     chunks = F.sequence(F.lit(0), (F.col("_copies") - 1).try_cast("long"), F.lit(COPIES_PER_TASK))
     copy_numbers = F.sequence(
         F.col("_from"),
         F.least(F.col("_copies"), F.col("_from") + F.lit(COPIES_PER_TASK)) - 1,
     )
     return (
-        ranked.withColumn("_from", F.explode(chunks))
+        folded.join(heads, same, "left")
+        .withColumn("_first", F.col("_head").isNotNull())
+        .withColumn("_from", F.explode(chunks))
         .repartition(*[F.col(c) for c in ("_print", "_from")])
         .withColumn("_copy", F.explode(copy_numbers))
         .select(*columns, (F.col("_first") & (F.col("_copy") == 0)).alias("_first"))

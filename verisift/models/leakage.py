@@ -14,14 +14,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from verisift.functions.audit import stamp_audit
+from verisift.functions.running import value_at_share
+from verisift.session import scratch_path
 
 # Default size of the model.
 DEFAULTS = {"n_trees": 200, "contamination": 0.05, "sample_size": 256, "seed": 42}
-QUANTILE_ACCURACY = 1_000_000
 EULER = 0.5772156649015329
 
 NODES = "tree INT, feature ARRAY<INT>, cut ARRAY<DOUBLE>, left ARRAY<INT>, right ARRAY<INT>, depth ARRAY<DOUBLE>"
@@ -35,6 +35,26 @@ class IsolationForest:
     offset: float = 0.0
     metrics: Mapping[str, float] = field(default_factory=dict)
 
+    def save(self, path: str) -> None:
+        """One row per tree, as Parquet."""
+        head = (list(self.feature_cols), self.sample_size, self.offset, dict(self.metrics))
+        rows = [
+            (i, *[t[c].tolist() for c in ("feature", "cut", "children", "depth")], *head) for i, t in enumerate(self.trees)
+        ]
+        kinds = (
+            "tree INT, feature ARRAY<BIGINT>, cut ARRAY<DOUBLE>, children ARRAY<BIGINT>, depth ARRAY<DOUBLE>, "
+            "feature_cols ARRAY<STRING>, sample_size INT, offset DOUBLE, metrics MAP<STRING, DOUBLE>"
+        )
+        SparkSession.active().createDataFrame(rows, kinds).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> IsolationForest:
+        rows = spark.read.parquet(path).orderBy("tree").collect()
+        kinds = {"feature": np.int64, "cut": float, "children": np.int64, "depth": float}
+        trees = tuple({c: np.array(r[c], dtype=kind) for c, kind in kinds.items()} for r in rows)
+        first = rows[0]
+        return IsolationForest(tuple(first["feature_cols"]), trees, first["sample_size"], first["offset"], first["metrics"])
+
 
 def mean_path(n: float) -> float:
     """Average depth of an unsuccessful search in a binary tree of n rows."""
@@ -170,23 +190,22 @@ def train(
 
     grown = drawn.groupBy("tree").applyInPandas(grow, NODES).orderBy("tree").collect()
     trees = tuple(_packed(t.asDict()) for t in grown)
-    raw = with_anomaly_score(IsolationForest(cols, trees, size), data).select("anomaly_score")
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    found = raw.agg(
-        F.percentile_approx(
-            "anomaly_score", F.lit(float(chosen["contamination"])), F.lit(QUANTILE_ACCURACY)
-        ).alias("offset"),
-        F.avg("anomaly_score").alias("mean"),
-        F.count(F.lit(1)).alias("rows"),
+    raw = with_anomaly_score(IsolationForest(cols, trees, size), data)
+    # one scoring; everything else comes from the counted scores
+    path = scratch_path(df.sparkSession, "scores")
+    raw.groupBy("anomaly_score").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+    counted = df.sparkSession.read.parquet(path)
+    offset = value_at_share(counted, "anomaly_score", "n", float(chosen["contamination"]))
+    found = counted.agg(
+        (F.sum(F.col("anomaly_score") * F.col("n")) / F.sum("n")).alias("mean"),
+        F.sum("n").alias("rows"),
+        (F.sum(F.when(F.col("anomaly_score") < offset, F.col("n")).otherwise(0)) / F.sum("n")).alias("rate"),
     ).first()
-    offset = found["offset"]
-    flagged = raw.agg(F.avg((F.col("anomaly_score") < offset).cast("double")).alias("rate"))
     metrics = {
-        "anomaly_rate": float(flagged.first()["rate"]),
+        "anomaly_rate": float(found["rate"]),
         "mean_anomaly_score": float(found["mean"] - offset),
         "training_samples": float(found["rows"]),
     }
-    raw.unpersist()
     return IsolationForest(cols, trees, size, offset, metrics)
 
 
@@ -200,7 +219,9 @@ def with_anomaly_score(forest: IsolationForest, df: DataFrame) -> DataFrame:
     def decision(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         trees, usual, steps = shared.value
         for columns in batches:
-            values = np.column_stack([c.to_numpy(dtype=float) for c in columns])
+            # a single column arrives without its tuple
+            parts = columns if isinstance(columns, tuple) else (columns,)
+            values = np.column_stack([c.to_numpy(dtype=float) for c in parts])
             score = -np.exp2(-_depth(values, trees, steps) / (usual or 1.0)) - offset
             score[np.isnan(values).any(axis=1)] = np.nan
             yield pd.Series(score)

