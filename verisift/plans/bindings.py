@@ -74,7 +74,9 @@ CHARGEBACK_COLUMNS = {
     "product_id": lambda: F.col("l_partkey").cast("string"),
     "contract_id": lambda: F.col("o_orderkey").cast("string"),
     "claim_date": lambda: F.col("l_shipdate").cast("date"),
-    "transaction_ref_id": lambda: F.concat_ws("-", "l_orderkey", "l_linenumber"),
+    "transaction_ref_id": lambda: F.concat(
+        F.when(F.col("l_discount") >= 0.05, "").otherwise("X-"), F.concat_ws("-", "l_orderkey", "l_linenumber")
+    ),
     "claim_amount": _claimed,
     "claim_status": lambda: F.when(F.col("l_returnflag") == "A", "approved")
     .when(F.col("l_returnflag") == "R", "rejected")
@@ -84,15 +86,13 @@ CHARGEBACK_COLUMNS = {
 
 
 def chargebacks(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Discounted order lines as claims."""
+    """Order lines as claims; those with a small discount refer to no transaction that exists."""
     wanted = columns or tuple(CHARGEBACK_COLUMNS)
     if {"customer_id", "contract_id"} & set(wanted):
         df = _lines(spark, sf_dir)
     else:
         df = table(spark, sf_dir, "lineitem")
-    return df.where(F.col("l_discount") >= 0.05).select(
-        *[CHARGEBACK_COLUMNS[c]().alias(c) for c in wanted]
-    )
+    return df.select(*[CHARGEBACK_COLUMNS[c]().alias(c) for c in wanted])
 
 
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,13 +55,13 @@ CB = f"""cb AS (
          CAST(l_partkey AS VARCHAR) AS product_id,
          CAST(o_orderkey AS VARCHAR) AS contract_id,
          CAST(l_shipdate AS DATE) AS claim_date,
-         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_ref_id,
+         CASE WHEN l_discount >= 0.05 THEN '' ELSE 'X-' END || CAST(l_orderkey AS VARCHAR) || '-'
+           || CAST(l_linenumber AS VARCHAR) AS transaction_ref_id,
          CAST(l_extendedprice * l_discount AS {MONEY}) AS claim_amount,
          CASE l_returnflag WHEN 'A' THEN 'approved' WHEN 'R' THEN 'rejected' ELSE 'pending' END
            AS claim_status,
          CAST(l_linenumber AS INTEGER) AS submission_count
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_discount >= 0.05)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 CT = """ct AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS contract_id,
@@ -1166,3 +1166,27 @@ SELECT {whole('count(*)')} AS claims, {whole('count(*)')} AS scored,
        {num(f'sum(CAST(l_extendedprice * l_discount AS {MONEY}))')} AS claim_amount,
        TRUE AS flags_at_most_its_share, TRUE AS flags_are_negative_scores
 FROM lineitem"""
+
+# -- through the write paths -------------------------------------------------------
+
+Q["rules_pushed"] = Q["rule_results"]
+Q["quarantine_notices"] = f"""
+WITH {scored(11)}, env(env, least) AS (VALUES ('dev', 30.0), ('prod', 40.0), ('staging', 40.0), ('strict', 92.0))
+SELECT 'quarantine-claims-' || env AS rule_id, FALSE AS passed, {whole('count(*) FILTER (WHERE dq_score < least)')} AS quarantined,
+       'below_dq_threshold' AS reason
+FROM scored, env GROUP BY env"""
+Q["read_formats"] = f"""
+WITH f(format) AS (VALUES ('csv'), ('json lines'), ('json array'))
+SELECT format, o_orderstatus, {whole('count(*)')} AS row_count, {num(f'sum(CAST(o_totalprice AS {MONEY}))')} AS total,
+       {text('min(CAST(o_orderdate AS DATE))')} AS first_day
+FROM orders, f GROUP BY 1, 2"""
+Q["feature_access"] = f"""
+SELECT *, 'customer_behavior' AS domain, '1' AS feature_version FROM ({Q['purchase_velocity']})"""
+Q["recorded_runs"] = f"""
+SELECT 'price_guess' AS model_name, 'production' AS stage, mae, rmse, r2, 'lineitem' AS training_dataset, 'lines' AS unit
+FROM ({Q['regression_metrics']})"""
+Q["training_weights"] = f"""
+WITH {scored(11)}
+SELECT distributor_id, {whole('count(*)')} AS row_count, {num('sum(dq_score / 100.0)')} AS weight FROM scored GROUP BY 1"""
+Q["run_correlation"] = f"""
+SELECT {whole('count(*)')} AS row_count, {whole('1')} AS runs, TRUE AS is_uuid FROM lineitem"""

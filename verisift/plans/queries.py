@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType, FractionalType, IntegralType, TimestampType
 
-from verisift.functions.audit import stamp_audit
+from verisift.functions.audit import new_correlation_id, stamp_audit
 from verisift.functions.scoring import with_quality_score
 from verisift.models import accrual, deduction, leakage, metrics, returns, tracking
+from verisift.models.training import quality_weight
 from verisift.operators import (
     allocation,
     checks,
@@ -197,9 +198,10 @@ def deduplicate(spark, sf):
 
 
 def _reference_customers(spark, sf):
-    rows = b.table(spark, sf, "customer")
-    return rows.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
+    """All customers; those of other segments under keys that no sale has."""
+    known = F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), "").otherwise("X-")
+    return b.table(spark, sf, "customer").select(
+        F.concat(known, F.col("c_custkey").cast("string")).alias("customer_id"),
         F.col("c_mktsegment").alias("segment"),
     )
 
@@ -298,8 +300,7 @@ def feature_expectation_suite(spark, sf):
     return rules.run_suite(purchase_velocity(spark, sf), rules.FEATURE_SUITE)
 
 
-@query
-def rule_results(spark, sf):
+def _rule_results(spark, sf):
     catalog_rules = spark.createDataFrame(
         [
             ("R-1", "in_range:quantity", 0.5),
@@ -317,9 +318,12 @@ def rule_results(spark, sf):
             checks.valid_codes("transaction_type", ["A", "R"]),
         ],
     )
-    return rules.apply_rules(catalog_rules, measured).select(
-        "rule_id", "passed", F.col("details.rate").alias("rate")
-    )
+    return rules.apply_rules(catalog_rules, measured)
+
+
+@query
+def rule_results(spark, sf):
+    return _rule_results(spark, sf).select("rule_id", "passed", F.col("details.rate").alias("rate"))
 
 
 # -- score and gate --------------------------------------------------------------
@@ -538,7 +542,9 @@ def _matched(spark, sf, mode):
     return signals.with_match_confidence(
         tx,
         ["customer_id", "customer_segment"],
-        _reference_customers(spark, sf).where(F.col("segment") == "BUILDING").unionByName(
+        _reference_customers(spark, sf)
+        .withColumn("segment", F.when(F.col("segment") == "BUILDING", "BUILDING").otherwise("OTHER"))
+        .unionByName(
             _reference_customers(spark, sf).withColumn("segment", F.lit("MACHINERY"))
         ),
         ["customer_id", "segment"],
@@ -722,8 +728,7 @@ def drift_ks(spark, sf):
 # -- metrics ---------------------------------------------------------------------
 
 
-@query
-def regression_metrics(spark, sf):
+def _price_guess(spark, sf):
     lines, part = b.table(spark, sf, "lineitem"), b.table(spark, sf, "part")
     predicted = lines.join(part, lines["l_partkey"] == part["p_partkey"]).select(
         F.col("l_extendedprice").alias("actual"),
@@ -732,6 +737,11 @@ def regression_metrics(spark, sf):
     return metrics.regression_metrics(predicted, "actual", "predicted")
 
 
+@query
+def regression_metrics(spark, sf):
+    return _price_guess(spark, sf)
+
+
 def _suspected(spark, sf):
     claims = b.chargebacks(spark, sf, "claim_amount", "claim_status")
     return claims.withColumn("is_leakage", F.col("claim_amount") > 4000)
@@ -1019,9 +1029,9 @@ def feature_fleet(spark, sf):
 @query
 def claim_match(spark, sf):
     claims = b.chargebacks(spark, sf, "claim_id", "transaction_ref_id", "claim_amount")
-    early = b.transactions(spark, sf, "transaction_id", "transaction_date", "gross_amount").where(
-        F.col("transaction_date") < AS_OF
-    )
+    sales = b.transactions(spark, sf, "transaction_id", "transaction_date", "gross_amount")
+    late = F.when(F.col("transaction_date") < AS_OF, "").otherwise("L-")
+    early = sales.withColumn("transaction_id", F.concat(late, "transaction_id"))
     return reconcile.match_claims(claims, early)
 
 
@@ -1121,3 +1131,118 @@ def claims_to_sales(spark, sf):
 def claims_allocated(spark, sf):
     claims, sales = _claimed_and_sold(spark, sf)
     return allocation.claim_allocation(claims, allocation.allocate_claims(claims, sales))
+
+
+# -- through the write paths -------------------------------------------------------
+
+
+@query
+def rules_pushed(spark, sf):
+    """Rule results pushed to the results table and read back from their JSON."""
+    layout = _layout(spark, "rules")
+    rules.push_results(_rule_results(spark, sf), layout)
+    pushed = spark.read.parquet(layout.catalog("dq_results"))
+    return pushed.select("rule_id", "passed", F.get_json_object("details", "$.rate").cast("double").alias("rate"))
+
+
+@query
+def quarantine_notices(spark, sf):
+    """A notice per environment about the claims its threshold would quarantine."""
+    layout = _layout(spark, "notices")
+    scored = with_quality_score(_flagged_claims(spark, sf))
+    places = {**gate.THRESHOLDS, "strict": GATE_THRESHOLD}
+    counts = scored.agg(*[F.count_if(F.col("dq_score") < least).alias(env) for env, least in places.items()]).first()
+    for env in places:
+        gate.notify_quarantine(spark, f"claims-{env}", counts[env], layout)
+    notices = spark.read.parquet(layout.catalog("dq_results"))
+    return notices.select(
+        "rule_id",
+        "passed",
+        F.get_json_object("details", "$.count").cast("long").alias("quarantined"),
+        F.get_json_object("details", "$.reason").alias("reason"),
+    )
+
+
+@query
+def read_formats(spark, sf):
+    """Orders written as CSV, as JSON lines and as a JSON array per month, then read as raw files."""
+    place = scratch_path(spark, "formats")
+    orders = b.table(spark, sf, "orders").select(
+        "o_orderstatus",
+        F.col("o_totalprice").cast("decimal(18,4)").alias("o_totalprice"),
+        F.col("o_orderdate").cast("date").alias("o_orderdate"),
+    )
+    orders.write.option("header", "true").csv(f"{place}/csv")
+    orders.write.json(f"{place}/lines")
+    months = orders.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(
+        F.to_json(F.collect_list(F.struct(*orders.columns))).alias("value")
+    )
+    months.write.partitionBy("month").text(f"{place}/array")
+    given = {
+        "csv": raw.read_raw(spark, f"{place}/csv"),
+        "json lines": raw.read_raw(spark, f"{place}/lines", file_format="json"),
+        "json array": raw.read_raw(spark, f"{place}/array", file_format="json", document="array"),
+    }
+    every = None
+    for name, rows in given.items():
+        counted = rows.groupBy("o_orderstatus").agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(F.col("o_totalprice").cast("decimal(18,4)")).alias("total"),
+            F.min(F.col("o_orderdate").cast("date")).alias("first_day"),
+        ).select(F.lit(name).alias("format"), "o_orderstatus", "row_count", "total", "first_day")
+        every = counted if every is None else every.unionByName(counted)
+    return every
+
+
+@query
+def feature_access(spark, sf):
+    """A feature registered, found in the catalog and pulled by its name and version."""
+    layout = _layout(spark, "access")
+    domain, name = "customer_behavior", "purchase_velocity"
+    version = feature_store.write_feature_table(customer.purchase_velocity(_sales(spark, sf)), layout, domain, name)
+    for text in ("Sales of a customer over trailing days", "Sales of a customer over 30, 60 and 90 trailing days"):
+        catalog.register_feature(
+            spark, layout, catalog.FeatureDefinition(name, domain, text, "windows", ["transaction"], str(version))
+        )
+    access = catalog.Features(spark, layout)
+    known = access.list_features("VELOCITY").select("domain", F.col("version").alias("feature_version"))
+    return access.get_feature(domain, name, version=version).crossJoin(F.broadcast(known))
+
+
+@query
+def recorded_runs(spark, sf):
+    """A run with measured metrics recorded, promoted and read back beside its card."""
+    layout = _layout(spark, "tracking")
+    measured = _price_guess(spark, sf).first().asDict()
+    run = tracking.record_run(
+        spark, layout, model_name="price_guess", use_case="prices", metrics=measured, params={"unit": "lines"}
+    )
+    tracking.promote(spark, layout, run, "production")
+    card = tracking.ModelCard("price_guess", "List price", "prices", "lineitem", metrics=measured, parameters={"unit": "lines"})
+    tracking.record_card(spark, layout, card)
+    runs = tracking.latest(spark.read.parquet(layout.catalog("model_runs")), "run_id")
+    cards = spark.read.parquet(layout.catalog("model_cards")).select(F.col("name").alias("model_name"), "training_dataset", "parameters")
+    values = [F.col("metrics")[m].alias(m) for m in ("mae", "rmse", "r2")]
+    return runs.join(cards, "model_name").select(
+        "model_name", "stage", *values, "training_dataset", F.col("parameters")["unit"].alias("unit")
+    )
+
+
+@query
+def training_weights(spark, sf):
+    """What the claims of each distributor weigh in a training, by their quality scores."""
+    scored = with_quality_score(_flagged_claims(spark, sf))
+    return scored.withColumn("w", quality_weight(scored)).groupBy("distributor_id").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("w").alias("weight")
+    )
+
+
+@query
+def run_correlation(spark, sf):
+    """Every row of a run carries the one id of the run."""
+    lines = stamp_audit(b.table(spark, sf, "lineitem"), correlation_id=new_correlation_id())
+    return lines.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.countDistinct("_audit_correlation_id").alias("runs"),
+        F.bool_and(F.col("_audit_correlation_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("is_uuid"),
+    )
