@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from verisift.models import accrual, boosting, deduction, leakage, metrics, returns, tracking
@@ -285,6 +286,46 @@ def test_tracking(spark, layout):
     assert card["version"] == "0.0.0" and card["parameters"] == {"k": "2"} and card["limitations"] == ""
 
 
+def test_every_model_trains_scores_and_publishes(spark, layout, planted):
+    from verisift.plans.jobs import deduction_job, leakage_job, returns_job
+
+    small = {"numTrees": 3, "maxDepth": 3}
+    returns_job(planted, planted.drop("dq_score"), ["x", "y"], layout, model_version="1", params=small, folds=1)
+    leakage_job(planted, planted, ["x", "y"], layout, model_version="1", params={"n_trees": 5})
+    texts = b.table(spark, SF, "documents").limit(60).select(
+        F.col("text").alias("remittance_text"), F.col("lang").alias("deduction_type")
+    )
+    deduction_job(texts, texts, layout, model_version="1", params={"max_iter": 2, "max_features": 50}, folds=1)
+    for table, column, rows in (
+        ("returns_scores", "return_probability", 1500),
+        ("leakage_scores", "anomaly_score", 1500),
+        ("deduction_scores", "prediction_confidence", 60),
+    ):
+        scores = spark.read.parquet(layout.gold(table))
+        assert scores.where(F.col(column).isNotNull()).count() == rows
+        assert scores.select("_audit_model_version").distinct().collect()[0][0] == "1"
+    runs = spark.read.parquet(layout.catalog("model_runs"))
+    assert {r["use_case"] for r in runs.collect()} == {"returns_prediction", "leakage_detection", "deduction_classification"}
+
+
+def test_the_penalty_follows_the_rows_of_each_fit(spark, monkeypatch):
+    seen = []
+    fit = LogisticRegression._fit
+
+    def watched(self, dataset):
+        seen.append((self.getRegParam(), dataset.count()))
+        return fit(self, dataset)
+
+    monkeypatch.setattr(LogisticRegression, "_fit", watched)
+    texts = spark.range(60).select(
+        F.when(F.col("id") % 2 == 0, "red blue").otherwise("green grey").alias("remittance_text"),
+        (F.col("id") % 2).cast("string").alias("deduction_type"),
+    )
+    deduction.train(texts, params={"max_iter": 2, "C": 0.5}, folds=2)
+    assert len(seen) == 3 and all(penalty == pytest.approx(2.0 / rows) for penalty, rows in seen)
+    assert max(rows for _, rows in seen) == 60 > min(rows for _, rows in seen)
+
+
 def test_features_to_published_scores(spark, layout):
     entities = {
         "transaction": b.transactions(spark, SF, "transaction_id", "customer_id", "distributor_id", "product_id", "transaction_date", "gross_amount", "product_category"),

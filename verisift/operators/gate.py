@@ -29,6 +29,8 @@ class GateResult:
     passed_count: int
     quarantined_count: int
     mean_dq_score: float
+    score_sum: float = 0.0
+    score_count: int = 0
 
 
 def split_by_score(
@@ -54,6 +56,12 @@ def _summary(threshold: float):
     )
 
 
+def _observed(threshold: float):
+    """The summary with what means of several gates are made of."""
+    total = F.coalesce(F.sum(F.col(SCORE_COLUMN).cast("double")), F.lit(0.0))
+    return (*_summary(threshold), total.alias("score_sum"), F.count(SCORE_COLUMN).alias("score_count"))
+
+
 def with_quarantine_reason(df: DataFrame, reason: str = BELOW_THRESHOLD) -> DataFrame:
     """Add ``_quarantine_reason`` and ``_quarantined_at``."""
     why = F.lit(reason)
@@ -130,17 +138,17 @@ def run_gate(
         scored = scored.checkpoint()
     if layout is None:
         passed, quarantined = split_by_score(scored, threshold)
-        found = gate_summary(scored, threshold).first().asDict()
+        found = scored.agg(*_observed(threshold)).first().asDict()
     elif day:
         seen = Observation()
-        _, rejected = split_by_score(scored.observe(seen, *_summary(threshold)), threshold)
+        _, rejected = split_by_score(scored.observe(seen, *_observed(threshold)), threshold)
         write_quarantine(rejected, entity, layout, day=day)
         passed, quarantined = split_by_score(scored, threshold)
         passed.write.mode("overwrite").parquet(_folder(layout.silver(entity), day))
         found = seen.get
     else:
         seen = Observation()
-        watched, _ = split_by_score(scored.observe(seen, *_summary(threshold)), threshold)
+        watched, _ = split_by_score(scored.observe(seen, *_observed(threshold)), threshold)
         write_silver(watched, entity, layout, date_column=date_column)
         found = seen.get
         passed, quarantined = split_by_score(scored, threshold)

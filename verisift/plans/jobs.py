@@ -6,13 +6,14 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from verisift.functions.audit import new_correlation_id
-from verisift.models import accrual
+from verisift.models import accrual, deduction, leakage, returns
 from verisift.models.boosting import BoostedTrees
 from verisift.models.tracking import record_run
-from verisift.models.training import Trained
+from verisift.models.training import FOLDS, Trained
 from verisift.operators import contract, customer, monitor, rebate, seasonal
 from verisift.operators.adapters import adapter_for
 from verisift.operators.enrich import enrich
@@ -51,14 +52,16 @@ def silver_job(
         )
         for day in chosen
     ]
-    total = sum(r.total_count for r in results)
+    scored, score_sum = sum(r.score_count for r in results), sum(r.score_sum for r in results)
     result = GateResult(
         passed=reduce(DataFrame.unionByName, [r.passed for r in results]),
         quarantined=reduce(DataFrame.unionByName, [r.quarantined for r in results]),
-        total_count=total,
+        total_count=sum(r.total_count for r in results),
         passed_count=sum(r.passed_count for r in results),
         quarantined_count=sum(r.quarantined_count for r in results),
-        mean_dq_score=round(sum(r.mean_dq_score * r.total_count for r in results) / max(total, 1), 2),
+        mean_dq_score=round(score_sum / max(scored, 1), 2),
+        score_sum=score_sum,
+        score_count=scored,
     )
     if result.quarantined_count:
         notify_quarantine(spark, entity, result.quarantined_count, layout)
@@ -132,33 +135,119 @@ def training_table(
     return monitor.training_join(tables, key)
 
 
-def accrual_job(
-    training: DataFrame,
-    scoring: DataFrame,
-    feature_cols: Sequence[str],
+def _published(
+    trained: Trained | leakage.IsolationForest,
+    use_case: str,
     layout: Layout,
+    scoring: DataFrame,
     *,
+    load: Callable[[SparkSession, str], object],
+    score: Callable[..., DataFrame],
+    params: Mapping[str, object],
     model_version: str,
-    params: Mapping[str, object] | None = None,
-    folds: int = 5,
-) -> Trained:
-    """Train the forecast, record the run, score a frame and publish the scores."""
-    spark = training.sparkSession
-    trained = accrual.train(training, feature_cols, params=params, folds=folds)
+) -> None:
+    """Record the run, store the model, score a frame with the stored one and publish the scores."""
+    spark = scoring.sparkSession
     record_run(
         spark,
         layout,
-        model_name="accrual_forecast",
-        use_case="accrual_forecast",
+        model_name=use_case,
+        use_case=use_case,
         metrics=trained.metrics,
-        params={**accrual.DEFAULTS, **(params or {})},
+        params=params,
         version=model_version,
     )
-    trained.save(layout.gold(f"models/accrual_forecast/{model_version}"))
-    model = BoostedTrees.load(spark, layout.gold(f"models/accrual_forecast/{model_version}"))
+    path = layout.gold(f"models/{use_case}/{model_version}")
+    trained.save(path)
     run = new_correlation_id()
-    scored = accrual.score(model, scoring, model_version=model_version, correlation_id=run)
+    scored = score(load(spark, path), scoring, model_version=model_version, correlation_id=run)
     publish_scores(
-        scored, layout.gold("accrual_scores"), model_version=model_version, correlation_id=run
+        scored, layout.gold(SCORE_TABLES[use_case]), model_version=model_version, correlation_id=run
     )
+
+
+# The published table of each use case.
+SCORE_TABLES = {
+    "accrual_forecast": "accrual_scores",
+    "leakage_detection": "leakage_scores",
+    "deduction_classification": "deduction_scores",
+    "returns_prediction": "returns_scores",
+}
+
+
+def _pipeline(spark: SparkSession, path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def accrual_job(
+    training: DataFrame,
+    scoring: DataFrame,
+    feature_cols: Sequence[str],
+    layout: Layout,
+    *,
+    model_version: str,
+    params: Mapping[str, object] | None = None,
+    folds: int = FOLDS,
+) -> Trained:
+    """Train the forecast, record the run, score a frame and publish the scores."""
+    trained = accrual.train(training, feature_cols, params=params, folds=folds)
+    _published(
+        trained, "accrual_forecast", layout, scoring, load=BoostedTrees.load, score=accrual.score,
+        params={**accrual.DEFAULTS, **(params or {})}, model_version=model_version,
+    )
+    return trained
+
+
+def leakage_job(
+    training: DataFrame,
+    scoring: DataFrame,
+    feature_cols: Sequence[str],
+    layout: Layout,
+    *,
+    model_version: str,
+    params: Mapping[str, float] | None = None,
+) -> leakage.IsolationForest:
+    """The same for the isolation forest."""
+    forest = leakage.train(training, feature_cols, params=params)
+    _published(
+        forest, "leakage_detection", layout, scoring, load=leakage.IsolationForest.load, score=leakage.score,
+        params={**leakage.DEFAULTS, **(params or {})}, model_version=model_version,
+    )
+    return forest
+
+
+def deduction_job(
+    training: DataFrame,
+    scoring: DataFrame,
+    layout: Layout,
+    *,
+    model_version: str,
+    params: Mapping[str, float] | None = None,
+    folds: int = FOLDS,
+) -> Trained:
+    """The same for the types of remittance texts."""
+    trained = deduction.train(training, params=params, folds=folds)
+    _published(
+        trained, "deduction_classification", layout, scoring, load=_pipeline, score=deduction.score,
+        params={**deduction.DEFAULTS, **(params or {})}, model_version=model_version,
+    )
+    return trained
+
+
+def returns_job(
+    training: DataFrame,
+    scoring: DataFrame,
+    feature_cols: Sequence[str],
+    layout: Layout,
+    *,
+    model_version: str,
+    params: Mapping[str, object] | None = None,
+    folds: int = FOLDS,
+) -> Trained:
+    """The same for the propensity of returns."""
+    trained = returns.train(training, feature_cols, params=params, folds=folds)
+    _published(
+        trained, "returns_prediction", layout, scoring, load=_pipeline, score=returns.score,
+        params={**returns.DEFAULTS, **(params or {})}, model_version=model_version,
+    )
     return trained

@@ -14,6 +14,7 @@ from verisift.session import ensure_checkpoint_dir
 from verisift.sources.feature_store import read_feature_table
 from verisift.sources.layout import Layout
 
+# Field names of a feature definition and of its stored row.
 FEATURE_ROWS = (
     "asset_id STRING, name STRING, domain STRING, definition STRING, computation_logic STRING, "
     "source_lineage ARRAY<STRING>, version STRING, quality_expectations MAP<STRING,STRING>, "
@@ -139,7 +140,7 @@ def upstream(edges: DataFrame, assets: DataFrame, *, max_depth: int | None = Non
 
 
 class Features:
-    """Discover and pull features by name and version."""
+    """What a notebook or job needs of the catalog: a search, a definition, a stored table."""
 
     def __init__(self, spark: SparkSession, layout: Layout) -> None:
         self._spark = spark
