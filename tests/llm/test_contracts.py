@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 import struct
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.normalizers import Lowercase
 
 import corpus_pipeline
 from verisift.llm import (
@@ -173,6 +175,14 @@ def test_topk(spark):
         assert sorted(found) == [(n + 1, i, -s) for n, (s, i) in enumerate(best)]
 
 
+def test_letters_become_small_as_in_the_library():
+    library = Lowercase()
+    for code in range(0x110000):
+        if not 0xD800 <= code < 0xE000:
+            char = unicodedata.normalize("NFC", chr(code))
+            assert token_counts.PrefixCounter._plain(chr(code)) == library.normalize_str(char), hex(code)
+
+
 def test_topk_of_repeated_rows(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=3)]) for i in range(40)]

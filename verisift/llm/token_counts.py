@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -30,6 +31,12 @@ from verisift.llm.byte_bpe import MOST_BYTES, MOST_WORDS, SLICE_ROWS
 from verisift.llm.lets import require
 from verisift.llm.merge_order import MergeOrder, PrefixAutomaton
 
+# Capital letters of later Unicode versions than Python's, with their small ones.
+_LATER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B}
+_LATER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+_IS_LATER = re.compile(f"[{''.join(map(chr, _LATER))}]")
+
+
 def _byte_letters() -> dict[str, int]:
     """The printable stand-ins of bytes in byte-level vocabularies: bytes that print
     stand for themselves, the others follow from U+0100 on in order."""
@@ -130,7 +137,8 @@ class PrefixCounter:
 
     @staticmethod
     def _plain(text: str) -> str:
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        plain = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return (plain.translate(_LATER) if _IS_LATER.search(plain) else plain).lower()
 
     def normalised(self, text: str) -> str:
         return "".join(
