@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from verisift.schemas import CHARGEBACK, CONTRACT, TRANSACTION
+from verisift.schemas import CHARGEBACK, CONTRACT, TRANSACTION, conform
 
 
 def text(raw: str) -> Column:
@@ -56,9 +56,8 @@ class Adapter:
             "dq_score": F.lit(None),
             **self.mapping,
         }
-        return raw.select(
-            *[stamped[f.name].cast(f.dataType).alias(f.name) for f in self.schema.fields]
-        )
+        given = [value.alias(name) for name, value in stamped.items() if name in self.schema.fieldNames()]
+        return conform(raw.select(*given), self.schema)
 
     def validate(self, df: DataFrame) -> DataFrame:
         """Add the three-valued ``_valid``."""
