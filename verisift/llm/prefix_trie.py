@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from verisift.llm.lets import require
 from verisift.session import scratch_path
 
-#: Sequences of a range, and ranges whose contracted rows are merged at once.
-RANGE_ROWS, MERGED = 20_000, 64
+#: Sequences of a range and turns in them, about, and ranges whose contracted rows are merged at once.
+RANGE_ROWS, RANGE_TURNS, MERGED = 20_000, 200_000, 64
 #: Characters of a piece of ids.
 PIECE = 1 << 16
 NOBODY = hashlib.sha256(b"").hexdigest()
@@ -366,7 +366,8 @@ def nodes(turns: DataFrame, *, block: int = 20) -> DataFrame:
     """Every node of the trie of the rebuilt conversations: conv_id (its smallest member),
     depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     rows = _saved(folded(sequences(turns, block=block)), "trie-rows")
-    parts = max(1, -(-rows.count() // RANGE_ROWS))
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("turns")).first()
+    parts = max(1, -(-size["rows"] // RANGE_ROWS), -(-size["turns"] // RANGE_TURNS))
     dealt = rows.repartitionByRange(parts, "keys").sortWithinPartitions("keys")
     level = _saved(dealt.mapInArrow(_range_forest, OUT_DDL), "trie-forest")
     names = [name for name, _ in NODE]
