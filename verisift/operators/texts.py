@@ -27,70 +27,80 @@ def _saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def shingles(text: Column, width: int = WIDTH) -> Column:
-    """The sorted distinct hashes of the runs of ``width`` words; of all words if there are fewer.
+def _runs(text: Column, width: int = WIDTH) -> Column:
+    """The hashes of the runs of ``width`` words, with repeats; of all words if there are fewer.
 
     A-Z count as a-z; blank, and tab to carriage return, are between words.
     """
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     plain = F.translate(F.coalesce(text, F.lit("")), upper + "\t\n\x0b\x0c\r", upper.lower() + " " * 5)
-    parts = F.array_remove(F.split(plain, " "), "")
+    words = F.transform(F.array_remove(F.split(plain, " "), ""), lambda w: F.xxhash64(w))
 
-    def runs(words: Column) -> Column:
-        last = F.size(words) - width
-        many = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(width))))
-        few = F.when(F.size(words) > 0, F.array(F.xxhash64(words))).otherwise(F.array().cast("array<long>"))
-        return F.array_sort(F.array_distinct(F.when(last >= 0, many).otherwise(few)))
+    def runs(hashes: Column) -> Column:
+        last = F.size(hashes) - width
+        many = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(width)]))
+        few = F.when(F.size(hashes) > 0, F.array(F.xxhash64(hashes))).otherwise(F.array().cast("array<long>"))
+        return F.when(last >= 0, many).otherwise(few)
 
-    # the words are made once for all their uses
-    return F.get(F.transform(F.array(parts), runs), F.lit(0))
+    # the words are hashed once for all their runs
+    return F.get(F.transform(F.array(words), runs), F.lit(0))
 
 
-def _classes(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """One row per set: its print, the first id with it, its number of records and its size."""
-    held = df.select(F.col(id_column).alias("id"), shingles(F.col(text_column)).alias("set")).where(
-        "size(set) > 0 AND id IS NOT NULL"
-    )
-    named = held.select("id", "set", F.xxhash64("set").alias("set_a"), F.xxhash64(F.lit(1), "set").alias("set_b"))
-    folded = named.groupBy(*_CLASS).agg(F.min(F.struct("id", "set")).alias("low"), F.count(F.lit(1)).alias("copies"))
-    sets = folded.select(*_CLASS, F.col("low.id").alias("first"), "copies", F.size("low.set").alias("n"), F.col("low.set").alias("set"))
-    return _saved(sets, "text-sets")
+def _mixed(x: np.ndarray, turn: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(turn))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def _bucket_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Replaces the set, the last column, by its bucket keys."""
+def _bucket_keys(members: np.ndarray) -> np.ndarray:
+    """The values of the bands: one hash of the least of each of ``ROWS`` permutations."""
     rng = np.random.default_rng(20_170_529)
     factor = rng.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
     shift = rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
     weights = rng.integers(1, 1 << 63, ROWS, dtype=np.uint64) | np.uint64(1)
-
-    def keys(members: np.ndarray) -> np.ndarray:
-        least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(members), _PIECE):
-            x = members[at : at + _PIECE, None] * factor + shift
-            x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=0))
-        return (least.reshape(BANDS, ROWS) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
-
-    for batch in batches:
-        sets = batch.column(batch.num_columns - 1)
-        flat, edges = sets.values.to_numpy(zero_copy_only=False).view(np.uint64), sets.offsets.to_numpy()
-        made = np.array([keys(flat[a:b]) for a, b in zip(edges, edges[1:])], np.int64).reshape(-1, BANDS)
-        offsets = pa.array(np.arange(len(made) + 1, dtype=np.int32) * BANDS)
-        columns = [*batch.columns[:-1], pa.ListArray.from_arrays(offsets, pa.array(made.ravel()))]
-        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "keys"])
-
-
-def _members(sets: DataFrame) -> DataFrame:
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(members), _PIECE):
+        x = members[at : at + _PIECE, None] * factor + shift
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        least = np.minimum(least, (x ^ (x >> np.uint64(32))).min(axis=0))
+    return (least.reshape(BANDS, ROWS) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def _described(records: DataFrame, whole: bool) -> DataFrame:
+    """Replaces ``runs`` by the print of their set, its size, and the set itself if ``whole``,
+    else its bucket keys. Records without words are dropped."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = batch.column(batch.num_columns - 1)
+            flat, edges = runs.values.to_numpy(zero_copy_only=False).view(np.uint64), runs.offsets.to_numpy()
+            some = np.flatnonzero(np.diff(edges) > 0)
+            sets = [np.unique(flat[edges[i] : edges[i + 1]]) for i in some]
+            prints = [[_mixed(s, turn).sum(dtype=np.uint64) for s in sets] for turn in (30, 33)]
+            lists = [s.view(np.int64) if whole else _bucket_keys(s) for s in sets]
+            kept = batch.take(pa.array(some))
+            offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+            values = np.concatenate([np.zeros(0, np.int64), *lists])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *kept.columns[:-1],
+                    *[pa.array(np.array(p, np.uint64).view(np.int64)) for p in prints],
+                    pa.array([len(s) for s in sets], pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                ],
+                names=[*batch.schema.names[:-1], *_CLASS, "n", "list"],
+            )
+
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in records.schema.fields[:-1])
+    return records.mapInArrow(run, f"{kept}, set_a long, set_b long, n int, list array<long>")
+
+
+def _members(classes: DataFrame) -> DataFrame:
     """Buckets of two sets and more: bucket, m (its sets), and each set's order and size."""
-    kind = sets.schema["first"].dataType.simpleString()
-    keyed = sets.select(*_ORDER, "n", "set").mapInArrow(_bucket_keys, f"first {kind}, set_a long, set_b long, n int, keys array<long>")
-    each = keyed.select(*_ORDER, "n", F.posexplode("keys").alias("band", "key")).select(
-        *_ORDER, "n", F.xxhash64("band", "key").alias("bucket")
-    )
-    each = _saved(each, "text-buckets")
+    each = classes.select(*_CLASS, F.posexplode("list").alias("band", "key")).select(*_CLASS, F.xxhash64("band", "key").alias("bucket"))
     sizes = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    return _saved(each.join(sizes, "bucket"), "text-members")
+    shared = each.join(sizes, "bucket")
+    return _saved(shared.join(classes.select(*_ORDER, "n"), _CLASS).select("bucket", "m", *_ORDER, "n"), "text-members")
 
 
 def _candidates(open_sets: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -103,25 +113,31 @@ def _candidates(open_sets: DataFrame, hubs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per open set the earliest of its hubs that is similar, by the whole sets."""
-    own = sets.select(*_CLASS, "set", "n")
-    hub = sets.select(F.col("set_a").alias("hub_set_a"), F.col("set_b").alias("hub_set_b"), F.col("set").alias("hub_set"), F.col("n").alias("hub_n"))
-    both = pairs.join(own, _CLASS).join(hub, ["hub_set_a", "hub_set_b"])
+def _verified(pairs: DataFrame, classes: DataFrame, records: DataFrame) -> DataFrame:
+    """Per open set the earliest of its hubs that is similar, by the whole sets.
+
+    Only the texts of the sets in question are read again.
+    """
+    ends = pairs.select(*_CLASS).union(pairs.select("hub_set_a", "hub_set_b")).distinct()
+    wanted = ends.join(classes, _CLASS).select(F.col("first").alias("id")).distinct()
+    asked = _described(records.join(wanted, "id", "left_semi").select("id", "runs"), True)
+    sets = _saved(asked.join(ends, _CLASS, "left_semi").dropDuplicates(_CLASS).select(*_CLASS, "n", F.col("list").alias("set")), "text-sets")
+    hub = sets.toDF("hub_set_a", "hub_set_b", "hub_n", "hub_set")
+    both = pairs.join(sets, _CLASS).join(hub, ["hub_set_a", "hub_set_b"])
     shared = F.size(F.array_intersect("set", "hub_set"))
     similar = (DEN + NUM) * shared >= NUM * (F.col("n") + F.col("hub_n"))
     found = F.min(F.struct("hub_first", (shared / (F.col("n") + F.col("hub_n") - shared)).alias("similarity")))
     return both.where(similar).groupBy(*_CLASS).agg(found.alias("like"))
 
 
-def _settled(sets: DataFrame) -> DataFrame:
+def _settled(classes: DataFrame, records: DataFrame) -> DataFrame:
     """Sets with an earlier similar one.
 
     One such set settles a set, so no pairs are listed within a large bucket: small buckets
     are compared whole, of the others the earliest set of each of some parts, and the next
     round, for sets still open, compares sixteen times as many.
     """
-    members, each, done = _members(sets), 1, None
+    members, each, done = _members(classes), 1, None
     while True:
         left = members if done is None else members.join(done.select(*_CLASS), _CLASS, "left_anti")
         few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
@@ -129,7 +145,8 @@ def _settled(sets: DataFrame) -> DataFrame:
         hubs = members.where(many).groupBy("bucket", part.alias("part")).agg(F.min(F.struct(*_ORDER, "n")).alias("h"))
         hubs = hubs.select("bucket", "h.*")
         found = _candidates(left.where(few), members.where(few)).unionByName(_candidates(left.where(many), hubs))
-        settled = _saved(_verified(found.distinct(), sets), "text-settled")
+        pairs = _saved(found.distinct(), "text-pairs")
+        settled = _saved(_verified(pairs, classes, records), "text-settled")
         done = settled if done is None else done.unionByName(settled)
         members = members.where(many)
         if members.isEmpty():
@@ -145,21 +162,30 @@ def with_text_duplicates(df: DataFrame, id_column: str, text_column: str) -> Dat
     similar texts ``feat_similar_to``, the id of an earlier record, with
     ``feat_text_similarity``; for copies the first record and 1. Equal sets fold to one;
     buckets of MinHash values name the sets to compare, and every reported similarity is exact.
+    Sets are not stored: what is kept of a text is its print, its size and its buckets.
 
     A text without words and a record without an id match nothing.
     """
-    sets = _classes(df, id_column, text_column)
-    like = sets.drop("set", "n").join(_settled(sets), _CLASS, "left").select(
-        *[F.col(c).alias(f"_{c}") for c in _CLASS],
+    text = F.col(text_column)
+    known = df.where(F.col(id_column).isNotNull()).select(
+        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_a"), F.hash(text).alias("text_b"), text.alias("text")
+    )
+    records = known.select("id", "text_a", "text_b", _runs(F.col("text")).alias("runs"))
+    named = _saved(_described(records, False), "text-named")
+    least = F.min(F.struct("id", "n", "list")).alias("least")
+    folded = named.groupBy(*_CLASS).agg(least, F.count(F.lit(1)).alias("copies"))
+    classes = _saved(folded.select(*_CLASS, F.col("least.id").alias("first"), "least.n", "least.list", "copies"), "text-classes")
+    like = classes.select(*_ORDER, "copies").join(_settled(classes, records), _CLASS, "left")
+    # equal texts under one id have one row here
+    found = named.select("id", "text_a", "text_b", *_CLASS).distinct().join(like, _CLASS).select(
+        *[F.col(c).alias(f"_{c}") for c in ("id", "text_a", "text_b")],
         F.col("first").alias("_first"),
         F.col("copies").alias("_copies"),
         F.col("like.hub_first").alias("_like"),
         F.col("like.similarity").alias("_similarity"),
     )
-    named = df.withColumn("_set", shingles(F.col(text_column))).withColumns(
-        {"_a": F.xxhash64("_set"), "_b": F.xxhash64(F.lit(1), "_set"), "_some": (F.size("_set") > 0) & F.col(id_column).isNotNull()}
-    ).drop("_set")
-    met = named.join(like, F.col("_some") & (F.col("_a") == F.col("_set_a")) & (F.col("_b") == F.col("_set_b")), "left")
+    same = (F.col(id_column) == F.col("_id")) & (F.xxhash64(text) == F.col("_text_a")) & (F.hash(text) == F.col("_text_b"))
+    met = df.join(found, same, "left")
     copied = F.col(id_column) > F.col("_first")
     return met.select(
         *[F.col(f"`{c}`") for c in df.columns],
