@@ -68,3 +68,14 @@ def test_stream_gate_processes_new_files_once(spark, layout, tmp_path):
     assert run() == (["T1"], 1)
     drop("2.csv", "T3,D,C,P,N,20260102,5,1.0")
     assert run() == (["T1", "T3"], 1)
+
+
+@pytest.mark.parametrize("values", [([0.0], [0.1234567891], [0.0]), ([0.00000000001], [0.1], [0.0]), ([0.0], [200.0], [0.0]), ([1e19], [0.1], [0.0])])
+def test_values_that_do_not_fit_are_errors(spark, values):
+    with pytest.raises(ValueError, match="places"):
+        whatif.scenario_frame(spark, [whatif.Scenario("s", "a", *values)])
+
+
+def test_noise_of_doubles_fits(spark):
+    tiers = whatif.scenario_frame(spark, [whatif.Scenario("s", "a", [0.1 + 0.2], [0.1 + 0.2], [1 / 8])]).first()["tiers"]
+    assert [float(x) for x in tiers[0]] == [0.3, 0.3, 0.125]

@@ -50,7 +50,7 @@ def with_duplicate_closeness(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     own = [f"_k_{c}" for c in block]
-    # NULL block values are values: joins compare them by their text's presence
+    # a NULL in the block is a value like any other
     days = points.select(*own, "_day").distinct()
     near = F.explode(F.sequence(F.date_sub("_day", max_days), F.date_add("_day", max_days)))
     reach = days.select(*own, "_day", near.alias("_on"))
@@ -77,9 +77,11 @@ def with_duplicate_closeness(
     offered = F.when(F.col("_offer"), F.col("_ticks"))
     up, down = cell.orderBy("_ticks"), cell.orderBy(F.col("_ticks").desc())
     # on another day an equal amount counts, on the same day it is the point itself
-    other = {True: (W.unboundedPreceding, 0), False: (W.unboundedPreceding, -1)}
-    below, above = ({k: F.max(offered).over(up.rangeBetween(*r)) for k, r in other.items()}, {k: F.min(offered).over(down.rangeBetween(*r)) for k, r in other.items()})
     away = F.col("_from") != F.col("_on")
+    below, above = {}, {}
+    for other, last in ((True, 0), (False, -1)):
+        below[other] = F.max(offered).over(up.rangeBetween(W.unboundedPreceding, last))
+        above[other] = F.min(offered).over(down.rangeBetween(W.unboundedPreceding, last))
     met = (
         questions.unionByName(offers)
         .select(

@@ -31,6 +31,7 @@ COMPARISON = (
 )
 
 
+# The field names of a scenario.
 @dataclass(frozen=True)
 class Scenario:
     name: str
@@ -41,12 +42,23 @@ class Scenario:
     effective_months: int = 12
 
 
+def _fitting(value: float, places: int, limit: float) -> float:
+    """The value, if its decimal type keeps it but for the noise of doubles."""
+    number = float(value or 0)
+    if not abs(number) < limit or abs(round(number, places) - number) > 1e-12 * max(1.0, abs(number)):
+        raise ValueError(f"{value} has more than {places} places or is {limit:g} or more")
+    return number
+
+
 def scenario_frame(spark: SparkSession, scenarios: Sequence[Scenario]) -> DataFrame:
-    """Scenarios as rows; a threshold without a discount or rebate of its own pays 0 there."""
+    """Scenarios as rows; a threshold without a discount or rebate of its own pays 0 there.
+
+    Thresholds have 10 places and percentages 8; a value that does not fit is an error.
+    """
     rows = []
     for position, s in enumerate(scenarios):
         tiers = [
-            (float(t), float(d or 0), float(r or 0))
+            (_fitting(t, 10, 1e18), _fitting(d, 8, 100), _fitting(r, 8, 100))
             for t, d, r in zip_longest(s.tier_thresholds, s.discount_pcts, s.rebate_pcts)
             if t is not None
         ]
