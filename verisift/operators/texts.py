@@ -113,15 +113,17 @@ def _candidates(open_sets: DataFrame, hubs: DataFrame) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, records: DataFrame) -> DataFrame:
-    """Per open set the earliest of its hubs that is similar, by the whole sets.
+def _sets(members: DataFrame, known: DataFrame) -> DataFrame:
+    """The whole sets that share a bucket with another; only their first texts are read again."""
+    shared = members.select(*_CLASS, "first").distinct()
+    texts = known.join(shared.select(F.col("first").alias("id")).distinct(), "id", "left_semi")
+    asked = _described(texts.select("id", _runs(F.col("text")).alias("runs")), True)
+    held = asked.join(shared.select(*_CLASS), _CLASS, "left_semi").dropDuplicates(_CLASS)
+    return _saved(held.select(*_CLASS, "n", F.col("list").alias("set")), "text-sets")
 
-    Only the texts of the sets in question are read again.
-    """
-    ends = pairs.select(*_CLASS).union(pairs.select("hub_set_a", "hub_set_b")).distinct()
-    wanted = ends.join(classes, _CLASS).select(F.col("first").alias("id")).distinct()
-    asked = _described(records.join(wanted, "id", "left_semi").select("id", "runs"), True)
-    sets = _saved(asked.join(ends, _CLASS, "left_semi").dropDuplicates(_CLASS).select(*_CLASS, "n", F.col("list").alias("set")), "text-sets")
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per open set the earliest of its hubs that is similar, by the whole sets."""
     hub = sets.toDF("hub_set_a", "hub_set_b", "hub_n", "hub_set")
     both = pairs.join(sets, _CLASS).join(hub, ["hub_set_a", "hub_set_b"])
     shared = F.size(F.array_intersect("set", "hub_set"))
@@ -130,7 +132,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, records: DataFrame) -> DataF
     return both.where(similar).groupBy(*_CLASS).agg(found.alias("like"))
 
 
-def _settled(classes: DataFrame, records: DataFrame) -> DataFrame:
+def _settled(classes: DataFrame, known: DataFrame) -> DataFrame:
     """Sets with an earlier similar one.
 
     One such set settles a set, so no pairs are listed within a large bucket: small buckets
@@ -138,6 +140,7 @@ def _settled(classes: DataFrame, records: DataFrame) -> DataFrame:
     round, for sets still open, compares sixteen times as many.
     """
     members, each, done = _members(classes), 1, None
+    sets = _sets(members, known)
     while True:
         left = members if done is None else members.join(done.select(*_CLASS), _CLASS, "left_anti")
         few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
@@ -146,7 +149,7 @@ def _settled(classes: DataFrame, records: DataFrame) -> DataFrame:
         hubs = hubs.select("bucket", "h.*")
         found = _candidates(left.where(few), members.where(few)).unionByName(_candidates(left.where(many), hubs))
         pairs = _saved(found.distinct(), "text-pairs")
-        settled = _saved(_verified(pairs, classes, records), "text-settled")
+        settled = _saved(_verified(pairs, sets), "text-settled")
         done = settled if done is None else done.unionByName(settled)
         members = members.where(many)
         if members.isEmpty():
@@ -162,7 +165,7 @@ def with_text_duplicates(df: DataFrame, id_column: str, text_column: str) -> Dat
     similar texts ``feat_similar_to``, the id of an earlier record, with
     ``feat_text_similarity``; for copies the first record and 1. Equal sets fold to one;
     buckets of MinHash values name the sets to compare, and every reported similarity is exact.
-    Sets are not stored: what is kept of a text is its print, its size and its buckets.
+    What is kept of a text is its print, its size and its buckets, and its set if it shares a bucket.
 
     A text without words and a record without an id match nothing.
     """
@@ -175,7 +178,7 @@ def with_text_duplicates(df: DataFrame, id_column: str, text_column: str) -> Dat
     least = F.min(F.struct("id", "n", "list")).alias("least")
     folded = named.groupBy(*_CLASS).agg(least, F.count(F.lit(1)).alias("copies"))
     classes = _saved(folded.select(*_CLASS, F.col("least.id").alias("first"), "least.n", "least.list", "copies"), "text-classes")
-    like = classes.select(*_ORDER, "copies").join(_settled(classes, records), _CLASS, "left")
+    like = classes.select(*_ORDER, "copies").join(_settled(classes, known), _CLASS, "left")
     # equal texts under one id have one row here
     found = named.select("id", "text_a", "text_b", *_CLASS).distinct().join(like, _CLASS).select(
         *[F.col(c).alias(f"_{c}") for c in ("id", "text_a", "text_b")],
