@@ -105,6 +105,20 @@ def test_first_rows_of_a_hot_key_stay_dealt(spark):
     assert marked.where("_first AND k = 'hot'").first()["o"] == 1
 
 
+def test_rows_alone_with_their_key_are_not_moved(spark, rows):
+    alone = spark.range(0, 400, 1, 4).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("o"))
+    twice = spark.createDataFrame([("399", 0), (None, 2), (None, 2)], "k string, o int")
+    df = alone.withColumn("was", F.spark_partition_id()).unionByName(twice.withColumn("was", F.lit(-1)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = mark_first(df, ["k"], ["o"]).withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert all(r["was"] == r["at"] for r in marked if r["k"] not in (None, "399"))
+    assert sorted((r["k"] or "", r["o"]) for r in marked if r["_first"] and r["was"] < 0) == [("", 2), ("399", 0)]
+    assert len(marked) == 403 and sum(r["_first"] for r in marked) == 401
+
+
 def test_deduplicate_keeps_the_lowest(spark, rows):
     df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 1, None)], "k string, o int, v string")
     assert rows(checks.deduplicate(df, ["k"], ["o"])) == [("a", 1, "y"), ("b", 1, None)]
