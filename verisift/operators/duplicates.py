@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 #: Grid of the amounts: decimals of four places.
 TICKS = 10_000
+#: Length of the spans of days, in tolerances.
+SPAN_DAYS = 16
 
 
 def _same(columns: Sequence[str]) -> Column:
@@ -34,7 +36,8 @@ def with_duplicate_closeness(
     places: 1 for an equal record, 0 without such a record, without a date or an amount.
 
     Records with equal block, day and amount fold to one point. A point is asked for on every
-    day of its block within the tolerance that has points at all. Points lie in cells as wide
+    day of its block within the tolerance that has points at all; points without such a day or
+    another point on their own are left out. Points lie in cells as wide
     as the amount tolerance and are offered to the cells beside their own, so each question
     meets the nearest amount below and above it in one sorted cell: work grows with the
     points and the days in reach, never with pairs of records.
@@ -50,29 +53,38 @@ def with_duplicate_closeness(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     own = [f"_k_{c}" for c in block]
-    # a NULL in the block is a value like any other
-    days = points.select(*own, "_day").distinct()
-    near = F.explode(F.sequence(F.date_sub("_day", max_days), F.date_add("_day", max_days)))
-    reach = days.select(*own, "_day", near.alias("_on"))
-    there = days.select(*[F.col(c).alias(f"_there{c}") for c in own], F.col("_day").alias("_on_day"))
-    both = F.lit(True)
-    for c in own:
-        both = both & F.col(c).eqNullSafe(F.col(f"_there{c}"))
-    reach = reach.join(there, both & (F.col("_on") == F.col("_on_day")), "left_semi")
+    # the days of a block, with their points, come together by spans of the calendar, to whose
+    # edges the days beyond them are added; a NULL in the block is a value like any other
+    span = SPAN_DAYS * (max_days + 1)
+    day = F.unix_date("_day")
+    spans = F.explode(F.sequence(F.floor((day - max_days) / span), F.floor((day + max_days) / span)))
+    days = points.groupBy(*own, "_day").agg(F.count(F.lit(1)).alias("_points"))
+    listed = days.select(*own, F.struct("_day", "_points").alias("_at"), spans.alias("_span")).groupBy(*own, "_span").agg(
+        F.collect_list("_at").alias("_all")
+    )
+    mine = listed.select(*own, "_span", "_all", F.inline("_all")).where(F.floor(day / span) == F.col("_span"))
+    # the day itself is asked only for its other points
+    near = F.filter(
+        "_all",
+        lambda d: (F.abs(F.datediff(d["_day"], F.col("_day"))) <= max_days) & ((d["_day"] != F.col("_day")) | (F.col("_points") > 1)),
+    )
+    reach = mine.select(*own, "_day", F.transform(near, lambda d: d["_day"]).alias("_days")).where(F.size("_days") > 0)
 
     here = [*own, "_day"]
     asked_by = F.lit(True)
     for c in here:
         asked_by = asked_by & F.col(c).eqNullSafe(F.col(f"_r{c}"))
-    questions = points.join(reach.select(*[F.col(c).alias(f"_r{c}") for c in here], "_on"), asked_by).select(
-        *own, F.col("_on"), "_ticks", F.col("_day").alias("_from"), F.floor(F.col("_ticks") / width).alias("_cell"), F.lit(False).alias("_offer")
+    # a day is in reach of those it reaches, so other days have nothing to ask or to offer
+    reaching = points.join(reach.select(*[F.col(c).alias(f"_r{c}") for c in here], "_days"), asked_by)
+    at = F.floor(F.col("_ticks") / width)
+    asks = F.transform("_days", lambda d: F.struct(d.alias("_on"), F.col("_day").alias("_from"), at.alias("_cell"), F.lit(False).alias("_offer")))
+    beside = F.array(
+        *[
+            F.struct(F.col("_day").alias("_on"), F.lit(None).cast("date").alias("_from"), (at + k).alias("_cell"), F.lit(True).alias("_offer"))
+            for k in (-1, 0, 1)
+        ]
     )
-    beside = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
-    offers = points.select(
-        *own, F.col("_day").alias("_on"), "_ticks", F.lit(None).cast("date").alias("_from"),
-        beside.alias("_beside"), F.lit(True).alias("_offer"),
-    )
-    offers = offers.withColumn("_cell", F.floor(F.col("_ticks") / width) + F.col("_beside")).drop("_beside")
+    told = reaching.select(*own, "_ticks", F.inline(F.concat(asks, beside)))
     cell = W.partitionBy(*own, "_on", "_cell")
     offered = F.when(F.col("_offer"), F.col("_ticks"))
     up, down = cell.orderBy("_ticks"), cell.orderBy(F.col("_ticks").desc())
@@ -83,8 +95,7 @@ def with_duplicate_closeness(
         below[other] = F.max(offered).over(up.rangeBetween(W.unboundedPreceding, last))
         above[other] = F.min(offered).over(down.rangeBetween(W.unboundedPreceding, last))
     met = (
-        questions.unionByName(offers)
-        .select(
+        told.select(
             "*",
             F.when(away, below[True]).otherwise(below[False]).alias("_below"),
             F.when(away, above[True]).otherwise(above[False]).alias("_above"),
@@ -99,13 +110,8 @@ def with_duplicate_closeness(
         .groupBy(*own, F.col("_from").alias("_day"), "_ticks")
         .agg(F.max(in_days * in_amount).alias("_best"))
     )
-    marks = points.select(*own, "_day", "_ticks", (F.col("_n") > 1).alias("_copied"))
-    same_point = F.lit(True)
-    for c in (*own, "_day", "_ticks"):
-        same_point = same_point & F.col(c).eqNullSafe(F.col(f"_b{c}"))
-    scored = marks.join(best.select(*[F.col(c).alias(f"_b{c}") for c in (*own, "_day", "_ticks")], "_best"), same_point, "left").select(
-        *own, "_day", "_ticks", F.when(F.col("_copied"), F.lit(1.0)).otherwise(F.coalesce("_best", F.lit(0.0))).alias("_closeness")
-    )
+    copied = points.where("_n > 1").select(*own, "_day", "_ticks", F.lit(1.0).alias("_best"))
+    scored = best.unionByName(copied).groupBy(*own, "_day", "_ticks").agg(F.max("_best").alias("_closeness"))
     condition = _same(block) & (F.col(date_column).cast("date") == F.col("_day")) & (ticks == F.col("_ticks"))
     return df.join(scored, condition, "left").select(
         *df.columns, F.round(F.coalesce("_closeness", F.lit(0.0)), 4).alias("feat_duplicate_closeness")
