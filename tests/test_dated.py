@@ -130,6 +130,33 @@ def test_allocation_equals_taking_units(spark, monkeypatch, cell_rows):
     assert allocation.allocate_claims(asked, sold.limit(0), ["key"], **names).isEmpty()
 
 
+def test_rows_of_small_keys_are_moved_once_for_the_allocation(spark):
+    kind = "customer_id string, product_id string, id string, day date, quantity decimal(18,4)"
+    frame = spark.createDataFrame([("c", "p", "a", day(1), Decimal(2))], kind)
+    sales = frame.withColumnsRenamed({"id": "transaction_id", "day": "transaction_date"})
+    found = allocation.allocate_claims(frame.withColumnsRenamed({"id": "claim_id", "day": "claim_date"}), sales)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in found.collect()] == [("c", "p", "a", "a", Decimal(2))]
+
+
+def test_days_in_reach_are_not_listed_one_by_one(spark):
+    df = spark.createDataFrame([(i, "b", day(40 * i), 1.0) for i in range(20)], "id long, who string, at date, amount double")
+    found = duplicates.with_duplicate_closeness(df, ["who"], "at", "amount", max_days=30)
+    assert "date_sub(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["feat_duplicate_closeness"] for r in found.collect()} == {0.0}
+
+
+@pytest.mark.parametrize("days", [0, 1, 40])
+def test_closeness_across_the_edges_of_spans(spark, days):
+    start = date(1969, 12, 1)
+    rows = [(i, "b", start + timedelta(days=int(i)), 1.0) for i in np.random.default_rng(days).choice(400, 60, replace=False)]
+    df = spark.createDataFrame([(int(i), w, d, a) for i, w, d, a in rows], "id long, who string, at date, amount double")
+    found = duplicates.with_duplicate_closeness(df, ["who"], "at", "amount", max_days=days)
+    for r in found.collect():
+        gap = min(abs((r["at"] - d).days) for i, _, d, _ in rows if i != r["id"])
+        assert r["feat_duplicate_closeness"] == round(max(0.0, 1 - gap / (days + 1)), 4)
+
+
 def test_closeness_equals_pairs(spark):
     rng = np.random.default_rng(6)
     rows = [

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Observation, Window as W, functions as F
+
+from verisift.session import scratch_path
 
 #: Type of quantities and running totals; sums are cast back, so no step widens to fewer places.
 QUANTITY = "decimal(28,4)"
-#: Sales and claims of one key that are swept in one task, about.
+#: Sales and claims of one key that are swept in one task, at most or about.
 CELL_ROWS = 100_000
 
 
@@ -58,19 +60,90 @@ def allocate_claims(
     Quantities are decimals; rows without key, id, day or with no positive quantity take no part;
     rows with equal key, id and day are one, with their total.
 
-    Both sides become intervals of the running total sold. Totals per day come first, then
-    totals inside a day, so no window holds more than a day of a key. The intervals are cut
-    at cells of the key's total and meet by sorting their ends; no pairs are compared.
+    Both sides become intervals of the running total sold, which meet by sorting their ends; no
+    pairs are compared. Keys of at most ``CELL_ROWS`` rows are swept each in one task, others in
+    cells of their total.
     """
     keys = list(keys)
 
-    def folded(df: DataFrame, name: str, day: str, quantity: str) -> DataFrame:
-        known = df.where(F.col(quantity) > 0).dropna(subset=[*keys, name, day])
-        return known.groupBy(*keys, F.col(name).alias("_id"), F.col(day).alias("_day")).agg(
-            F.sum(F.col(quantity).cast(QUANTITY)).cast(QUANTITY).alias("_quantity")
+    def known(df: DataFrame, name: str, day: str, quantity: str) -> DataFrame:
+        return df.where(F.col(quantity) > 0).dropna(subset=[*keys, name, day]).select(
+            *keys, F.col(name).alias("_id"), F.col(day).alias("_day"), F.col(quantity).cast(QUANTITY).alias("_quantity")
         )
 
-    sold, asked = folded(sales, sale_id, sale_day, sale_quantity), folded(claims, claim_id, claim_day, claim_quantity)
+    sold, asked = known(sales, sale_id, sale_day, sale_quantity), known(claims, claim_id, claim_day, claim_quantity)
+    names = (claim_id, sale_id)
+    if [f.dataType for f in sold.schema] != [f.dataType for f in asked.schema]:
+        return _allocated_in_cells(asked, sold, keys, *names)
+    # keys of very many rows are few; they are stored
+    counts, path = Observation(), scratch_path(claims.sparkSession, "large-keys")
+    (
+        sold.select(*keys).unionByName(asked.select(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > CELL_ROWS).select(*keys).observe(counts, F.count(F.lit(1)).alias("keys"))
+        .write.parquet(path)
+    )
+    if not counts.get["keys"]:
+        return _allocated_by_key(asked, sold, keys, *names)
+    large = claims.sparkSession.read.parquet(path)
+    rest = [df.join(large, keys, "left_anti") for df in (asked, sold)]
+    cut = [df.join(large, keys, "left_semi") for df in (asked, sold)]
+    return _allocated_by_key(*rest, keys, *names).unionByName(_allocated_in_cells(*cut, keys, *names))
+
+
+def _allocated_by_key(asked: DataFrame, sold: DataFrame, keys: Sequence[str], claim_id: str, sale_id: str) -> DataFrame:
+    """The allocation of keys that one task can sweep each: their rows are moved once."""
+    both = sold.withColumn("_claims", F.lit(False)).unionByName(asked.withColumn("_claims", F.lit(True))).repartition(*keys)
+    rows = both.groupBy(*keys, "_claims", "_id", "_day").agg(F.sum("_quantity").cast(QUANTITY).alias("_quantity"))
+    none = F.lit(0).cast(QUANTITY)
+    order = W.partitionBy(*keys).orderBy("_day", "_claims", "_id")
+    so_far, earlier = order.rowsBetween(W.unboundedPreceding, 0), order.rowsBetween(W.unboundedPreceding, -1)
+    part = F.when(F.col("_claims"), F.lit(None)).otherwise(F.col("_quantity"))
+    wish = F.when(F.col("_claims"), F.col("_quantity"))
+    summed = rows.withColumns(
+        {
+            "_sold": F.coalesce(F.sum(part).over(so_far).cast(QUANTITY), none),
+            "_asked": F.coalesce(F.sum(wish).over(so_far).cast(QUANTITY), none),
+        }
+    )
+    # what claims can have is what they ask for, less the largest shortfall before them
+    short = F.least(F.coalesce(F.min((F.col("_sold") - F.col("_asked")).cast(QUANTITY)).over(earlier), none), none)
+    upto = F.when(F.col("_claims"), F.least((F.col("_asked") + short).cast(QUANTITY), "_sold")).otherwise(F.col("_sold"))
+    low = F.when(F.col("_claims"), F.least((F.col("_asked") - F.col("_quantity") + short).cast(QUANTITY), "_sold")).otherwise(
+        (F.col("_sold") - F.col("_quantity")).cast(QUANTITY)
+    )
+    spans = summed.select(*keys, "_claims", "_id", low.alias("_at"), upto.alias("_high")).where("_at < _high")
+    sweep = W.partitionBy(*keys).orderBy("_at", "_claims")
+    span = F.struct(F.col("_id").alias("id"), F.col("_high").alias("high"))
+    filled = spans.select(
+        *keys,
+        "_at",
+        F.last(F.when(~F.col("_claims"), span), ignorenulls=True).over(sweep.rowsBetween(W.unboundedPreceding, 0)).alias("_sale"),
+        F.last(F.when(F.col("_claims"), span), ignorenulls=True).over(sweep.rowsBetween(W.unboundedPreceding, 0)).alias("_claim"),
+        F.lead("_at").over(sweep).alias("_next"),
+    )
+    return _met(filled, keys, claim_id, sale_id)
+
+
+def _met(filled: DataFrame, keys: Sequence[str], claim_id: str, sale_id: str) -> DataFrame:
+    """The quantity of each claim and sale that meet, from the ends of their spans."""
+    upto = F.least(F.col("_sale.high"), F.col("_claim.high"), "_next")
+    return (
+        filled.where("_sale IS NOT NULL AND _claim IS NOT NULL")
+        .select(*keys, F.col("_claim.id").alias(claim_id), F.col("_sale.id").alias(sale_id), (upto - F.col("_at")).alias("_part"))
+        .where("_part > 0")
+        .groupBy(*keys, claim_id, sale_id)
+        .agg(F.sum("_part").cast(QUANTITY).alias("allocated"))
+    )
+
+
+def _allocated_in_cells(asked: DataFrame, sold: DataFrame, keys: Sequence[str], claim_id: str, sale_id: str) -> DataFrame:
+    """The allocation of keys of any size: totals per day come first, then totals inside a day, so no
+    window holds more than a day of a key. The spans are cut at cells of the key's total."""
+
+    def folded(df: DataFrame) -> DataFrame:
+        return df.groupBy(*keys, "_id", "_day").agg(F.sum("_quantity").cast(QUANTITY).alias("_quantity"))
+
+    sold, asked = folded(sold), folded(asked)
     limits = _daily_limits(sold, asked, keys)
     in_day = W.partitionBy(*keys, "_day").orderBy("_id").rowsBetween(W.unboundedPreceding, 0)
     inside = F.sum("_quantity").over(in_day)
@@ -125,14 +198,7 @@ def allocate_claims(
         F.last("_claim", ignorenulls=True).over(in_cell).alias("_claim"),
         F.lead("_at").over(in_cell).alias("_next"),
     )
-    upto = F.least(F.col("_sale.high"), F.col("_claim.high"), "_next")
-    return (
-        filled.where("_sale IS NOT NULL AND _claim IS NOT NULL")
-        .select(*keys, F.col("_claim.id").alias(claim_id), F.col("_sale.id").alias(sale_id), (upto - F.col("_at")).alias("_part"))
-        .where("_part > 0")
-        .groupBy(*keys, claim_id, sale_id)
-        .agg(F.sum("_part").cast(QUANTITY).alias("allocated"))
-    )
+    return _met(filled, keys, claim_id, sale_id)
 
 
 def claim_allocation(
