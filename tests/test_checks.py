@@ -124,6 +124,17 @@ def test_deduplicate_keeps_the_lowest(spark, rows):
     assert rows(checks.deduplicate(df, ["k"], ["o"])) == [("a", 1, "y"), ("b", 1, None)]
 
 
+@pytest.mark.parametrize("key_rows", [100_000, 2])
+def test_alignment_moves_the_rows_of_small_keys_once(spark, monkeypatch, key_rows):
+    monkeypatch.setattr("verisift.operators.checks.KEY_ROWS", key_rows)
+    left = spark.createDataFrame([(1, "a", 0.0), (1, "a", 0.0), (2, "b", None), (3, None, 1.0)], "k int, x string, y double")
+    right = spark.createDataFrame([(1, "a", -0.0), (1, "z", 4.0), (2, "b", None), (3, "c", 1.0), (9, "c", 1.0)], "k int, x string, y double")
+    found = checks.cross_source_alignment(left, right, "k", ["x", "y"])
+    if key_rows > 2:
+        assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r["column"]: (r["numerator"], r["denominator"]) for r in found.collect()} == {"x": (3, 6), "y": (3, 6)}
+
+
 def test_alignment_counts_pairs_without_building_them(spark):
     left = spark.createDataFrame([(1, "a", None)] * 3 + [(2, "b", 1), (None, "c", 1)], "k int, x string, y int")
     right = spark.createDataFrame([(1, "a", None)] * 2 + [(1, "z", 4), (2, None, 1), (None, "c", 1)], "k int, x string, y int")
