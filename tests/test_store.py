@@ -1,9 +1,12 @@
+import datetime
+import json
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from verisift.operators.enrich import enrich
+from verisift.plans import queries
 from verisift.session import scratch_root
 from verisift.sources import catalog, feature_store, raw, tables
 from verisift.sources.catalog import FeatureDefinition, Features
@@ -158,3 +161,21 @@ def test_enrich_keeps_every_row(spark, rows):
     )
     assert enrich(tx.limit(0), products=products).columns == [*tx.columns, "product_category"]
     assert enrich(both, products=products).columns.count("product_category") == 1
+
+
+def test_arrays_of_a_month_are_bounded(spark, tmp_path, monkeypatch):
+    days = [datetime.date(1995, 3, 1 + i % 20) for i in range(90)]
+    rows = [("FO"[i % 2], 100.25 + i, day) for i, day in enumerate(days)] + [(None, None, None)]
+    orders = spark.createDataFrame(rows, "o_orderstatus string, o_totalprice double, o_orderdate date")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(queries, "ARRAY_ROWS", 10)
+    place = str(tmp_path / "made")
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: place)
+    found = queries.QUERIES["read_formats"](spark, str(tmp_path)).collect()
+    by_format = {f: sorted(map(str, (tuple(r)[1:] for r in found if r["format"] == f))) for f in {r["format"] for r in found}}
+    assert len(by_format) == 3 and len({tuple(v) for v in by_format.values()}) == 1
+    assert {(r["o_orderstatus"], r["row_count"], r["total"]) for r in found} == {
+        ("F", 45, 45 * 100.25 + sum(range(0, 90, 2))), ("O", 45, 45 * 100.25 + sum(range(1, 90, 2))), (None, 1, None),
+    }
+    sizes = [len(json.loads(p.read_text())) for p in (tmp_path / "made" / "array").rglob("*.txt")]
+    assert sum(sizes) == 91 and max(sizes) < 45
