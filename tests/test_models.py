@@ -1,5 +1,8 @@
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
@@ -177,6 +180,22 @@ def test_boosting_equals_a_plain_version(spark, monkeypatch):
         assert np.array_equal(getattr(again, name), getattr(model, name))
 
 
+def test_only_splits_reach_the_driver(spark, monkeypatch):
+    rows = [(float(i), float(i % 7), 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, _label double, _weight double").repartition(4)
+    collected, collect = [], RDD.collect
+
+    def watched(rdd):
+        collected.append(collect(rdd))
+        return collected[-1]
+
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 100)
+    monkeypatch.setattr(RDD, "collect", watched)
+    model, errors = boosting.boost(df, ["a"], trees=2, depth=4, rate=0.5, subsample=1.0, folds=3)
+    assert len(errors) == 3 and model.feature.shape == (2, 15)
+    assert collected and max(len(pickle.dumps(c)) for c in collected) < 8_000
+
+
 def test_boosting_of_few_rows_and_gaps(spark):
     kind = "a double, _label double, _weight double"
     size = {"trees": 3, "depth": 2, "rate": 1.0, "subsample": 1.0, "folds": 1}
