@@ -193,7 +193,7 @@ def streams(classes: np.ndarray, edges: np.ndarray, most: int):
         docs.append(doc)
         heapq.heappush(loads, (load + int(lengths[doc]), s, docs))
     loads.sort(key=lambda x: (-x[0], x[1]))
-    place = np.full((loads[0][0], n), -1, np.int64)
+    place = np.full((loads[0][0], n), -1, np.int32)
     for column, (_, _, docs) in enumerate(loads):
         at = 0
         for doc in docs:
@@ -249,18 +249,27 @@ def log_likelihood(network: Network, classes: np.ndarray, edges: np.ndarray) ->
     return np.add.reduceat(out, edges[:-1])
 
 
-def _gathered(batches, text: int):
-    """Blocks of texts joined until a partition's share of words is reached."""
-    rows, held, size = [], [], 0
+def _gathered(batches, text: int, made):
+    """What ``made`` gives of each block of texts, until a partition's share of words is reached.
+
+    Only that is held: the texts and the arrays of their letters go block by block.
+    """
+    held, size = [], 0
     for piece, texts in blocks(batches, text):
-        rows.append(piece)
-        held += texts
+        held.append(made(piece, texts))
         size += sum(len(t or "") for t in texts)
         if size > 6 * MOST_WORDS:
-            yield rows, held
-            rows, held, size = [], [], 0
+            yield held
+            held, size = [], 0
     if held:
-        yield rows, held
+        yield held
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences of several blocks, each with where its texts begin, as those of one block."""
+    shifts = np.cumsum([0, *(len(classes) for classes, _ in held)])
+    starts = [at[:-1] + shift for (_, at), shift in zip(held, shifts)]
+    return np.concatenate([classes for classes, _ in held]), np.concatenate([*starts, shifts[-1:]])
 
 
 def _trained(texts: DataFrame, table, weights: dict) -> dict:
@@ -271,9 +280,13 @@ def _trained(texts: DataFrame, table, weights: dict) -> dict:
         frequent, start = shared.value
         network = Network({k: v.copy() for k, v in start.items()})
         moments, words = {}, 0
-        for _, held in _gathered(batches, 0):
-            hashes, groups, at = tokens(held)
-            classes, edges = _with_ends(frequent.look_up(hashes, groups)[1], at)
+
+        def made(_, texts):
+            hashes, groups, at = tokens(texts)
+            return _with_ends(frequent.look_up(hashes, groups)[1], at)
+
+        for held in _gathered(batches, 0, made):
+            classes, edges = _joined(held)
             train_on(network, classes, edges, moments)
             words += len(classes)
         flat = np.concatenate([network.w[k].ravel() for k in sorted(network.w)]).astype(np.float64) * words
@@ -301,16 +314,15 @@ def _part_score(docs: DataFrame, table, weights: dict) -> DataFrame:
     def run(batches):
         frequent, start = shared.value
         network = Network(start)
-        for rows, held in _gathered(batches, 3):
-            hashes, groups, at = tokens(held)
+
+        def made(piece, texts):
+            hashes, groups, at = tokens(texts)
             counts, classes = frequent.look_up(hashes, groups)
-            ended, edges = _with_ends(classes, at)
-            likelihood = log_likelihood(network, ended, edges) / math.log(10)
             n = np.diff(at)
             met = np.concatenate([[0], np.cumsum(counts > 0)])
             logs = np.concatenate([[0.0], np.cumsum(np.log10(counts + ALPHA))])
-            by_class = np.zeros((len(held), CLASSES), np.int32)
-            text_of = np.repeat(np.arange(len(held)), n)
+            by_class = np.zeros((len(texts), CLASSES), np.int32)
+            text_of = np.repeat(np.arange(len(texts)), n)
             np.add.at(by_class, (text_of, classes), 1)
             # other words, once per document
             rare = np.flatnonzero(counts == 0)
@@ -319,28 +331,31 @@ def _part_score(docs: DataFrame, table, weights: dict) -> DataFrame:
             new = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1]))[: len(order)]
             begin = np.flatnonzero(new)
             times = np.diff(np.append(begin, len(order)))
-            cuts = np.searchsorted(d[begin], np.arange(len(held) + 1))
-            done = 0
-            for piece in rows:
-                part = slice(done, done + piece.num_rows)
-                lo, hi = cuts[done], cuts[done + piece.num_rows]
-                offsets = pa.array(cuts[done : done + piece.num_rows + 1] - lo, pa.int32())
+            offsets = pa.array(np.searchsorted(d[begin], np.arange(len(texts) + 1)), pa.int32())
+            columns = [
+                # copies, so the batch with its texts is let go
+                *piece.select([0, 1, 2]).take(pa.array(np.arange(len(texts)))).columns,
+                pa.array(n + 1, pa.int64()),
+                pa.array(met[at[1:]] - met[at[:-1]], pa.int64()),
+                pa.array(logs[at[1:]] - logs[at[:-1]]),
+                pa.ListArray.from_arrays(
+                    pa.array(np.arange(0, CLASSES * len(texts) + 1, CLASSES), pa.int32()), pa.array(by_class.ravel())
+                ),
+                pa.ListArray.from_arrays(offsets, pa.array(h[begin].view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+            ]
+            return _with_ends(classes, at), columns
+
+        for held in _gathered(batches, 3, made):
+            ended, edges = _joined([sequences for sequences, _ in held])
+            likelihood, done = log_likelihood(network, ended, edges) / math.log(10), 0
+            for _, columns in held:
+                rows = len(columns[0])
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        *piece.columns[:3],
-                        pa.array(n[part] + 1, pa.int64()),
-                        pa.array(met[at[1:][part]] - met[at[:-1][part]], pa.int64()),
-                        pa.array(logs[at[1:][part]] - logs[at[:-1][part]]),
-                        pa.array(likelihood[part]),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(0, CLASSES * piece.num_rows + 1, CLASSES), pa.int32()), pa.array(by_class[part].ravel())
-                        ),
-                        pa.ListArray.from_arrays(offsets, pa.array(h[begin[lo:hi]].view(np.int64))),
-                        pa.ListArray.from_arrays(offsets, pa.array(times[lo:hi], pa.int32())),
-                    ],
+                    [*columns[:6], pa.array(likelihood[done : done + rows]), *columns[6:]],
                     names=["row", "doc_id", "held_out", "n_tokens", "n_met", "logs", "network", "by_class", "words", "times"],
                 )
-                done += piece.num_rows
+                done += rows
 
     schema = (
         "row long, doc_id long, held_out boolean, n_tokens long, n_met long, logs double, network double, "
