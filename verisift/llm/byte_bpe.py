@@ -22,7 +22,9 @@ import base64
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -33,10 +35,16 @@ from verisift.llm.merge_order import MergeOrder, PrefixAutomaton
 #: Memory limits of one worker; reaching one empties that memory.
 MOST_WORDS = 300_000
 MOST_BYTES = 1 << 24
+#: The same for a codec, whose words leave in two turns, and for its pairs and steps.
+CODEC_WORDS = 100_000
+CODEC_BYTES = 1 << 23
+CODEC_PAIRS = 1 << 16
+CODEC_STEPS = 150_000
 #: Bytes read before the tokens shared by all open readings leave.
 LOOKAHEAD = 512
-#: Rows handled between two outputs, and tokens decoded at a time.
+#: Rows and, but for single long texts, bytes handled between two outputs; tokens decoded at a time.
 SLICE_ROWS = 256
+SLICE_BYTES = 1 << 20
 PIECE = 1 << 14
 
 
@@ -50,8 +58,8 @@ class Transducer:
             rank = ranks.get(self.text_of[a] + self.text_of[b])
             return None if rank is None else (rank, rank)
 
-        order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]])
-        self._machine = PrefixAutomaton(ranks, order)
+        order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]], CODEC_PAIRS)
+        self._machine = PrefixAutomaton(ranks, order, most=CODEC_STEPS)
         self._length = {rank: len(token) for token, rank in ranks.items()}
 
     def _back(self, ends: list[int], at: int, until: int) -> list[int]:
@@ -140,18 +148,24 @@ class Codec:
         ranks = read_ranks(path)
         self._machine = Transducer(ranks)
         self._find = regex.compile(pattern).findall
+        #: words met since the last turn, and those met in the turn before
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         self._held = 0
         self._bytes = self._machine.text_of
 
     def encode(self, text: str | None) -> bytes:
-        words, found = self._words, self._find(text or "")
-        if len(words) > MOST_WORDS or self._held > MOST_BYTES:
-            words.clear()
-            self._held = 0
+        found = self._find(text or "")
+        if len(self._words) > CODEC_WORDS // 2 or self._held > CODEC_BYTES // 2:
+            # words still in use come back from the turn before, the others go with it
+            self._older, self._words, self._held = self._words, {}, 0
+        words, older = self._words, self._older
         for word in set(found).difference(words):
-            ids = self._machine.encode(word.encode("utf-8"))
-            words[word] = struct.pack(f"<{len(ids)}I", *ids)
+            packed = older.get(word)
+            if packed is None:
+                ids = self._machine.encode(word.encode("utf-8"))
+                packed = struct.pack(f"<{len(ids)}I", *ids)
+            words[word] = packed
             self._held += len(word)
         return b"".join(map(words.__getitem__, found))
 
@@ -174,9 +188,15 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``SLICE_ROWS`` rows and ``SLICE_BYTES`` bytes of the last column."""
     for batch in batches:
-        for at in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(at, SLICE_ROWS)
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(sizes, dtype=np.int64), 0
+        while at < batch.num_rows:
+            most = SLICE_BYTES + (ends[at - 1] if at else 0)
+            rows = min(SLICE_ROWS, max(1, int(np.searchsorted(ends, most, side="right")) - at))
+            yield batch.slice(at, rows)
+            at += rows
 
 
 def _run(df: DataFrame, keep: list[str], make, added: list[tuple[str, T.DataType]], source: str) -> DataFrame:
@@ -229,3 +249,20 @@ def transcode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None =
 
     keep = docs.columns if keep is None else keep
     return _run(docs, keep, make, [("token_ids", T.BinaryType()), ("decoded", T.StringType())], "text")
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> DataFrame:
+    """``encode``, and ``round_trip``: whether the ids decode to the text (NULL: the empty text).
+
+    The decoded text is compared where it is made; neither text leaves the worker.
+    """
+
+    def make(texts: pa.Array) -> list[pa.Array]:
+        own, ids, same = codec(path, pattern), [], []
+        for text in texts:
+            text = text.as_py() or ""
+            ids.append(own.encode(text))
+            same.append(own.decode(ids[-1]) == text)
+        return [pa.array(ids, pa.binary()), pa.array(same, pa.bool_())]
+
+    return _run(docs, keep, make, [("token_ids", T.BinaryType()), ("round_trip", T.BooleanType())], "text")

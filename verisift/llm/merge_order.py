@@ -18,10 +18,11 @@ MOST_PAIRS = 1 << 19
 class MergeOrder:
     """``merge(a, b)`` gives (rank, token) or None; ``symbols(token)`` its single symbols."""
 
-    def __init__(self, merge: Callable, symbols: Callable[[int], Sequence[int]]):
-        self._merge, self._symbols = merge, symbols
+    def __init__(self, merge: Callable, symbols: Callable[[int], Sequence[int]], most: int = MOST_PAIRS):
+        self._merge, self._symbols, self._most = merge, symbols, most
         self._edges: dict[int, tuple[tuple, tuple] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        #: by both tokens packed in one number
+        self._pairs: dict[int, bool] = {}
 
     def edges(self, token: int) -> tuple[tuple, tuple] | None:
         """The pieces at the left and right end with the rank that ends each, or None if
@@ -49,7 +50,8 @@ class MergeOrder:
 
     def adjacent(self, a: int, b: int) -> bool:
         """Whether ``a`` followed by ``b`` can be part of an encoding; ``a`` < 0 is the start."""
-        known = self._pairs.get((a, b))
+        pair = (a + 1) << 20 | b
+        known = self._pairs.get(pair)
         if known is not None:
             return known
         own = self.edges(b)
@@ -64,9 +66,9 @@ class MergeOrder:
                         break
                 if not fine:
                     break
-        if len(self._pairs) >= MOST_PAIRS:
+        if len(self._pairs) >= self._most:
             self._pairs.clear()
-        self._pairs[a, b] = fine
+        self._pairs[pair] = fine
         return fine
 
 
