@@ -13,11 +13,8 @@ from verisift.llm import byte_bpe
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
-def test_codec_memories_turn_over(monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CODEC_WORDS", 40)
-    monkeypatch.setattr(byte_bpe, "CODEC_PAIRS", 30)
-    monkeypatch.setattr(byte_bpe, "CODEC_STEPS", 50)
-    own = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN)
+def test_codec_memories_turn_over():
+    own = byte_bpe.Codec(RANKS, public_tokenizers.PATTERN, byte_bpe.Limits(40, 1 << 23, 30, 50))
     library = tiktoken.Encoding(
         "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_bpe.read_ranks(RANKS), special_tokens={}
     )

@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,16 +31,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from verisift.llm.lets import require
-from verisift.llm.merge_order import MergeOrder, PrefixAutomaton
+from verisift.llm.merge_order import MOST_PAIRS, MergeOrder, PrefixAutomaton
 
 #: Memory limits of one worker; reaching one empties that memory.
 MOST_WORDS = 300_000
 MOST_BYTES = 1 << 24
-#: The same for a codec, whose words leave in two turns, and for its pairs and steps.
-CODEC_WORDS = 100_000
-CODEC_BYTES = 1 << 23
-CODEC_PAIRS = 1 << 16
-CODEC_STEPS = 150_000
+
+
+class Limits(NamedTuple):
+    """Memory limits of one codec: words, which leave in two turns, their bytes, pairs and steps."""
+
+    words: int = MOST_WORDS
+    size: int = MOST_BYTES
+    pairs: int = MOST_PAIRS
+    steps: int = 350_000
+
+
+#: For a worker beside an executor whose heap is in use; it takes more time.
+NARROW = Limits(100_000, 1 << 23, 1 << 16, 150_000)
 #: Bytes read before the tokens shared by all open readings leave.
 LOOKAHEAD = 512
 #: Rows and, but for single long texts, bytes handled between two outputs; tokens decoded at a time.
@@ -51,15 +60,15 @@ PIECE = 1 << 14
 class Transducer:
     """Bytes in, token ids out."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], limits: Limits = Limits()):
         self.text_of = {rank: token for token, rank in ranks.items()}
 
         def merge(a: int, b: int):
             rank = ranks.get(self.text_of[a] + self.text_of[b])
             return None if rank is None else (rank, rank)
 
-        order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]], CODEC_PAIRS)
-        self._machine = PrefixAutomaton(ranks, order, most=CODEC_STEPS)
+        order = MergeOrder(merge, lambda token: [ranks[bytes((c,))] for c in self.text_of[token]], limits.pairs)
+        self._machine = PrefixAutomaton(ranks, order, most=limits.steps)
         self._length = {rank: len(token) for token, rank in ranks.items()}
 
     def _back(self, ends: list[int], at: int, until: int) -> list[int]:
@@ -144,9 +153,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Texts to packed ids (little-endian unsigned 32 bit) and back."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, limits: Limits = Limits()):
         ranks = read_ranks(path)
-        self._machine = Transducer(ranks)
+        self._machine, self._limits = Transducer(ranks, limits), limits
         self._find = regex.compile(pattern).findall
         #: words met since the last turn, and those met in the turn before
         self._words: dict[str, bytes] = {}
@@ -156,7 +165,7 @@ class Codec:
 
     def encode(self, text: str | None) -> bytes:
         found = self._find(text or "")
-        if len(self._words) > CODEC_WORDS // 2 or self._held > CODEC_BYTES // 2:
+        if len(self._words) > self._limits.words // 2 or self._held > self._limits.size // 2:
             # words still in use come back from the turn before, the others go with it
             self._older, self._words, self._held = self._words, {}, 0
         words, older = self._words, self._older
@@ -176,15 +185,16 @@ class Codec:
         return "".join(out) + machine.feed(b"", last=True)
 
 
-_CODECS: dict[tuple[str, str], Codec] = {}
+_CODECS: dict[tuple[str, str, Limits], Codec] = {}
 
 
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, limits: Limits = Limits()) -> Codec:
     """One codec per worker process and vocabulary."""
-    if (path, pattern) not in _CODECS:
+    key = (path, pattern, limits)
+    if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[path, pattern] = Codec(path, pattern)
-    return _CODECS[path, pattern]
+        _CODECS[key] = Codec(*key)
+    return _CODECS[key]
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,11 +264,12 @@ def transcode(docs: DataFrame, path: str, pattern: str, keep: list[str] | None =
 def round_trip(docs: DataFrame, path: str, pattern: str, keep: list[str]) -> DataFrame:
     """``encode``, and ``round_trip``: whether the ids decode to the text (NULL: the empty text).
 
-    The decoded text is compared where it is made; neither text leaves the worker.
+    The decoded text is compared where it is made; neither text leaves the worker, which keeps
+    to the narrow limits.
     """
 
     def make(texts: pa.Array) -> list[pa.Array]:
-        own, ids, same = codec(path, pattern), [], []
+        own, ids, same = codec(path, pattern, NARROW), [], []
         for text in texts:
             text = text.as_py() or ""
             ids.append(own.encode(text))
