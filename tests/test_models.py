@@ -367,3 +367,51 @@ def test_features_to_published_scores(spark, layout):
     stored = boosting.BoostedTrees.load(spark, layout.gold("models/accrual_forecast/7"))
     again = accrual.score(stored, training, model_version="7").select("customer_id", "predicted_accrual")
     assert again.exceptAll(scores.select("customer_id", "predicted_accrual")).isEmpty() and stored.feature.shape == (2, 3)
+
+
+def test_folds_are_fitted_at_the_same_time_and_drawn_as_ever(spark):
+    import threading
+
+    from pyspark.ml import Estimator, Pipeline
+    from pyspark.ml.evaluation import Evaluator
+    from pyspark.ml.feature import SQLTransformer
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from verisift.models import training
+
+    together = threading.Barrier(4, timeout=60)
+
+    class Meeting(Estimator):
+        meets = True
+
+        def _fit(self, dataset):
+            if self.meets:
+                together.wait()
+            return SQLTransformer(statement="SELECT * FROM __THIS__")
+
+    class Total(Evaluator):
+        def _evaluate(self, dataset):
+            return float(dataset.agg(F.sum("id")).first()[0])
+
+    df = spark.range(0, 1000, 1, 3)
+    _, mean, deviation = training.fit([Meeting()], df, Total(), folds=3)
+    Meeting.meets = False
+    alone = CrossValidator(
+        estimator=Pipeline(stages=[Meeting()]), estimatorParamMaps=ParamGridBuilder().build(),
+        evaluator=Total(), numFolds=3, seed=training.SEED,
+    ).fit(training._stored(df))
+    assert (mean, deviation) == (pytest.approx(alone.avgMetrics[0]), pytest.approx(alone.stdMetrics[0]))
+
+
+def test_iterations_over_few_texts_take_few_tasks(spark, monkeypatch):
+    seen = []
+    fit = LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, d: (seen.append(d.rdd.getNumPartitions()), fit(self, d))[1])
+    texts = spark.range(0, 90, 1, 6).select(
+        F.when(F.col("id") % 2 == 0, "red blue").otherwise("green grey").alias("remittance_text"),
+        (F.col("id") % 2).cast("string").alias("deduction_type"),
+    )
+    deduction.train(texts, params={"max_iter": 2}, folds=1)
+    monkeypatch.setattr(deduction, "TASK_ROWS", 30)
+    deduction.train(texts, params={"max_iter": 2}, folds=1)
+    assert seen == [1, 3]
