@@ -415,3 +415,68 @@ def test_iterations_over_few_texts_take_few_tasks(spark, monkeypatch):
     monkeypatch.setattr(deduction, "TASK_ROWS", 30)
     deduction.train(texts, params={"max_iter": 2}, folds=1)
     assert seen == [1, 3]
+
+
+def test_forest_folds_equal_rows_and_ignores_partitions(spark, planted, monkeypatch, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from verisift.models import forest
+    from verisift.models.training import assembler
+
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(forest, "PARTITION_ROWS", 200)
+    df = planted.select(F.floor(10 * F.col("x")).alias("x"), "y", F.col("is_returned").cast("double").alias("label"))
+    df = df.union(df.limit(500)).withColumn("weight", 1 + F.col("label")).cache()
+    vectors = assembler(["x", "y"]).transform(df)
+    size = {"numTrees": 20, "maxDepth": 4, "minInstancesPerNode": 5, "seed": 7}
+    shape = {"featuresCol": "_features", "weightCol": "weight"}
+    model = forest.Forest(**size, **shape).fit(vectors)
+    again = forest.Forest(**size, **shape).fit(vectors.repartition(7))
+    assert [model.getOrDefault(p) for p in ("feature", "cut", "leaf")] == [again.getOrDefault(p) for p in ("feature", "cut", "leaf")]
+    # as good as MLlib's forest, and sure of the same rows
+    theirs = RandomForestClassifier(**size, **shape).fit(vectors).copy()
+    right = [m.transform(vectors).where("prediction = label").count() / df.count() for m in (model, theirs)]
+    assert right[0] > 0.9 and right[0] > right[1] - 0.03
+    PipelineModel([model]).write().overwrite().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m")).transform(vectors)
+    assert loaded.exceptAll(model.transform(vectors)).isEmpty()
+    with pytest.raises(Exception, match="labels must not be NULL"):
+        forest.Forest(**size, **shape).fit(vectors.withColumn("label", F.lit(None).cast("double")))
+
+
+def test_forest_draws_and_cuts():
+    from verisift.models import forest
+
+    count = np.array([1] * 200_000 + [40] * 2000)
+    drawn = forest._drawn(np.random.default_rng(1), count, 1.0)
+    assert drawn[:200_000].mean() == pytest.approx(1, abs=0.02) and drawn[:200_000].var() == pytest.approx(1, abs=0.03)
+    assert drawn[200_000:].mean() == pytest.approx(40, abs=1)
+    rng = np.random.default_rng(2)
+    bins, label = rng.integers(1, 6, (3, 400)).astype(np.uint8), rng.random(400) < 0.4
+    for weight in (np.where(label, 2.0, 0.5), rng.integers(1, 9, 400) / 4):
+        block = (0, bins, label, weight, np.ones(400, np.int64))
+        found = (np.array([1]), np.array([2]), np.array([True, False]))
+        picks = np.array([[0, 2], [1, 2]])
+        sums = forest._sums(block, 3, 1, picks, found, 7, 9, 1.0)
+        drawn = forest._drawn(np.random.default_rng([9, 3, 0, 2]), block[4], 1.0)
+        hand = np.zeros_like(sums)
+        for i in np.flatnonzero(bins[1] <= 2):
+            for k, f in enumerate(picks[0]):
+                hand[:, 0, k, bins[f, i], int(label[i])] += drawn[i], drawn[i] * weight[i]
+        assert np.allclose(sums, hand)
+        feature, cut, share, sides = forest._best(sums, picks, 5, 0.0)
+        n, w = hand[0, 0], hand[1, 0]
+
+        def loss(part):
+            return part.sum() - (part**2).sum() / part.sum() if part.sum() else 0.0
+
+        gains = {
+            (k, c): (loss(w[k].sum(0)) - loss(w[k, : c + 1].sum(0)) - loss(w[k, c + 1 :].sum(0)))
+            for k in range(2) for c in range(7)
+            if n[k, : c + 1].sum() >= 5 and n[k, c + 1 :].sum() >= 5
+        }
+        k, c = max(gains, key=gains.get)
+        assert (feature[0], cut[0], feature[1]) == (picks[0, k], c, -1)
+        assert share[0] == pytest.approx(w[0, :, 1].sum() / w[0].sum())
+        assert sides[0, 0] == pytest.approx(w[k, : c + 1, 1].sum() / w[k, : c + 1].sum())

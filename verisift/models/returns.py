@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from verisift.functions.audit import stamp_audit
+from verisift.models.forest import Forest
 from verisift.models.metrics import auc
 from verisift.models.training import (
     FOLDS,
@@ -37,17 +37,6 @@ class Auc(Evaluator):
         return auc(scored, "_label", "_score").first()["auc_roc"]
 
 
-class LeanForest(RandomForestClassifier):
-    """A forest whose model does not carry its training summary.
-
-    The summary refers to the training frame and its session, which would then be
-    shipped with every prediction task.
-    """
-
-    def _fit(self, dataset: DataFrame):
-        return super()._fit(dataset).copy()
-
-
 def train(
     df: DataFrame,
     feature_cols: Sequence[str],
@@ -71,12 +60,11 @@ def train(
     balance = F.when(F.col("_label") == 1.0, sizes["rows"] / (2.0 * sizes["returned"])).otherwise(
         sizes["rows"] / (2.0 * kept)
     )
-    forest = LeanForest(
+    forest = Forest(
         featuresCol="_features",
         labelCol="_label",
         predictionCol="_prediction",
         probabilityCol="_probability",
-        rawPredictionCol="_raw",
         weightCol=WEIGHT,
         seed=SEED,
         **{**DEFAULTS, **(params or {})},
@@ -100,7 +88,7 @@ def score(
         model.transform(df)
         .withColumn("return_probability", vector_to_array("_probability")[1])
         .withColumn("predicted_return", F.col("_prediction").cast("int"))
-        .drop("_features", "_probability", "_raw", "_prediction")
+        .drop("_features", "_probability", "_prediction")
     )
     return stamp_audit(
         scored,
