@@ -480,3 +480,20 @@ def test_forest_draws_and_cuts():
         assert (feature[0], cut[0], feature[1]) == (picks[0, k], c, -1)
         assert share[0] == pytest.approx(w[0, :, 1].sum() / w[0].sum())
         assert sides[0, 0] == pytest.approx(w[k, : c + 1, 1].sum() / w[k, : c + 1].sum())
+
+
+def test_only_features_of_attributes_look_them_up(spark, layout, monkeypatch):
+    from verisift.plans import jobs
+
+    asked = []
+    enrich = jobs.enrich
+    monkeypatch.setattr(jobs, "enrich", lambda tx, **lookups: (asked.append({k for k, v in lookups.items() if v is not None}), enrich(tx, **lookups))[1])
+    rows = [("c1", "p1", "2024-01-01", 2.0, "s1"), ("c1", "p2", "2024-01-05", 3.0, "s1"), ("c2", None, "2024-02-01", 1.0, "s2")]
+    tx = spark.createDataFrame(rows, "customer_id string, product_id string, transaction_date string, gross_amount double, distributor_id string")
+    tx = tx.withColumn("transaction_date", F.to_date("transaction_date"))
+    products = spark.createDataFrame([("p1", "a"), ("p2", "b"), ("p2", "c")], "product_id string, product_category string")
+    customers = spark.createDataFrame([("c1", "x")], "customer_id string, customer_segment string")
+    written = jobs.feature_job({"transaction": tx, "product": products, "customer": customers}, layout)
+    assert len(written) == 6 and sorted(map(len, asked)) == [0, 0, 0, 0, 1, 1] and {"products"} in asked
+    found = jobs.read_feature_table(spark, layout, "customer_behavior", "mix_entropy").orderBy("customer_id").collect()
+    assert [r[1] for r in found] == [1.0, 0.0]

@@ -75,13 +75,15 @@ class FeatureJob:
     inputs: tuple[str, ...]
     compute: Callable[..., DataFrame]
     dated: bool = False
+    #: Attributes that it reads of the product or customer of a transaction.
+    attributes: tuple[str, ...] = ()
 
 
 # Every table-valued feature by domain; inputs name the canonical entities it reads.
 FEATURE_JOBS = (
     FeatureJob("customer_behavior", "purchase_velocity", ("transaction",), customer.purchase_velocity),
     FeatureJob("customer_behavior", "ordering_regularity", ("transaction",), customer.ordering_regularity),
-    FeatureJob("customer_behavior", "mix_entropy", ("transaction",), customer.mix_entropy),
+    FeatureJob("customer_behavior", "mix_entropy", ("transaction",), customer.mix_entropy, attributes=("product_category",)),
     FeatureJob("customer_behavior", "loyalty_index", ("transaction",), customer.loyalty_index),
     FeatureJob("contract_complexity", "contract_features", ("contract",), contract.contract_complexity, dated=True),
     FeatureJob("contract_complexity", "days_to_expiration", ("contract",), contract.days_to_expiration, dated=True),
@@ -91,7 +93,7 @@ FEATURE_JOBS = (
     FeatureJob("rebate_dynamics", "over_under_payment", ("rebate_accrual",), rebate.over_under_payment),
     FeatureJob("rebate_dynamics", "rebate_velocity", ("rebate_accrual",), rebate.rebate_velocity),
     FeatureJob("rebate_dynamics", "distributor_errors", ("chargeback",), rebate.distributor_errors),
-    FeatureJob("seasonal_market", "seasonal_index", ("transaction",), seasonal.seasonal_indices),
+    FeatureJob("seasonal_market", "seasonal_index", ("transaction",), seasonal.seasonal_indices, attributes=("product_category",)),
     FeatureJob("seasonal_market", "yoy_growth", ("transaction",), seasonal.yoy_growth),
 )
 
@@ -105,22 +107,21 @@ def feature_job(
 ) -> dict[str, int]:
     """Compute and write the features of a domain (or all) and return their new versions.
 
-    Transactions take their category and segment from the entities ``product`` and
-    ``customer`` where these are given. ``as_of`` is the day of the dated features, today
+    Where a feature reads the category or segment of transactions, these come from the entities
+    ``product`` and ``customer`` if these are given. ``as_of`` is the day of the dated features, today
     unless given; a repeated run with the same day writes the same rows.
     """
-    if "transaction" in entities:
-        sales = enrich(
-            entities["transaction"],
-            products=entities.get("product"),
-            customers=entities.get("customer"),
-        )
-        entities = {**entities, "transaction": sales}
+    looked_up = {"product_category": "product", "customer_segment": "customer"}
     written = {}
     for job in FEATURE_JOBS:
         if domain in (None, job.domain) and all(name in entities for name in job.inputs):
             day = {"as_of": as_of} if job.dated else {}
-            features = job.compute(*[entities[name] for name in job.inputs], **day)
+            inputs = {name: entities[name] for name in job.inputs}
+            if "transaction" in inputs:
+                # an attribute changes no rows, so only the features that read it look it up
+                lookups = {f"{looked_up[a]}s": entities.get(looked_up[a]) for a in job.attributes}
+                inputs["transaction"] = enrich(inputs["transaction"], **lookups)
+            features = job.compute(*inputs.values(), **day)
             written[f"{job.domain}/{job.name}"] = write_feature_table(
                 features, layout, job.domain, job.name
             )
