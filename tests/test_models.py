@@ -445,6 +445,19 @@ def test_forest_folds_equal_rows_and_ignores_partitions(spark, planted, monkeypa
         forest.Forest(**size, **shape).fit(vectors.withColumn("label", F.lit(None).cast("double")))
 
 
+def test_forest_of_many_bins_and_of_no_splits(spark):
+    from verisift.models import forest
+    from verisift.models.training import assembler
+
+    df = spark.range(600).select(F.col("id").cast("double").alias("x"), (F.col("id") >= 450).cast("double").alias("label"))
+    vectors = assembler(["x"]).transform(df)
+    model = forest.Forest(featuresCol="_features", numTrees=5, maxBins=500, maxDepth=2).fit(vectors)
+    assert model.transform(vectors).where("prediction = label").count() >= 595
+    flat = forest.Forest(featuresCol="_features", numTrees=5, maxDepth=0).fit(vectors).transform(vectors)
+    shares = [r[0][1] for r in flat.select("probability").distinct().collect()]
+    assert len(shares) == 1 and shares[0] == pytest.approx(0.25, abs=0.05)
+
+
 def test_forest_draws_and_cuts():
     from verisift.models import forest
 

@@ -182,10 +182,12 @@ class Forest(Estimator, _Columns, HasWeightCol, HasSeed):
 def _blocks(rows: DataFrame, edges: list[np.ndarray], grid: float) -> RDD:
     """Blocks (number, bins by feature, class, weight, count) of rows folded by equal values."""
 
+    kind = np.uint8 if max(map(len, edges)) < 255 else np.uint16
+
     @F.pandas_udf("binary")
     def binned(x: pd.Series) -> pd.Series:
         values = np.stack(x.to_numpy()) if len(x) else np.zeros((0, len(edges)))
-        found = np.array([np.searchsorted(e, c, side="left") + 1 for c, e in zip(values.T, edges)], np.uint8)
+        found = np.array([np.searchsorted(e, c, side="left") + 1 for c, e in zip(values.T, edges)], kind)
         return pd.Series([row.tobytes() for row in np.ascontiguousarray(found.T)])
 
     weight = F.rint(F.col("weight") * grid) / grid
@@ -200,7 +202,7 @@ def _blocks(rows: DataFrame, edges: list[np.ndarray], grid: float) -> RDD:
         return pd.DataFrame(packed | {c: [a.tobytes()] for c, a in zip(("label", "weight", "n"), arrays)})
 
     def unpack(row) -> Block:
-        bins = np.frombuffer(row["bins"], np.uint8).reshape(-1, len(edges)).T.copy()
+        bins = np.frombuffer(row["bins"], kind).reshape(-1, len(edges)).T.copy()
         return row["block"], bins, np.frombuffer(row["label"], bool), np.frombuffer(row["weight"]), np.frombuffer(row["n"], np.int64)
 
     block = F.pmod(F.xxhash64("bins", "label", "weight"), F.lit(-(-n // BLOCK_ROWS)))
