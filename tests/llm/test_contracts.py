@@ -268,6 +268,32 @@ def test_line_dedup_of_shared_and_missing_ids(spark):
     assert decided == Counter([*lost, (4, 0)])
 
 
+def test_line_dedup_names_few_rows(spark, monkeypatch):
+    """Lines that share frequent words but do not resemble each other share few tokens; every similar pair is found,
+    also where texts are looked up by a shuffle and large groups take several rounds."""
+    rng = np.random.default_rng(12)
+    frequent, rare = [f"frequent{x}" for x in range(12)], [f"r{x}" for x in range(5000)]
+    lines = [" ".join([*rng.permutation(frequent)[:8], *rng.choice(rare, 12)]) for _ in range(150)]
+    near = lines[0].split(" ")
+    lines += [" ".join([*near[:i], f"x{i}", *near[i + 1 :]]) for i in range(20)] + [lines[3], lines[3] + " more"]
+    docs = spark.createDataFrame([(i // 5, line + "\n") for i, line in enumerate(lines)], "doc_id long, text string").repartition(3).cache()
+    for name, value in (("MOST_BROADCAST", 0), ("TOGETHER", 1), ("GROWTH", 2)):
+        monkeypatch.setattr(line_dedup, name, value)
+    firsts = line_dedup.first_lines(docs)
+    assert firsts.agg(F.max(F.size("tokens"))).first()[0] <= 9
+    shared = line_dedup._members(line_dedup._saved(firsts, "test-firsts"))
+    assert set(shared.columns) == {"token", "id", "n", "bits", "m"}  # no keys of 24 bytes for each token
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("a"), F.hash("text").alias("b")).distinct().collect()
+    wanted, seen = {}, []
+    for r in sorted(keyed, key=lambda r: (r.doc_id, r.a, r.b)):
+        own = set(words(r.text))
+        wanted[r.doc_id, r.text] = any(9 * len(own & s) >= 4 * (len(own) + len(s)) for s in seen)
+        seen.append(own)
+    assert 20 <= sum(wanted.values()) < 30
+    got = line_dedup.remove_lines(docs.withColumn("was", F.col("text"))).collect()
+    assert len(got) == len(lines) and all((r.text == "") == wanted[r.doc_id, r.was] for r in got)
+
+
 def test_lang_id_on_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("held", lang_id.fold("doc_id", 5) == 0)
     idf, fitted = lang_id.train(docs.filter("NOT held").select("doc_id", "text", "lang"))

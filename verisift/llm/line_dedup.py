@@ -1,17 +1,17 @@
 """Near-equal lines by an exact set-similarity join, with DataFrame functions only.
 
-A line is the set of its words. Words are ordered by rarity: a histogram of 2**20 word
-buckets over the whole corpus, on a logarithmic scale, then the word's hash. For two sets
-with a Jaccard similarity of 0.8, the first ``n / 9 + 1`` words of the smaller and the first
-``n / 5 + 1`` of the larger share one (prefix filter); sizes differ by a fifth at most (length
-filter); the places of the shared word bound what can follow (positional filter); and 128
-parity bits bound how many words differ. What remains is verified on the whole sets.
+A line is the set of its words, in an order that needs no counting: longest first, as long
+words tend to be rare, then by hash. Tokens are pairs of words that follow each other in that
+order. A word more or less undoes two tokens at most, or one and adds two, so of two sets with
+a Jaccard similarity of 0.8 one of the first ``2 * n / 5 + 1`` tokens of each is shared
+(prefix filter); sizes differ by a fifth at most (length filter); and 64 parity bits bound how
+many words differ. What remains is verified on the whole sets.
 
 A line goes if an earlier line, by ``doc_id``, print of the text and line number, is equal or
 similar enough. The 96-bit print tells rows apart that share a ``doc_id`` or have none.
 Equal sets fold to their first line. One earlier match settles a line, so no pairs are listed
-within a large group: sets under a word that few sets share are all compared; under other
-words, some of the most copied and earliest sets are compared with the open lines, and the
+within a large group: sets under a token that few sets share are all compared; under other
+tokens, some of the most copied and earliest sets are compared with the open lines, and the
 next round, over lines still open, compares sixteen times as many.
 
 Edge cases: NULL texts and lines without words match nothing and stay; a NULL ``doc_id``
@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from verisift.llm.lets import free_name, let, require, words_of
 from verisift.session import scratch_path
 
-BUCKETS = 1 << 20
-ROW = 1 << 10
-#: Sets under a word that are all compared for each one picked, and how the picks grow by round.
-TOGETHER, GROWTH = 8, 16
-#: Documents to verify are looked up by broadcast up to this number, by a shuffle beyond it.
+#: Characters that are no words.
+BLANK = " \t\n\x0b\x0c\r"
+#: Sets under a token that are all compared for each one picked, and how the picks grow by round.
+TOGETHER, GROWTH = 32, 16
+#: Lines to verify are looked up by broadcast up to this number, by a shuffle of their texts beyond it.
 MOST_BROADCAST = 1_000_000
 #: What names a document, and a line.
 DOC = ["doc", "text_a", "text_b"]
@@ -52,168 +52,167 @@ def _doc_key() -> dict[str, Column]:
     return {"doc": doc, "text_a": F.xxhash64("text"), "text_b": F.hash("text")}
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """The key and the distinct word hashes of every line that has words."""
-    require(docs, "doc_id", "text")
-    # keys come before the lines, so a text is hashed once
-    keyed = docs.select(*[value.alias(c) for c, value in _doc_key().items()], "text")
-    lines = keyed.select(*DOC, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
-    hashed = lines.select(*LINE, F.array_distinct(F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))).alias("words"))
-    return hashed.filter(F.size("words") > 0)
+def _has_words(line: Column) -> Column:
+    return F.length(F.btrim(line, F.lit(BLANK))) > 0
 
 
-def rarity(docs: DataFrame) -> DataFrame:
-    """One row: a letter of 1 to 127 per word bucket, higher for more frequent ones; fixed size."""
-    buckets = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w).bitwiseAND(F.lit(BUCKETS - 1)).cast("int"))
-    seen = docs.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    unseen = docs.sparkSession.range(0, BUCKETS, 1, 8).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("long").alias("n"))
-    counts = seen.union(unseen).groupBy("b").agg(F.sum("n").alias("n"))
-    letter = (1 + F.least(F.lit(126), F.floor(3 * F.log2(F.greatest("n", F.lit(1)))))).cast("tinyint")
+def _lines(keyed: DataFrame) -> DataFrame:
+    """The key and the text of every line that has words, of texts with their keys."""
+    lines = keyed.select(*DOC, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("pos", "line"))
+    # the test reads the line, so words are not cut a second time for it
+    return lines.filter(_has_words(F.col("line")))
 
-    def row_of(df: DataFrame, key: Column, at: str, part: Column) -> DataFrame:
-        parts = F.sort_array(F.collect_list(F.struct(F.col(at), part.alias("part"))))
-        return df.groupBy(key.alias("row")).agg(F.transform(parts, lambda p: p["part"]).alias("letters"))
 
-    rows = row_of(counts, F.floor(F.col("b") / ROW).cast("int"), "b", letter)
-    return _saved(row_of(rows, F.lit(0), "row", F.col("letters")).select(F.flatten("letters").alias("letters")), "line-rarity")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Texts with their keys; keys come before the lines, so a text is hashed once."""
+    require(docs, "doc_id", "text")
+    return docs.select(*[value.alias(c) for c, value in _doc_key().items()], "text")
 
 
-def _sets(lines: DataFrame, letters: DataFrame) -> DataFrame:
-    """The line's key and its word numbers in order of rarity: the letter of the word's
-    bucket above 56 bits of its hash."""
-    table = free_name(lines, "letters")
+def _sets(lines: DataFrame) -> DataFrame:
+    """The line's key and its distinct word numbers in order: 56 bits of the word's hash, less
+    its length in bytes above them, so longer words come first."""
 
     def number(w: Column) -> Column:
-        letter = F.get(table, w.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")).cast("long")
-        return F.shiftleft(letter, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
+        size = F.least(F.octet_length(w), F.lit(127)).cast("long")
+        return F.shiftrightunsigned(F.xxhash64(w), 8) - F.shiftleft(size, 56)
 
-    held = lines.withColumn(table, letters.scalar())
-    return held.select(*LINE, F.sort_array(F.transform("words", number)).alias("set"))
+    return lines.select(*LINE, F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), number))).alias("set"))
 
 
-def _parity(words: Column, half: int) -> Column:
-    """64 of 128 bits, each the parity of the words that fall on it: two sets differ in at
-    least as many words as these differ in bits."""
-    mine = F.filter(words, lambda w: w.bitwiseAND(F.lit(64)) == 64 * half)
+def _parity(words: Column) -> Column:
+    """64 bits, each the parity of the words that fall on it: two sets differ in at least as
+    many words as these differ in bits."""
     return F.aggregate(
-        mine,
+        words,
         F.lit(0).cast("long"),
         lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
     )
 
 
-def first_lines(docs: DataFrame, letters: DataFrame) -> DataFrame:
-    """One row per distinct set: its first line, copies, size, parity bits and prefix.
+def first_lines(docs: DataFrame) -> DataFrame:
+    """One row per distinct set: its first line, copies, size, parity bits and tokens.
 
-    Prefix words are 32-bit hashes: words that share one add candidates, never matches.
+    Tokens are 32-bit hashes: pairs that share one add candidates, never matches.
     """
-    keyed = _sets(_lines(docs), letters).select(
+    count = F.expr("least(int(2 * size(set) div 5) + 1, size(set) - 1)")
+    keyed = _sets(_lines(_keyed(docs))).select(
         F.xxhash64("set").alias("set_a"),
         F.hash("set").alias("set_b"),
         F.size("set").alias("n"),
         F.struct(
             *LINE,
-            _parity(F.col("set"), 0).alias("bits_a"),
-            _parity(F.col("set"), 1).alias("bits_b"),
-            F.transform(F.slice("set", F.lit(1), F.expr("int(size(set) div 5) + 1")), lambda w: F.hash(w)).alias("prefix"),
+            _parity(F.col("set")).alias("bits"),
+            F.zip_with(F.slice("set", F.lit(1), count), F.slice("set", F.lit(2), count), lambda v, w: F.hash(v, w)).alias("tokens"),
         ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
-        *[f"line.{c}" for c in LINE], "n", "copies", "line.bits_a", "line.bits_b", "line.prefix"
+        F.monotonically_increasing_id().alias("id"), *[f"line.{c}" for c in LINE], "n", "copies", "line.bits", "line.tokens"
     )
 
 
 def _members(firsts: DataFrame) -> DataFrame:
-    """Prefix words that could pair two sets, with the sets that hold them and their number."""
-    postings = firsts.select(*LINE, "n", "copies", "bits_a", "bits_b", F.posexplode("prefix").alias("at", "word"))
-    words = firsts.select("n", F.posexplode("prefix").alias("at", "word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.expr("at > n div 9")).alias("late")
-    )
-    return postings.join(words.filter("m > 1 AND NOT late").drop("late"), "word")
+    """Tokens of more than one set, with the sets that hold them and their number."""
+    sets = firsts.select("id", "n", "bits", F.explode("tokens").alias("token"))
+    shared = firsts.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    return sets.join(shared.hint("shuffle_hash"), "token")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, letters: DataFrame) -> DataFrame:
-    """The key and the whole set of the wanted lines."""
-    ids = wanted.select("doc").distinct()
-    keyed = docs.select("doc_id", "text").withColumns(_doc_key())
-    if ids.count() <= MOST_BROADCAST:
-        held = keyed.join(F.broadcast(ids), "doc", "left_semi")
+def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The key and the whole set of the wanted lines, and of others by the same id."""
+    places, keyed = wanted.select("doc", "pos").distinct(), _keyed(docs)
+    if wanted.count() <= MOST_BROADCAST:
+        lines = _lines(keyed).join(F.broadcast(places), ["doc", "pos"], "left_semi")
     else:  # dealt with the prints, so rows without an id do not meet in one task
-        held = keyed.join(wanted.select(*DOC).distinct(), DOC, "left_semi")
-    lines = _lines(held.select("doc_id", "text")).join(wanted, LINE, "left_semi")
-    return _sets(lines, letters).dropDuplicates(LINE)
+        held = keyed.join(wanted.groupBy(*DOC).agg(F.collect_set("pos").alias("wanted")), DOC)
+        lines = held.select(*DOC, "wanted", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter("array_contains(wanted, pos)")
+    return _sets(lines).dropDuplicates(LINE)
 
 
 def _possible(a: str, b: str) -> Column:
-    """Length, positional and parity filters for two postings of one word.
+    """Length and parity filters for two sets.
 
     Sets with a similarity of 0.8 differ in at most a ninth of their sizes together.
     """
-    na, nb, ia, ib = (F.col(f"{s}.{c}") for c in ("n", "at") for s in (a, b))
-    most = F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)
-    apart = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in ("bits_a", "bits_b")), F.lit(0))
-    sizes = 5 * F.least(na, nb) >= 4 * F.greatest(na, nb)
-    prefixes = 9 * F.least(F.struct(na, ia), F.struct(nb, ib))["at"] <= F.least(na, nb)
-    return sizes & prefixes & (9 * most >= 4 * (na + nb)) & (9 * apart <= na + nb)
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
+    return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * apart <= na + nb)
+
+
+def _few_pairs(few: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Lines with the earlier ones that share a token with them and pass every filter."""
+    hub = [f"hub_{c}" for c in LINE]
+    x, y = few.alias("x"), few.alias("y")
+    pairs = x.join(y, "token").filter((F.col("x.id") < F.col("y.id")) & _possible("x", "y"))
+    pairs = pairs.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
+    named = firsts.select("id", *LINE)
+    both = pairs.join(named, "id").join(named.toDF("other", *hub), "other")
+    one, two = F.struct(*LINE), F.struct(*[F.col(h).alias(c) for h, c in zip(hub, LINE, strict=True)])
+    ends = both.select(F.greatest(one, two).alias("x"), F.least(one, two).alias("h"))
+    return ends.select("x.*", *[F.col(f"h.{c}").alias(f"hub_{c}") for c in LINE])
 
 
 def _hubs(members: DataFrame, each: int) -> DataFrame:
-    """Of the sets under each word, the first of each of ``each`` parts."""
-    columns = [*LINE, "n", "at", "bits_a", "bits_b"]
+    """Of the sets under each token, the first of each of ``each`` parts."""
+    columns = [*LINE, "n", "bits"]
     # most copied sets first, earlier ones before later; the complement has no overflow
     order = F.struct("copies", *[F.bitwise_not(F.col(c)).alias(f"minus_{c}") for c in LINE], *columns)
-    # one part needs no exchange beyond that of the words
+    # one part needs no exchange beyond that of the tokens
     part = [F.pmod(F.xxhash64(*LINE), F.lit(each)).alias("part")] if each > 1 else []
-    return members.groupBy("word", *part).agg(F.max(order).alias("h")).select("word", *[f"h.{c}" for c in columns])
+    return members.groupBy("token", *part).agg(F.max(order).alias("h")).select("token", *[f"h.{c}" for c in columns])
 
 
 def _candidates(still: DataFrame, hubs: DataFrame) -> DataFrame:
     """Lines still open with the earlier sets, of those to compare, that pass every filter."""
     return (
         still.alias("x")
-        .join(hubs.alias("h"), "word")
+        .join(hubs.alias("h"), "token")
         .filter((F.struct(*[f"h.{c}" for c in LINE]) < F.struct(*[f"x.{c}" for c in LINE])) & _possible("x", "h"))
         .select(*[f"x.{c}" for c in LINE], *[F.col(f"h.{c}").alias(f"hub_{c}") for c in LINE])
     )
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, letters: DataFrame) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The keys of the later lines of the pairs that are similar, by their whole sets."""
     hub = [f"hub_{c}" for c in LINE]
     ends = pairs.select(*LINE).union(pairs.select(*hub)).distinct()
-    sets = _saved(_whole_sets(docs, ends, letters), "line-sets")
+    sets = _saved(_whole_sets(docs, ends), "line-sets")
     hubs = sets.toDF(*hub, "hub_set")
     both = pairs.join(sets, LINE).join(hubs, hub)
     shared = F.size(F.array_intersect("set", "hub_set"))
     return both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select(*LINE).distinct()
 
 
-def near_removed(docs: DataFrame, firsts: DataFrame, letters: DataFrame) -> DataFrame:
+def near_removed(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The keys of the first lines of sets that are similar to an earlier set."""
-    members, gone, each = _members(firsts), None, 1
+    shared = _saved(_members(firsts), "line-members")
+    found = _few_pairs(shared.filter(F.col("m") <= TOGETHER), firsts)
+    held = firsts.select("id", *LINE, "copies")
+    members = _saved(shared.filter(F.col("m") > TOGETHER).join(held, "id").drop("id"), "line-members")
+    found, gone, each = found.union(_candidates(members, _hubs(members, 1))), None, 1
     while True:
-        still = members if gone is None else members.join(gone, LINE, "left_anti")
-        few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
-        found = _candidates(still.filter(few), members.filter(few)).union(
-            _candidates(still.filter(many), _hubs(members.filter(many), each))
-        )
+        # each round reads the texts again for its whole sets, so few rounds
         pairs = _saved(found.distinct(), "line-pairs")
         if not pairs.isEmpty():
-            settled = _saved(_verified(docs, pairs, letters), "line-settled")
+            settled = _saved(_verified(docs, pairs), "line-settled")
             gone = settled if gone is None else gone.union(settled)
-        # words whose sets were all compared are done
-        members = _saved(members.filter(many), "line-members")
+        # tokens whose sets were all compared are done
+        members = _saved(members.filter(F.col("m") > TOGETHER * each), "line-members")
         if members.isEmpty():
             break
         each *= GROWTH
+        still = members if gone is None else members.join(gone, LINE, "left_anti")
+        few, many = F.col("m") <= TOGETHER * each, F.col("m") > TOGETHER * each
+        found = _candidates(still.filter(few), members.filter(few)).union(
+            _candidates(still.filter(many), _hubs(members.filter(many), each))
+        )
     return gone if gone is not None else firsts.select(*LINE).limit(0)
 
 
 def kept_lines(docs: DataFrame) -> DataFrame:
     """A document's key and ``kept``, the numbers of the lines with words that it keeps."""
-    letters = rarity(docs)
-    firsts = _saved(first_lines(docs, letters), "line-firsts")
-    gone = near_removed(docs, firsts, letters)
+    firsts = _saved(first_lines(docs), "line-firsts")
+    gone = near_removed(docs, firsts)
     return firsts.select(*LINE).join(gone, LINE, "left_anti").groupBy(*DOC).agg(
         F.sort_array(F.collect_set("pos")).alias("kept")
     )
@@ -224,7 +223,7 @@ def decisions(docs: DataFrame) -> DataFrame:
     worded = let(
         F.split(F.coalesce("text", F.lit("")), "\n"),
         lambda lines: F.filter(
-            F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.btrim(F.get(lines, i), F.lit(" \t\n\x0b\x0c\r"))) > 0
+            F.sequence(F.lit(0), F.size(lines) - 1), lambda i: _has_words(F.get(lines, i))
         ),
     )
     numbered = docs.select("doc_id", *[value.alias(c) for c, value in _doc_key().items()], worded.alias("lines"))
@@ -245,7 +244,7 @@ def remove_lines(docs: DataFrame) -> DataFrame:
     met = docs.withColumns({key[c]: value for c, value in _doc_key().items()}).join(held, list(key.values()), "left")
     lines = F.filter(
         F.split("text", "\n"),
-        lambda line, i: (F.length(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))) == 0)
+        lambda line, i: ~_has_words(line)
         | F.coalesce(F.array_contains(kept, i), F.lit(False)),
     )
     text = F.array_join(lines, "\n")
