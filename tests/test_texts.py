@@ -81,3 +81,12 @@ def test_no_texts(spark):
     found = texts.with_text_duplicates(df, "id", "body")
     assert found.where("feat_text_duplicate OR feat_text_copies > 0 OR feat_similar_to IS NOT NULL").isEmpty() and found.count() == 2
     assert texts.with_text_duplicates(df.limit(0), "id", "body").isEmpty()
+
+
+def test_dropped_texts_are_not_moved_for_the_last_join(spark):
+    df = spark.createDataFrame([(i, f"one two three four five six {i % 3}") for i in range(9)], "id long, text string")
+    found = texts.with_text_duplicates(df, "id", "text").select("id", "feat_text_copies")
+    assert {r.id: r.feat_text_copies for r in found.collect()} == {i: 2 for i in range(9)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line]
+    assert joins and not any("xxhash64(" in line for line in joins)

@@ -97,10 +97,11 @@ def _described(records: DataFrame, whole: bool) -> DataFrame:
 
 def _members(classes: DataFrame) -> DataFrame:
     """Buckets of two sets and more: bucket, m (its sets), and each set's order and size."""
-    each = classes.select(*_CLASS, F.posexplode("list").alias("band", "key")).select(*_CLASS, F.xxhash64("band", "key").alias("bucket"))
+    # a set goes by its number here; what else is known of it joins those that share a bucket
+    each = classes.select("id", F.posexplode("list").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
     sizes = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     shared = each.join(sizes, "bucket")
-    return _saved(shared.join(classes.select(*_ORDER, "n"), _CLASS).select("bucket", "m", *_ORDER, "n"), "text-members")
+    return _saved(shared.join(classes.select("id", *_ORDER, "n"), "id").select("bucket", "m", *_ORDER, "n"), "text-members")
 
 
 def _candidates(open_sets: DataFrame, hubs: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def with_text_duplicates(df: DataFrame, id_column: str, text_column: str) -> Dat
     named = _saved(_described(records, False), "text-named")
     least = F.min(F.struct("id", "n", "list")).alias("least")
     folded = named.groupBy(*_CLASS).agg(least, F.count(F.lit(1)).alias("copies"))
-    classes = _saved(folded.select(*_CLASS, F.col("least.id").alias("first"), "least.n", "least.list", "copies"), "text-classes")
+    classes = _saved(folded.select(F.monotonically_increasing_id().alias("id"), *_CLASS, F.col("least.id").alias("first"), "least.n", "least.list", "copies"), "text-classes")
     like = classes.select(*_ORDER, "copies").join(_settled(classes, known), _CLASS, "left")
     # equal texts under one id have one row here
     found = named.select("id", "text_a", "text_b", *_CLASS).distinct().join(like, _CLASS).select(
@@ -187,8 +188,10 @@ def with_text_duplicates(df: DataFrame, id_column: str, text_column: str) -> Dat
         F.col("like.hub_first").alias("_like"),
         F.col("like.similarity").alias("_similarity"),
     )
-    same = (F.col(id_column) == F.col("_id")) & (F.xxhash64(text) == F.col("_text_a")) & (F.hash(text) == F.col("_text_b"))
-    met = df.join(found, same, "left")
+    # the prints are columns before the join, so a text that the caller drops is not moved for it
+    printed = df.withColumns({"_own_a": F.xxhash64(text), "_own_b": F.hash(text)})
+    same = (F.col(id_column) == F.col("_id")) & (F.col("_own_a") == F.col("_text_a")) & (F.col("_own_b") == F.col("_text_b"))
+    met = printed.join(found, same, "left")
     copied = F.col(id_column) > F.col("_first")
     return met.select(
         *[F.col(f"`{c}`") for c in df.columns],
