@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
 import struct
 import unicodedata
@@ -31,6 +32,7 @@ from verisift.llm import (
     token_counts,
     topk,
 )
+from verisift.session import CLEANUP_CONF, scratch_path, scratch_root, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, words string, copies string, key long"
@@ -294,6 +296,52 @@ def test_line_dedup_names_few_rows(spark, monkeypatch):
     assert len(got) == len(lines) and all((r.text == "") == wanted[r.doc_id, r.was] for r in got)
 
 
+def test_long_unlike_lines_are_no_candidates(spark, monkeypatch):
+    """64 parity bits let pairs of long unlike lines that share a token through; the further bits do not."""
+    rng = np.random.default_rng(5)
+    # the two longest words are the same, so every line is under one token with each other one
+    head = "a" * 120 + " " + "b" * 119
+    lines = [" ".join([head, *(f"w{x}" for x in rng.choice(50_000, 150, replace=False))]) for _ in range(60)]
+    lines += [lines[7] + " more", " ".join(lines[9].split(" ")[:-3])]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3).cache()
+    saved, pairs = line_dedup._saved, []
+
+    def counted(df, label):
+        table = saved(df, label)
+        if label == "line-pairs":
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(line_dedup, "MOST_BROADCAST", 3)  # several passes over the texts
+    monkeypatch.setattr(line_dedup, "_saved", counted)
+    got = {r.doc_id: list(r.removed) for r in line_dedup.decisions(docs).collect()}
+    assert {i for i, gone in got.items() if gone} == {60, 61}
+    assert sum(pairs) <= 8
+
+
+def test_what_a_step_used_is_not_left_on_the_disk(spark):
+    """Shuffle files go with the write that made them, and tables of tokens and sets when they were read."""
+
+    def files():
+        held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (held.apply(i).getName() for i in range(held.size())) if n.startswith("shuffle_")}
+
+    def step():
+        return spark.range(1000).repartition(4).groupBy((F.col("id") % 7).alias("k")).count()
+
+    before = files()
+    table = stored(step(), "test-step")
+    assert not files() - before and table.count() == 7
+    before = files()
+    step().write.parquet(scratch_path(spark, "test-step"))
+    assert files() - before  # what a plain write leaves
+    assert spark.conf.get(CLEANUP_CONF) == "false"
+    docs = spark.createDataFrame([(i, f"a b c d e f g h {i}\nx y z") for i in range(20)], "doc_id long, text string")
+    old = set(os.listdir(scratch_root(spark)))
+    assert sum(r.n_removed for r in line_dedup.decisions(docs).collect()) == 39 - 1
+    assert not {n.rsplit("-", 1)[0] for n in set(os.listdir(scratch_root(spark))) - old} & {"line-tokens", "line-sets"}
+
+
 def test_lang_id_on_the_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").withColumn("held", lang_id.fold("doc_id", 5) == 0)
     idf, fitted = lang_id.train(docs.filter("NOT held").select("doc_id", "text", "lang"))

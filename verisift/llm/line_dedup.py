@@ -4,8 +4,8 @@ A line is the set of its words, in an order that needs no counting: longest firs
 words tend to be rare, then by hash. Tokens are pairs of words that follow each other in that
 order. A word more or less undoes two tokens at most, or one and adds two, so of two sets with
 a Jaccard similarity of 0.8 one of the first ``2 * n / 5 + 1`` tokens of each is shared
-(prefix filter); sizes differ by a fifth at most (length filter); and 64 parity bits bound how
-many words differ. What remains is verified on the whole sets.
+(prefix filter); sizes differ by a fifth at most (length filter); and 64 parity bits, 256 for long
+lines, bound how many words differ. What remains is verified on the whole sets.
 
 A line goes if an earlier line, by ``doc_id``, print of the text and line number, is equal or
 similar enough. The 96-bit print tells rows apart that share a ``doc_id`` or have none.
@@ -14,6 +14,8 @@ within a large group: sets under a token that few sets share are all compared; u
 tokens, some of the most copied and earliest sets are compared with the open lines, and the
 next round, over lines still open, compares sixteen times as many.
 
+Tokens are dealt and compared slice by slice, and what a step leaves on disk goes with the step.
+
 Edge cases: NULL texts and lines without words match nothing and stay; a NULL ``doc_id``
 sorts first; rows with the same ``doc_id`` and text count as one document and keep the same
 lines, rows with the same ``doc_id`` and other texts are documents of their own, in the order
@@ -27,23 +29,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verisift.llm.lets import free_name, let, require, words_of
-from verisift.session import scratch_path
+from verisift.session import discard, scratch_path, stored, write_scratch
 
 #: Characters that are no words.
 BLANK = " \t\n\x0b\x0c\r"
 #: Sets under a token that are all compared for each one picked, and how the picks grow by round.
-TOGETHER, GROWTH = 32, 16
-#: Lines to verify are looked up by broadcast up to this number, by a shuffle of their texts beyond it.
-MOST_BROADCAST = 1_000_000
+TOGETHER, GROWTH = 8, 16
+#: Slices of the tokens, one after the other: each has its share of the shuffled tokens on disk.
+SLICES = 4
+#: Lines to verify are looked up by broadcasts of this number, at most so many one after the other; by a shuffle
+#: of their texts beyond it.
+MOST_BROADCAST, MOST_PASSES = 1_000_000, 16
+#: Lines of so many words have ``WIDE`` times 64 parity bits too: 64 say little of sets with more words than bits.
+LONG, WIDE = 40, 4
 #: What names a document, and a line.
 DOC = ["doc", "text_a", "text_b"]
 LINE = [*DOC, "pos"]
 
 
 def _saved(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return stored(df, label)
 
 
 def _doc_key() -> dict[str, Column]:
@@ -63,10 +68,17 @@ def _lines(keyed: DataFrame) -> DataFrame:
     return lines.filter(_has_words(F.col("line")))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with their keys; keys come before the lines, so a text is hashed once."""
+def _keyed(docs: DataFrame, among: DataFrame | None = None) -> DataFrame:
+    """Texts with their keys; keys come before the lines, so a text is hashed once.
+
+    With ``among`` only documents of its ``doc`` numbers, whose other texts are neither hashed nor cut.
+    """
     require(docs, "doc_id", "text")
-    return docs.select(*[value.alias(c) for c, value in _doc_key().items()], "text")
+    key = _doc_key()
+    named = docs.select(key["doc"].alias("doc"), "text")
+    if among is not None:
+        named = named.join(F.broadcast(among.select("doc").distinct()), "doc", "left_semi")
+    return named.select("doc", *[key[c].alias(c) for c in DOC[1:]], "text")
 
 
 def _sets(lines: DataFrame) -> DataFrame:
@@ -80,53 +92,65 @@ def _sets(lines: DataFrame) -> DataFrame:
     return lines.select(*LINE, F.sort_array(F.array_distinct(F.transform(words_of(F.col("line")), number))).alias("set"))
 
 
-def _parity(words: Column) -> Column:
+def _parity(words: Column, part: int | None = None) -> Column:
     """64 bits, each the parity of the words that fall on it: two sets differ in at least as
-    many words as these differ in bits."""
-    return F.aggregate(
-        words,
-        F.lit(0).cast("long"),
-        lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))),
-    )
+    many words as these differ in bits. With ``part`` only of its share of the words."""
+
+    def bit(w: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+        return one if part is None else F.when(F.shiftright(w, 6).bitwiseAND(F.lit(WIDE - 1)) == part, one).otherwise(F.lit(0).cast("long"))
+
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(bit(w)))
 
 
 def first_lines(docs: DataFrame) -> DataFrame:
-    """One row per distinct set: its first line, copies, size, parity bits and tokens.
+    """One row per distinct set: its first line, copies, size, parity bits (``wide``: of long lines) and tokens.
 
     Tokens are 32-bit hashes: pairs that share one add candidates, never matches.
     """
     count = F.expr("least(int(2 * size(set) div 5) + 1, size(set) - 1)")
-    keyed = _sets(_lines(_keyed(docs))).select(
+    wide = F.when(F.size("set") >= LONG, F.array(*[_parity(F.col("set"), i) for i in range(WIDE)]))
+    # the parts of a long line's words together have all of them
+    together = F.aggregate("wide", F.lit(0).cast("long"), lambda bits, part: bits.bitwiseXOR(part))
+    keyed = _sets(_lines(_keyed(docs))).withColumn("wide", wide).select(
         F.xxhash64("set").alias("set_a"),
         F.hash("set").alias("set_b"),
         F.size("set").alias("n"),
         F.struct(
             *LINE,
-            _parity(F.col("set")).alias("bits"),
+            F.when(F.col("wide").isNull(), _parity(F.col("set"))).otherwise(together).alias("bits"),
+            "wide",
             F.zip_with(F.slice("set", F.lit(1), count), F.slice("set", F.lit(2), count), lambda v, w: F.hash(v, w)).alias("tokens"),
         ).alias("line"),
     )
     return keyed.groupBy("set_a", "set_b", "n").agg(F.min("line").alias("line"), F.count(F.lit(1)).alias("copies")).select(
-        F.monotonically_increasing_id().alias("id"), *[f"line.{c}" for c in LINE], "n", "copies", "line.bits", "line.tokens"
+        F.monotonically_increasing_id().alias("id"), *[f"line.{c}" for c in LINE], "n", "copies", "line.bits", "line.wide", "line.tokens"
     )
 
 
-def _members(firsts: DataFrame) -> DataFrame:
-    """Tokens of more than one set, with the sets that hold them and their number."""
+def _members(firsts: DataFrame, part: int | None = None) -> DataFrame:
+    """Tokens of more than one set, with the sets that hold them and their number; with ``part`` those of a slice."""
+    if part is not None:
+        firsts = firsts.withColumn("tokens", F.filter("tokens", lambda t: F.pmod(t, F.lit(SLICES)) == part))
     sets = firsts.select("id", "n", "bits", F.explode("tokens").alias("token"))
     shared = firsts.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     return sets.join(shared.hint("shuffle_hash"), "token")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The key and the whole set of the wanted lines, and of others by the same id."""
-    places, keyed = wanted.select("doc", "pos").distinct(), _keyed(docs)
-    if wanted.count() <= MOST_BROADCAST:
-        lines = _lines(keyed).join(F.broadcast(places), ["doc", "pos"], "left_semi")
+def _whole_sets(docs: DataFrame, wanted: DataFrame) -> list[DataFrame]:
+    """The key and the whole set of the wanted lines, and of others by the same id, in parts to be read one
+    after the other."""
+    n = wanted.count()
+    if n <= MOST_BROADCAST * MOST_PASSES:
+        passes = -(-n // MOST_BROADCAST) if n else 1
+        some = [wanted.filter(F.pmod(F.xxhash64("doc", "pos"), F.lit(passes)) == i) for i in range(passes)] if passes > 1 else [wanted]
+        lines = [
+            _lines(_keyed(docs, part)).join(F.broadcast(part.select("doc", "pos").distinct()), ["doc", "pos"], "left_semi") for part in some
+        ]
     else:  # dealt with the prints, so rows without an id do not meet in one task
-        held = keyed.join(wanted.groupBy(*DOC).agg(F.collect_set("pos").alias("wanted")), DOC)
-        lines = held.select(*DOC, "wanted", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter("array_contains(wanted, pos)")
-    return _sets(lines).dropDuplicates(LINE)
+        held = _keyed(docs).join(wanted.groupBy(*DOC).agg(F.collect_set("pos").alias("wanted")), DOC)
+        lines = [held.select(*DOC, "wanted", F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter("array_contains(wanted, pos)")]
+    return [_sets(part).dropDuplicates(LINE) for part in lines]
 
 
 def _possible(a: str, b: str) -> Column:
@@ -139,22 +163,34 @@ def _possible(a: str, b: str) -> Column:
     return (5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * apart <= na + nb)
 
 
-def _few_pairs(few: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Lines with the earlier ones that share a token with them and pass every filter."""
-    hub = [f"hub_{c}" for c in LINE]
+def _still_possible(a: str, b: str) -> Column:
+    """The parity filter on the further bits of long lines."""
+    apart = sum((F.bit_count(F.get(f"{a}.wide", F.lit(i)).bitwiseXOR(F.get(f"{b}.wide", F.lit(i)))) for i in range(WIDE)), F.lit(0))
+    return F.coalesce(9 * apart <= F.col(f"{a}.n") + F.col(f"{b}.n"), F.lit(True))
+
+
+def _few_pairs(few: DataFrame) -> DataFrame:
+    """The ids of sets that share a token and pass the first filters."""
     x, y = few.alias("x"), few.alias("y")
     pairs = x.join(y, "token").filter((F.col("x.id") < F.col("y.id")) & _possible("x", "y"))
-    pairs = pairs.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
-    named = firsts.select("id", *LINE)
-    both = pairs.join(named, "id").join(named.toDF("other", *hub), "other")
-    one, two = F.struct(*LINE), F.struct(*[F.col(h).alias(c) for h, c in zip(hub, LINE, strict=True)])
-    ends = both.select(F.greatest(one, two).alias("x"), F.least(one, two).alias("h"))
-    return ends.select("x.*", *[F.col(f"h.{c}").alias(f"hub_{c}") for c in LINE])
+    return pairs.select(F.col("x.id").alias("id"), F.col("y.id").alias("other")).distinct()
+
+
+def _named(pairs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Lines with the earlier ones, of pairs of ids, that pass the last filter."""
+    ids = pairs.select("id").union(pairs.select("other")).distinct()
+    known = firsts.select("id", "n", "wide", *LINE)
+    known = known.join(F.broadcast(ids) if ids.count() <= MOST_BROADCAST else ids, "id", "left_semi")
+    x, y = known.alias("x"), known.withColumnRenamed("id", "other").alias("y")
+    both = pairs.join(x, "id").join(y, "other").filter(_still_possible("x", "y"))
+    one, two = (F.struct(*[F.col(f"{side}.{c}") for c in LINE]) for side in "xy")
+    ends = both.select(F.greatest(one, two).alias("later"), F.least(one, two).alias("earlier"))
+    return ends.select("later.*", *[F.col(f"earlier.{c}").alias(f"hub_{c}") for c in LINE])
 
 
 def _hubs(members: DataFrame, each: int) -> DataFrame:
     """Of the sets under each token, the first of each of ``each`` parts."""
-    columns = [*LINE, "n", "bits"]
+    columns = [*LINE, "n", "bits", "wide"]
     # most copied sets first, earlier ones before later; the complement has no overflow
     order = F.struct("copies", *[F.bitwise_not(F.col(c)).alias(f"minus_{c}") for c in LINE], *columns)
     # one part needs no exchange beyond that of the tokens
@@ -167,34 +203,50 @@ def _candidates(still: DataFrame, hubs: DataFrame) -> DataFrame:
     return (
         still.alias("x")
         .join(hubs.alias("h"), "token")
-        .filter((F.struct(*[f"h.{c}" for c in LINE]) < F.struct(*[f"x.{c}" for c in LINE])) & _possible("x", "h"))
+        # plain numbers before structs, as most pairs fail there
+        .filter(_possible("x", "h") & _still_possible("x", "h") & (F.struct(*[f"h.{c}" for c in LINE]) < F.struct(*[f"x.{c}" for c in LINE])))
         .select(*[f"x.{c}" for c in LINE], *[F.col(f"h.{c}").alias(f"hub_{c}") for c in LINE])
     )
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The keys of the later lines of the pairs that are similar, by their whole sets."""
-    hub = [f"hub_{c}" for c in LINE]
+    spark, hub = docs.sparkSession, [f"hub_{c}" for c in LINE]
     ends = pairs.select(*LINE).union(pairs.select(*hub)).distinct()
-    sets = _saved(_whole_sets(docs, ends), "line-sets")
+    paths = []
+    for part in _whole_sets(docs, ends):
+        paths.append(scratch_path(spark, "line-sets"))
+        write_scratch(part, paths[-1])
+    sets = spark.read.parquet(*paths)
     hubs = sets.toDF(*hub, "hub_set")
     both = pairs.join(sets, LINE).join(hubs, hub)
     shared = F.size(F.array_intersect("set", "hub_set"))
-    return both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select(*LINE).distinct()
+    settled = _saved(both.filter(9 * shared >= 4 * (F.size("set") + F.size("hub_set"))).select(*LINE).distinct(), "line-settled")
+    for path in paths:
+        discard(spark, path)
+    return settled
 
 
 def near_removed(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The keys of the first lines of sets that are similar to an earlier set."""
-    shared = _saved(_members(firsts), "line-members")
-    found = _few_pairs(shared.filter(F.col("m") <= TOGETHER), firsts)
-    held = firsts.select("id", *LINE, "copies")
-    members = _saved(shared.filter(F.col("m") > TOGETHER).join(held, "id").drop("id"), "line-members")
-    found, gone, each = found.union(_candidates(members, _hubs(members, 1))), None, 1
+    spark, close, frequent = docs.sparkSession, [], []
+    held = firsts.select("id", *LINE, "copies", "wide")
+    for part in range(SLICES):
+        path = scratch_path(spark, "line-tokens")
+        shared = write_scratch(_members(firsts, part), path)
+        close.append(scratch_path(spark, "line-close"))
+        write_scratch(_few_pairs(shared.filter(F.col("m") <= TOGETHER)), close[-1])
+        frequent.append(scratch_path(spark, "line-members"))
+        write_scratch(shared.filter(F.col("m") > TOGETHER).join(held, "id").drop("id"), frequent[-1])
+        discard(spark, path)
+    found = _named(spark.read.parquet(*close).distinct(), firsts)
+    members, gone, each = spark.read.parquet(*frequent), None, 1
+    found = found.union(_candidates(members, _hubs(members, 1)))
     while True:
         # each round reads the texts again for its whole sets, so few rounds
         pairs = _saved(found.distinct(), "line-pairs")
         if not pairs.isEmpty():
-            settled = _saved(_verified(docs, pairs), "line-settled")
+            settled = _verified(docs, pairs)
             gone = settled if gone is None else gone.union(settled)
         # tokens whose sets were all compared are done
         members = _saved(members.filter(F.col("m") > TOGETHER * each), "line-members")
@@ -213,9 +265,8 @@ def kept_lines(docs: DataFrame) -> DataFrame:
     """A document's key and ``kept``, the numbers of the lines with words that it keeps."""
     firsts = _saved(first_lines(docs), "line-firsts")
     gone = near_removed(docs, firsts)
-    return firsts.select(*LINE).join(gone, LINE, "left_anti").groupBy(*DOC).agg(
-        F.sort_array(F.collect_set("pos")).alias("kept")
-    )
+    kept = firsts.select(*LINE).join(gone, LINE, "left_anti").groupBy(*DOC).agg(F.sort_array(F.collect_set("pos")).alias("kept"))
+    return _saved(kept, "line-kept")
 
 
 def decisions(docs: DataFrame) -> DataFrame:
