@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verisift.session import scratch_path
+from verisift.session import stored
 
 
 def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -16,12 +16,9 @@ def connect(labels: DataFrame, links: DataFrame) -> DataFrame:
     written to the shared folder; their number grows with the logarithm of the longest
     chain in practice.
     """
-    spark = labels.sparkSession
 
     def saved(df: DataFrame) -> DataFrame:
-        path = scratch_path(spark, "components")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
+        return stored(df, "components")
 
     of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("x"))
     of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("y"))

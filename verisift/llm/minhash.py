@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from verisift.llm.graph import connect
 from verisift.llm.lets import free_name, require
 from verisift.llm.word_hash import mixed, runs_of, word_hashes
-from verisift.session import scratch_path
+from verisift.session import stored
 
 SLOT_BITS = 22
 ROWS_PER_BAND = 4
@@ -184,9 +184,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFra
 
 
 def _saved(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(df, label)
 
 
 def _near(a: str, b: str, num: int, den: int) -> Column:
