@@ -1,3 +1,4 @@
+import os
 import pickle
 
 import numpy as np
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from verisift.models import accrual, boosting, deduction, leakage, metrics, returns, tracking
 from verisift.models.training import numeric_features, quality_weight
 from verisift.plans.jobs import accrual_job, feature_job, training_table
-from verisift.plans import bindings as b
+from verisift.plans import bindings as b, queries
 from verisift.plans.queries import QUERIES
+from verisift.session import ensure_checkpoint_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -196,6 +198,23 @@ def test_only_splits_reach_the_driver(spark, monkeypatch):
     assert collected and max(len(pickle.dumps(c)) for c in collected) < 8_000
 
 
+def test_forecast_leaves_no_joins_checkpoints_and_shuffles(spark, monkeypatch):
+    """The training rows are computed once, and old states of a training do not stay on the disk."""
+    training = queries._accrual_training(spark, SF)
+    assert "Exchange" not in training._jdf.queryExecution().executedPlan().toString()
+    rows = [(float(i), float(i % 7), 1.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, _label double, _weight double").repartition(4)
+    monkeypatch.setattr(boosting, "PARTITION_ROWS", 100)
+    monkeypatch.setattr(boosting, "CHECKPOINT_TREES", 1)
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before, forgotten, forget = set(os.listdir(folder)), [], boosting.forget_shuffles
+    monkeypatch.setattr(boosting, "forget_shuffles", lambda rdd: forgotten.append(forget(rdd)))
+    boosting.boost(df, ["a"], trees=4, depth=2, rate=0.5, subsample=1.0, folds=3)
+    assert len(set(os.listdir(folder)) - before) == 1  # the training rows
+    assert len(forgotten) == 1 + 4 * 2
+
+
 def test_boosting_of_few_rows_and_gaps(spark):
     kind = "a double, _label double, _weight double"
     size = {"trees": 3, "depth": 2, "rate": 1.0, "subsample": 1.0, "folds": 1}
