@@ -1,3 +1,4 @@
+import math
 import os
 import pickle
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark import RDD
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from verisift.models import accrual, boosting, deduction, leakage, metrics, returns, tracking
@@ -477,6 +479,42 @@ def test_forest_of_many_bins_and_of_no_splits(spark):
     assert len(shares) == 1 and shares[0] == pytest.approx(0.25, abs=0.05)
 
 
+def test_forest_by_whole_trees_and_by_combinations_of_bins(spark, planted, monkeypatch):
+    """Trees grown in one task equal those grown level by level, and looking bins up equals walking the trees."""
+    from verisift.models import forest
+    from verisift.models.training import assembler
+
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 100)
+    weight = F.when(F.col("id") % 3 == 0, 0.25).otherwise(1 + F.col("x"))
+    df = planted.select(
+        "x", F.floor(10 * F.col("y")).cast("double").alias("y"), F.col("is_returned").cast("double").alias("label"), weight.alias("weight")
+    )
+    vectors = assembler(["x", "y"]).transform(df).cache()
+    for shape in ({"weightCol": "weight"}, {"maxDepth": 0}, {"maxBins": 400, "maxDepth": 7}):
+        fitted = []
+        for most in (0, 1 << 21):
+            monkeypatch.setattr(forest, "WHOLE_ROWS", most)
+            fitted.append(forest.Forest(featuresCol="_features", numTrees=11, minInstancesPerNode=3, seed=5, **shape).fit(vectors))
+        one, other = ([m.getOrDefault(p) for p in ("feature", "cut", "leaf")] for m in fitted)
+        assert one == other
+        odd = spark.createDataFrame([(i, a, b) for i, a in enumerate((math.nan, math.inf, -math.inf, 0.5)) for b in (3.0, math.nan)], "id int, x double, y double")
+        odd = VectorAssembler(inputCols=["x", "y"], outputCol="_features", handleInvalid="keep").transform(odd)
+        found = []
+        for most in (0, 1 << 22):
+            monkeypatch.setattr(forest, "MOST_CELLS", most if shape.get("maxDepth") != 0 else 1)
+            found.append([[r[0][1] for r in fitted[0].transform(rows).select("probability").collect()] for rows in (vectors, odd)])
+        assert found[0] == found[1]
+        feature, cut, leaf = one
+        for row, got in zip(odd.collect(), found[0][1]):
+            total = 0.0
+            for fs, cs, vs in zip(feature, cut, leaf):
+                at = 0
+                while at < len(fs):
+                    at = 2 * at + 1 + (cs[at] is not None and row["_features"][fs[at]] > cs[at])
+                total += vs[at - len(fs)]
+            assert got == pytest.approx(total / 11)
+
+
 def test_forest_draws_and_cuts():
     from verisift.models import forest
 

@@ -5,6 +5,10 @@ row with a number; a bootstrap of so many rows takes a Poisson number of them, s
 lost by folding them and a large table is no more rows than its bins allow. A level of all
 trees is one job: every partition sums the rows and weights drawn for a tree by node, feature,
 bin and class; the sums of a tree are added and only the splits found in them reach the driver.
+Where the folded rows fit one task, a task grows whole trees, from the same sums.
+
+A row's probability depends on its bins alone. Where the cuts allow few enough of them, every
+combination of bins is scored once and a row looks its own up.
 
 Draws come from the seed, the tree and the block of a row, a hash of it, and the weights are
 rounded to multiples of a power of two that keeps all sums exact in doubles. The forest
@@ -32,6 +36,8 @@ from verisift.models.boosting import _NEVER, _added, _grid, _route
 
 #: Rows of a block, and of a partition where there are more cores than partitions.
 BLOCK_ROWS, PARTITION_ROWS = 1 << 16, 1 << 18
+#: Folded rows from which whole trees are grown in a task, and combinations of bins that are scored once.
+WHOLE_ROWS, MOST_CELLS = 1 << 21, 1 << 22
 Block = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -52,26 +58,25 @@ class ForestModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable)
     def _transform(self, dataset: DataFrame) -> DataFrame:
         feature, leaf = (np.array(self.getOrDefault(p)) for p in (self.feature, self.leaf))
         cut = np.array([[math.inf if c is None else c for c in tree] for tree in self.getOrDefault(self.cut)])
-        shared = dataset.sparkSession.sparkContext.broadcast((feature, cut, leaf))
+        cuts = cut < math.inf
+        used = sorted(set(feature[cuts].tolist()))
+        edges = [np.unique(cut[cuts & (feature == f)]) for f in used]
+        cells = math.prod(len(e) + 1 for e in edges)
+        table = _cells(feature, cut, leaf, used, edges) if cells <= MOST_CELLS else None
+        shared = dataset.sparkSession.sparkContext.broadcast((feature, cut, leaf, used, edges, table))
 
         @F.pandas_udf("double")
-        def share(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            features, cuts, leaves = shared.value
-            inner = features.shape[1]
-            for rows in batches:
-                total, start = np.zeros(len(rows)), 0
-                if len(rows):
-                    values = np.stack(rows.to_numpy())
-                    flat, start = values.ravel(), np.arange(len(values)) * values.shape[1]
-                for f, c, v in zip(features, cuts, leaves):
-                    at = np.zeros(len(rows), np.int64)
-                    for _ in range(int(inner + 1).bit_length() - 1 if len(rows) else 0):
-                        at = 2 * at + 1 + (flat.take(start + f.take(at)) > c.take(at))
-                    total += v.take(at - inner if len(rows) else at)
-                yield pd.Series(total / len(features))
+        def share(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for columns in batches:
+                # a single column arrives without its tuple
+                parts = columns if isinstance(columns, tuple) else (columns,)
+                yield pd.Series(_shares([c.to_numpy(dtype=float) for c in parts], *shared.value))
 
         probability, prediction = self.getProbabilityCol(), self.getPredictionCol()
-        found = dataset.withColumn(probability, share(vector_to_array(self.getFeaturesCol())))
+        values = f"{self.uid}_values"
+        found = dataset.withColumn(values, vector_to_array(self.getFeaturesCol()))
+        # a forest without a cut reads one value to have a column
+        found = found.withColumn(probability, share(*[F.col(values)[f] for f in used or [0]])).drop(values)
         return found.withColumns(
             {
                 prediction: (F.col(probability) > 0.5).cast("double"),
@@ -144,6 +149,21 @@ class Forest(Estimator, _Columns, HasWeightCol, HasSeed):
             )
         )
         some = math.ceil(math.sqrt(features)) if trees > 1 else features
+        context = blocks.context
+        if blocks.map(lambda block: len(block[2])).sum() <= WHOLE_ROWS:
+            one = blocks.coalesce(1).persist(StorageLevel.MEMORY_AND_DISK)
+            one.count()
+            shares = min(trees, context.defaultParallelism)
+
+            def whole(part: Iterable[Block], first: int) -> Iterator[tuple]:
+                held = list(part)
+                for tree in range(first, trees, shares):
+                    yield tree, *_tree(held, tree, depth, features, some, bins + 2, seed, rate, least, gain)
+
+            grown = context.union([one.mapPartitions(lambda part, first=first: whole(part, first)) for first in range(shares)])
+            _, *found = zip(*sorted(grown.collect(), key=lambda r: r[0]))
+            one.unpersist()
+            return tuple(np.array(column) for column in found)
         inner = (1 << depth) - 1
         feature, cut = np.zeros((trees, inner), np.int64), np.full((trees, inner), _NEVER, np.int64)
         opened, value = np.ones((trees, 1), bool), np.zeros((trees, 1))
@@ -179,20 +199,86 @@ class Forest(Estimator, _Columns, HasWeightCol, HasSeed):
         return feature, cut, value
 
 
+def _cells(feature: np.ndarray, cut: np.ndarray, leaf: np.ndarray, used: list[int], edges: list[np.ndarray]) -> np.ndarray:
+    """The sum over the trees for every combination of bins of the used features, bins between the edges."""
+    total, inner = np.zeros([len(e) + 1 for e in edges]), feature.shape[1]
+    axis = {f: i for i, f in enumerate(used)}
+    whole = tuple((0, n) for n in total.shape)
+    for features, cuts, leaves in zip(feature.tolist(), cut.tolist(), leaf.tolist()):
+        open_ = [(0, whole)]
+        while open_:
+            at, box = open_.pop()
+            if at >= inner:
+                total[tuple(slice(*side) for side in box)] += leaves[at - inner]
+            elif cuts[at] == math.inf:  # nothing is above
+                open_.append((2 * at + 1, box))
+            else:
+                i = axis[features[at]]
+                low, high = box[i]
+                middle = int(np.searchsorted(edges[i], cuts[at])) + 1
+                if low < middle:
+                    open_.append((2 * at + 1, (*box[:i], (low, min(high, middle)), *box[i + 1 :])))
+                if middle < high:
+                    open_.append((2 * at + 2, (*box[:i], (max(low, middle), high), *box[i + 1 :])))
+    return total
+
+
+def _shares(columns, feature, cut, leaf, used, edges, table) -> np.ndarray:
+    """The mean share of class 1 over the trees, of rows given by the columns of the used features.
+
+    A missing value goes left everywhere, as it is above no cut.
+    """
+    n, inner = len(columns[0]), feature.shape[1]
+    if table is not None:
+        at = np.zeros(n, np.int64)
+        for x, e in zip(columns, edges):
+            at = at * (len(e) + 1) + np.where(np.isnan(x), 0, np.searchsorted(e, x, side="left"))
+        return table.ravel().take(at) / len(feature)
+    total, flat = np.zeros(n), np.concatenate(columns)
+    place = np.zeros(max(used) + 1, np.int64)
+    place[used] = np.arange(len(used)) * n
+    rows = np.arange(n)
+    for f, c, v in zip(feature, cut, leaf):
+        at, start = np.zeros(n, np.int64), place.take(f)
+        for _ in range(int(inner + 1).bit_length() - 1):
+            at = 2 * at + 1 + (flat.take(start.take(at) + rows) > c.take(at))
+        total += v.take(at - inner)
+    return total / len(feature)
+
+
 def _blocks(rows: DataFrame, edges: list[np.ndarray], grid: float) -> RDD:
     """Blocks (number, bins by feature, class, weight, count) of rows folded by equal values."""
 
     kind = np.uint8 if max(map(len, edges)) < 255 else np.uint16
+    sizes = [len(e) + 2 for e in edges]
 
-    @F.pandas_udf("binary")
-    def binned(x: pd.Series) -> pd.Series:
-        values = np.stack(x.to_numpy()) if len(x) else np.zeros((0, len(edges)))
-        found = np.array([np.searchsorted(e, c, side="left") + 1 for c, e in zip(values.T, edges)], kind)
+    def found_in(columns) -> np.ndarray:
+        return np.array([np.searchsorted(e, c, side="left") + 1 for c, e in zip(columns, edges)], kind)
+
+    def packed_rows(found: np.ndarray) -> pd.Series:
         return pd.Series([row.tobytes() for row in np.ascontiguousarray(found.T)])
 
-    weight = F.rint(F.col("weight") * grid) / grid
-    folded = rows.select(binned("x").alias("bins"), "label", weight.alias("weight"))
-    folded = folded.groupBy("bins", "label", "weight").agg(F.count(F.lit(1)).alias("n")).persist()
+    @F.pandas_udf("binary")
+    def binned(*x: pd.Series) -> pd.Series:
+        return packed_rows(found_in(x))
+
+    # one number for all bins of a row, where it fits, is folded faster than bytes
+    @F.pandas_udf("long")
+    def numbered(*x: pd.Series) -> pd.Series:
+        code = np.zeros(len(x[0]), np.int64)
+        for column, size in zip(found_in(x), sizes):
+            code = code * size + column
+        return pd.Series(code)
+
+    @F.pandas_udf("binary")
+    def unnumbered(code: pd.Series) -> pd.Series:
+        return packed_rows(np.array(np.unravel_index(code.to_numpy(np.int64), sizes), kind).reshape(len(sizes), -1))
+
+    weight, values = F.rint(F.col("weight") * grid) / grid, [F.col("x")[i] for i in range(len(edges))]
+    short = math.prod(sizes) < 1 << 62
+    folded = rows.select((numbered if short else binned)(*values).alias("bins"), "label", weight.alias("weight"))
+    folded = folded.groupBy("bins", "label", "weight").agg(F.count(F.lit(1)).alias("n"))
+    folded = (folded.withColumn("bins", unnumbered("bins")) if short else folded).persist()
     n = folded.count()
 
     def pack(part: pd.DataFrame) -> pd.DataFrame:
@@ -241,12 +327,17 @@ def _sums(block: Block, tree: int, level: int, picks: np.ndarray, found, bins: i
     number, columns, label, weight, count = block
     feature, cut, opened = found
     drawn = _drawn(np.random.default_rng([seed & (2**63 - 1), tree, number, 2]), count, rate)
-    nodes, some = picks.shape
     taken = np.flatnonzero(drawn)
-    at = _route(columns[:, taken], feature, cut, level) - (nodes - 1)
+    at = _route(columns[:, taken], feature, cut, level) - (len(picks) - 1)
     alive = opened.take(at)
     taken, at = taken[alive], at[alive]
-    times, flat = drawn.take(taken).astype(float), columns.ravel()
+    return _sums_of(block, taken, at, drawn.take(taken).astype(float), picks, bins)
+
+
+def _sums_of(block: Block, taken: np.ndarray, at: np.ndarray, times: np.ndarray, picks: np.ndarray, bins: int) -> np.ndarray:
+    """Rows and their weight, of the rows ``taken`` so many times in the nodes ``at``."""
+    _, columns, label, weight, _ = block
+    (nodes, some), flat = picks.shape, columns.ravel()
     second, of_class = label.take(taken), [weight[label == c] for c in (False, True)]
     same = all(w.size == 0 or w.min() == w.max() for w in of_class)
     kinds = (times,) if same else (times, times * weight.take(taken))
@@ -262,6 +353,36 @@ def _sums(block: Block, tree: int, level: int, picks: np.ndarray, found, bins: i
     return out
 
 
+def _tree(held: list[Block], tree: int, depth: int, features: int, some: int, bins: int, seed: int, rate: float, least: int, gain: float):
+    """One tree from all rows: what the levels of ``Forest._grown`` find, with one draw and one step down a level."""
+    inner = (1 << depth) - 1
+    feature, cut = np.zeros(inner, np.int64), np.full(inner, _NEVER, np.int64)
+    opened, value, rows = np.ones(1, bool), np.zeros(1), []
+    for block in held:
+        drawn = _drawn(np.random.default_rng([seed & (2**63 - 1), tree, block[0], 2]), block[4], rate)
+        taken = np.flatnonzero(drawn)
+        rows.append((taken, np.zeros(len(taken), np.int64), drawn.take(taken).astype(float)))
+    for level in range(max(depth, 1)):
+        picks, total = _picks(seed, tree, level, features, some), None
+        for block, mine in zip(held, rows):
+            total = _added(total, _sums_of(block, *mine, picks, bins))
+        chosen, at, own, sides = _best(total, picks, least, gain)
+        if not level:
+            value = own
+        if not depth:
+            break
+        split = opened & (chosen >= 0)
+        here = slice((1 << level) - 1, (1 << (level + 1)) - 1)
+        feature[here], cut[here] = np.where(split, chosen, 0), np.where(split, at, _NEVER)
+        value, opened = np.where(split[:, None], sides, value[:, None]).ravel(), np.repeat(split, 2)
+        for i, (block, (taken, node, times)) in enumerate(zip(held, rows)):
+            alive = split.take(node)
+            taken, node, times = taken[alive], node[alive], times[alive]
+            above = block[1].ravel().take(chosen.take(node) * block[1].shape[1] + taken) > at.take(node)
+            rows[i] = (taken, 2 * node + above, times)
+    return feature, cut, value
+
+
 def _best(sums: np.ndarray, picks: np.ndarray, least: int, gain: float):
     """Per node the feature (-1 without a split) and bin of the best cut, its share of class 1,
     and the shares left and right of the cut."""
